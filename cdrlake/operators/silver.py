@@ -18,7 +18,8 @@ def _with(df: DataFrame, **columns) -> DataFrame:
     return df.withColumns(columns)
 
 
-def silver_cdr(bronze: DataFrame) -> DataFrame:
+def unique_cdr(bronze: DataFrame) -> DataFrame:
+    """Typed and standardised CDRs, one row per id: the first by start time."""
     typed = _with(
         bronze,
         call_start_dttm=C.to_ts("call_start_dttm"),
@@ -33,8 +34,11 @@ def silver_cdr(bronze: DataFrame) -> DataFrame:
         segment=K.std_label("segment"),
         roaming_country=F.coalesce("roaming_country", F.lit("DOMESTIC")),
     )
-    unique = keep_first(typed, ["cdr_id"], ["call_start_dttm", "call_end_dttm", "call_date"])
-    good = require(unique, "customer_id", "call_date").where(F.col("revenue_qar") >= 0)
+    return keep_first(typed, ["cdr_id"], ["call_start_dttm", "call_end_dttm", "call_date"])
+
+
+def silver_cdr(bronze: DataFrame) -> DataFrame:
+    good = require(unique_cdr(bronze), "customer_id", "call_date").where(F.col("revenue_qar") >= 0)
     return cdr_features(good)
 
 

@@ -241,7 +241,7 @@ SELECT {_PROFILE}, {_summary('SUM(d.revenue_qar)', 'COUNT(d.cdr_id)', 'SUM(d.dur
     'COUNT(DISTINCT r.recharge_id)', 'SUM(r.recharge_amount)', 'SUM(d.data_consumed_mb)')}
 FROM silver_customers c LEFT JOIN silver_cdr d ON d.customer_id = c.customer_id
 LEFT JOIN silver_recharges r ON r.customer_id = c.customer_id
-GROUP BY ALL"""
+GROUP BY {_PROFILE}"""
 
 CTE["regional_kpis"] = f"""
 SELECT c.region, c.segment, COUNT(DISTINCT c.customer_id) AS customer_count, COUNT(d.cdr_id) AS total_calls,
