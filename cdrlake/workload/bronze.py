@@ -6,30 +6,51 @@ ids, negative and missing amounts, repeated keys, callers who are not customers
 and customers without recharges.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .. import schemas
+from ..sources.tables import spread_small
+
+# Schemas of the source files; naming them saves a pass over the file footers.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _id(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 12, "0"))
+def _id(prefix: str, key: str) -> str:
+    return f"concat('{prefix}', lpad(cast({key} as string), 12, '0'))"
 
 
-def _msisdn(key: Column) -> Column:
-    return F.concat(F.lit("+9743"), F.lpad((key % 10000000).cast("string"), 7, "0"))
+def _msisdn(key: str) -> str:
+    return f"concat('+9743', lpad(cast({key} % 10000000 as string), 7, '0'))"
 
 
-def _pick(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(index: str, values: list[str]) -> str:
+    whens = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values[:-1]))
+    return f"case {index} {whens} else '{values[-1]}' end"
 
 
-def _text(ts: Column) -> Column:
-    return ts.cast("timestamp_ntz").cast("string")
+def _text(ts: str) -> str:
+    return f"cast(cast({ts} as timestamp_ntz) as string)"
+
+
+def _typed(df: DataFrame, columns: dict[str, str], schema: StructType) -> DataFrame:
+    return df.selectExpr(
+        *[f"cast({columns[f.name]} as {f.dataType.simpleString()}) as {f.name}" for f in schema.fields]
+    )
 
 
 PLANS = [f"Plan {c} " for c in "ABCDEFGH"]
@@ -38,39 +59,30 @@ PROFILE = ["plan_type", "plan_name", "region", "segment", "churn_risk"]
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
-    key = F.col("c_custkey")
-    tenure = 1 + (key * 7) % 60
-    segment = (
-        F.when(F.col("c_mktsegment") == "BUILDING", " Low Value")
-        .when(F.col("c_mktsegment") == "MACHINERY", "High Value")
-        .when(F.col("c_mktsegment") == "FURNITURE", "VIP ")
-        .otherwise("Mid Value")
-    )
-    risk = F.when(F.col("c_acctbal") < 1000, "High").when(F.col("c_acctbal") < 4000, " Medium").otherwise("Low ")
-    fee = (10 + 45 * (key % 8)).cast("double")
+    tenure = "(1 + (c_custkey * 7) % 60)"
     columns = {
-        "customer_id": _id("CUST", key),
-        "msisdn": F.when(key % 31 != 0, _msisdn(key)),
-        "first_name": F.col("c_name"),
-        "last_name": F.col("c_name"),
-        "age": F.when(key % 37 != 0, 16 + (key * 13) % 52),
-        "nationality": F.concat(F.lit(" "), F.col("n_name")),
-        "language": _pick(key % 3, ["Arabic", "English", "Hindi"]),
-        "region": F.concat(F.col("r_name"), F.lit(" ")),
-        "device_type": _pick(key % 2, ["Smartphone", "Tablet"]),
-        "plan_type": _pick(key % 2, [" Prepaid", "Postpaid"]),
-        "plan_name": _pick(key % 8, PLANS),
-        "monthly_fee_qar": F.when(key % 29 != 0, fee),
-        "data_allowance_gb": 5 * (1 + key % 8),
-        "activation_date": F.when(
-            key % 23 != 0, F.date_sub(F.lit("2024-12-31").cast("date"), (tenure * 30).cast("int")).cast("string")
-        ).otherwise("31/12/2024"),
-        "tenure_months": F.when(key % 41 != 0, tenure),
-        "segment": segment,
-        "churn_risk": risk,
-        "is_active": F.when(key % 20 != 0, 1).otherwise(0),
-        "created_at": F.lit("2024-12-31 00:00:00"),
-        "updated_at": F.lit("2024-12-31 00:00:00"),
+        "customer_id": _id("CUST", "c_custkey"),
+        "msisdn": f"case when c_custkey % 31 <> 0 then {_msisdn('c_custkey')} end",
+        "first_name": "c_name",
+        "last_name": "c_name",
+        "age": "case when c_custkey % 37 <> 0 then 16 + (c_custkey * 13) % 52 end",
+        "nationality": "concat(' ', n_name)",
+        "language": _pick("c_custkey % 3", ["Arabic", "English", "Hindi"]),
+        "region": "concat(r_name, ' ')",
+        "device_type": _pick("c_custkey % 2", ["Smartphone", "Tablet"]),
+        "plan_type": _pick("c_custkey % 2", [" Prepaid", "Postpaid"]),
+        "plan_name": _pick("c_custkey % 8", PLANS),
+        "monthly_fee_qar": "case when c_custkey % 29 <> 0 then 10 + 45 * (c_custkey % 8) end",
+        "data_allowance_gb": "5 * (1 + c_custkey % 8)",
+        "activation_date": f"case when c_custkey % 23 <> 0"
+        f" then cast(date_sub(date'2024-12-31', cast({tenure} * 30 as int)) as string) else '31/12/2024' end",
+        "tenure_months": f"case when c_custkey % 41 <> 0 then {tenure} end",
+        "segment": "case c_mktsegment when 'BUILDING' then ' Low Value' when 'MACHINERY' then 'High Value'"
+        " when 'FURNITURE' then 'VIP ' else 'Mid Value' end",
+        "churn_risk": "case when c_acctbal < 1000 then 'High' when c_acctbal < 4000 then ' Medium' else 'Low ' end",
+        "is_active": "case when c_custkey % 20 <> 0 then 1 else 0 end",
+        "created_at": "'2024-12-31 00:00:00'",
+        "updated_at": "'2024-12-31 00:00:00'",
     }
     joined = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
     return _typed(joined, columns, schemas.CUSTOMER)
@@ -82,44 +94,33 @@ def cdr(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFrame:
     ``profile=False`` leaves the copied customer attributes NULL and saves the
     join; nothing in Gold reads them from the CDR.
     """
-    line, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    orders = orders.select("o_orderkey", "o_custkey")
-    caller, number = F.col("o_custkey"), F.col("l_linenumber")
-    is_data = number.isin(3, 4)
-    hour = F.col("l_partkey") % 24
-    day = F.col("l_shipdate").cast("date")
-    start = F.timestamp_add("SECOND", hour * 3600 + F.col("l_suppkey") % 3600, F.col("l_shipdate"))
-    seconds = F.when(number == 5, 0).otherwise((F.col("l_quantity") * 37).cast("int"))
-    price = F.col("l_extendedprice").cast("decimal(10,2)")
-    amount = (price * (F.col("l_discount") * 10).cast("decimal(3,1)")).cast("double")
-    roaming = F.col("l_discount").cast("decimal(4,2)") >= F.lit("0.09").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
-    broken_day = F.col("l_partkey") % 53 == 0
+    line = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    start = "timestampadd(SECOND, (l_partkey % 24) * 3600 + l_suppkey % 3600, l_shipdate)"
+    seconds = "case when l_linenumber = 5 then 0 else cast(l_quantity * 37 as int) end"
+    amount = "cast(l_extendedprice as decimal(10,2)) * cast(l_discount * 10 as decimal(3,1))"
+    tax, roaming = "cast(l_tax as decimal(4,2))", "cast(l_discount as decimal(4,2)) >= 0.09"
     columns = {
-        "cdr_id": F.concat(_id("CDR", F.col("l_orderkey")), F.lit("-"), number.cast("string")),
-        "customer_id": F.when(F.col("l_suppkey") % 41 == 0, None)
-        .when(caller % 17 == 0, _id("VISIT", caller))
-        .otherwise(_id("CUST", caller)),
-        "msisdn": _msisdn(caller),
+        "cdr_id": f"concat({_id('CDR', 'l_orderkey')}, '-', l_linenumber)",
+        "customer_id": f"case when l_suppkey % 41 = 0 then null when o_custkey % 17 = 0"
+        f" then {_id('VISIT', 'o_custkey')} else {_id('CUST', 'o_custkey')} end",
+        "msisdn": _msisdn("o_custkey"),
         "call_type": _pick(
-            number - 1, [" Voice", "voice ", "Data", "DATA", "SMS", "Video Call", "IDD Voice"]
+            "l_linenumber - 1", [" Voice", "voice ", "Data", "DATA", "SMS", "Video Call", "IDD Voice"]
         ),
-        "call_start_dttm": F.when(F.col("l_partkey") % 59 != 0, _text(start)),
-        "call_end_dttm": _text(F.timestamp_add("SECOND", seconds.cast("bigint"), start)),
+        "call_start_dttm": f"case when l_partkey % 59 <> 0 then {_text(start)} end",
+        "call_end_dttm": _text(f"timestampadd(SECOND, {seconds}, {start})"),
         "duration_seconds": seconds,
-        "network_type": _pick(F.col("l_suppkey") % 5, ["4G", "5G", "3g", " 2G", "WiFi Calling"]),
-        "data_consumed_mb": F.when(is_data, F.col("l_extendedprice")),
-        "termination_code": F.when(F.col("l_returnflag") == "N", "normal ")
-        .when(F.col("l_returnflag") == "A", "BUSY")
-        .otherwise("User_Dropped"),
-        "is_roaming": F.when(roaming, 1).otherwise(0),
-        "roaming_country": F.when(roaming, "UAE"),
-        "revenue_qar": F.when((tax == F.lit("0.07").cast("decimal(4,2)")) & (number == 5), None)
-        .when(tax == F.lit("0.08").cast("decimal(4,2)"), -amount)
-        .otherwise(amount),
-        "call_date": F.when(broken_day, "2024-13-45").otherwise(day.cast("string")),
-        "call_hour": F.when(F.col("l_partkey") % 61 != 0, hour),
-        "created_at": _text(F.col("l_shipdate")),
+        "network_type": _pick("l_suppkey % 5", ["4G", "5G", "3g", " 2G", "WiFi Calling"]),
+        "data_consumed_mb": "case when l_linenumber in (3, 4) then l_extendedprice end",
+        "termination_code": "case l_returnflag when 'N' then 'normal ' when 'A' then 'BUSY' else 'User_Dropped' end",
+        "is_roaming": f"case when {roaming} then 1 else 0 end",
+        "roaming_country": f"case when {roaming} then 'UAE' end",
+        "revenue_qar": f"case when {tax} = 0.07 and l_linenumber = 5 then null"
+        f" when {tax} = 0.08 then -({amount}) else {amount} end",
+        "call_date": "case when l_partkey % 53 = 0 then '2024-13-45' else cast(cast(l_shipdate as date) as string) end",
+        "call_hour": "case when l_partkey % 61 <> 0 then l_partkey % 24 end",
+        "created_at": _text("l_shipdate"),
     }
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey)
     return _with_profile(spark, sf_dir, joined, "o_custkey", columns, schemas.CDR, profile)
@@ -127,30 +128,25 @@ def cdr(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFrame:
 
 def recharges(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFrame:
     """One recharge per order; buyers with odd keys buy for the prepaid neighbour."""
-    orders = table(spark, sf_dir, "orders")
-    number, buyer = F.col("o_orderkey"), F.col("o_custkey")
-    prepaid = buyer - buyer % 2
-    day = F.col("o_orderdate")
-    amount = ((number * 13 + buyer * 7) % 200).cast("double")
+    orders = spread_small(table(spark, sf_dir, "orders"), "o_orderkey")
+    at, valid = "o_orderkey % 86400", "7 + o_orderkey % 53"
+    amount = "(o_orderkey * 13 + o_custkey * 7) % 200"
     columns = {
-        "recharge_id": _id("RCH", number - F.when(number % 10 == 9, 1).otherwise(0)),
-        "customer_id": F.when(number % 43 != 0, _id("CUST", prepaid)),
-        "msisdn": _msisdn(prepaid),
-        "recharge_amount": F.when(number % 47 != 0, amount + 0.25),
-        "recharge_channel": F.when(F.col("o_orderpriority").startswith("1"), "Mobile App")
-        .when(F.col("o_orderpriority").startswith("2"), " USSD")
-        .when(F.col("o_orderpriority").startswith("3"), "Web Portal")
-        .when(F.col("o_orderpriority").startswith("4"), "Retailer")
-        .otherwise("IVR "),
-        "recharge_dttm": _text(F.timestamp_add("SECOND", number % 86400, day)),
-        "validity_days": 7 + number % 53,
-        "expiry_dttm": _text(F.timestamp_add("SECOND", number % 86400 + (7 + number % 53) * 86400, day)),
-        "recharge_month": F.substring(_text(day), 1, 7),
-        "recharge_date": day.cast("date").cast("string"),
-        "created_at": _text(day),
+        "recharge_id": _id("RCH", "(o_orderkey - case when o_orderkey % 10 = 9 then 1 else 0 end)"),
+        "customer_id": f"case when o_orderkey % 43 <> 0 then {_id('CUST', 'prepaid_key')} end",
+        "msisdn": _msisdn("prepaid_key"),
+        "recharge_amount": f"case when o_orderkey % 7 = 0 then -({amount})"
+        f" when o_orderkey % 47 <> 0 then {amount} + 0.25 end",
+        "recharge_channel": "case substring(o_orderpriority, 1, 1) when '1' then 'Mobile App' when '2' then ' USSD'"
+        " when '3' then 'Web Portal' when '4' then 'Retailer' else 'IVR ' end",
+        "recharge_dttm": _text(f"timestampadd(SECOND, {at}, o_orderdate)"),
+        "validity_days": valid,
+        "expiry_dttm": _text(f"timestampadd(SECOND, {at} + ({valid}) * 86400, o_orderdate)"),
+        "recharge_month": "substring(cast(cast(o_orderdate as date) as string), 1, 7)",
+        "recharge_date": "cast(cast(o_orderdate as date) as string)",
+        "created_at": _text("o_orderdate"),
     }
-    columns["recharge_amount"] = F.when(number % 7 == 0, -amount).otherwise(columns["recharge_amount"])
-    base = orders.withColumn("prepaid_key", prepaid)
+    base = orders.selectExpr("*", "o_custkey - o_custkey % 2 as prepaid_key")
     return _with_profile(spark, sf_dir, base, "prepaid_key", columns, schemas.RECHARGE, profile)
 
 
@@ -160,60 +156,47 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     The body is JSON bytes with the customer's attributes, as the producer sends
     them; a few bodies are not JSON and a few lack the customer.
     """
-    ev = table(spark, sf_dir, "events")
-    cust = customers(spark, sf_dir).select("customer_id", *PROFILE)
-    key, kind, value = F.col("event_id"), F.col("event_type"), F.col("value")
-    sent = F.date_trunc("SECOND", F.col("ts"))
-    mapped = (
-        F.when(kind == "error", "call_dropped")
-        .when(kind == "purchase", "recharge_completed")
-        .when(kind == "view", "data_session_start")
-        .when(kind == "click", "data_session_end")
-        .otherwise("call_initiated")
-    )
+    ev = spread_small(table(spark, sf_dir, "events"), "event_id")
     columns = {
-        "event_id": _id("EVT", key),
-        "event_type": mapped,
-        "customer_id": F.when(key % 89 != 0, _id("CUST", F.col("user_id"))),
-        "msisdn": _msisdn(F.col("user_id")),
-        "event_time": F.concat(F.replace(_text(sent), F.lit(" "), F.lit("T")), F.lit("Z")),
-        "network_type": _pick(key % 4, ["4G", "5G", "3G", "WiFi Calling"]),
-        "tower_id": F.concat(F.lit("TOWER_"), (key % 20).cast("string")),
-        "duration_seconds": F.when(kind == "error", F.floor(value).cast("int")),
-        "data_mb": F.when(kind.isin("view", "click"), value),
-        "call_type": F.when(kind.isin("error", "signup"), "Voice").when(kind.isin("view", "click"), "Data"),
-        "signal_strength": -120 + key % 70,
-        "recharge_amount": F.when(kind == "purchase", value),
-        "recharge_channel": F.when(kind == "purchase", "USSD"),
-        "roaming_country": F.lit(None),
+        "event_id": _id("EVT", "event_id"),
+        "event_type": "case event_type when 'error' then 'call_dropped' when 'purchase' then 'recharge_completed'"
+        " when 'view' then 'data_session_start' when 'click' then 'data_session_end' else 'call_initiated' end",
+        "customer_id": f"case when event_id % 89 <> 0 then {_id('CUST', 'user_id')} end",
+        "msisdn": _msisdn("user_id"),
+        "event_time": f"concat(replace({_text('date_trunc(\'SECOND\', ts)')}, ' ', 'T'), 'Z')",
+        "network_type": _pick("event_id % 4", ["4G", "5G", "3G", "WiFi Calling"]),
+        "tower_id": "concat('TOWER_', event_id % 20)",
+        "duration_seconds": "case when event_type = 'error' then floor(value) end",
+        "data_mb": "case when event_type in ('view', 'click') then value end",
+        "call_type": "case when event_type in ('error', 'signup') then 'Voice'"
+        " when event_type in ('view', 'click') then 'Data' end",
+        "signal_strength": "-120 + event_id % 70",
+        "recharge_amount": "case when event_type = 'purchase' then value end",
+        "recharge_channel": "case when event_type = 'purchase' then 'USSD' end",
+        "roaming_country": "null",
+        **{name: f"trim({name})" for name in ("region", "segment", "plan_name", "churn_risk")},
     }
-    joined = ev.join(
-        cust.select(F.col("customer_id").alias("cid"), *PROFILE),
-        F.col("cid") == _id("CUST", F.col("user_id")),
-        "left",
+    joined = _join_profile(spark, sf_dir, ev, "user_id", PROFILE)
+    fields = ", ".join(
+        f"'{f.name}', cast({columns[f.name]} as {f.dataType.simpleString()})" for f in schemas.EVENT.fields
     )
-    known = {name: F.trim(name) for name in ("region", "segment", "plan_name", "churn_risk")}
-    fields = {**columns, **known}
-    payload = F.struct(
-        *[fields[f.name].cast(f.dataType).alias(f.name) for f in schemas.EVENT.fields]
-    )
-    body = F.when(key % 97 == 0, F.concat(F.lit("garbage "), key.cast("string"))).otherwise(F.to_json(payload))
-    return joined.select(
-        body.cast("binary").alias("body"),
-        F.col("ts").cast("timestamp").alias("enqueuedTime"),
-        (key % 32).cast("int").alias("partition"),
-        key.cast("string").alias("offset"),
+    return joined.selectExpr(
+        "cast(case when event_id % 97 = 0 then concat('garbage ', event_id)"
+        f" else to_json(named_struct({fields})) end as binary) as body",
+        "cast(ts as timestamp) as enqueuedTime",
+        "cast(event_id % 32 as int) as partition",
+        "cast(event_id as string) as offset",
     )
 
 
+def _join_profile(spark, sf_dir, df, key: str, names: list[str]) -> DataFrame:
+    known = customers(spark, sf_dir).selectExpr("customer_id as known_id", *names)
+    keyed = df.selectExpr("*", f"{_id('CUST', key)} as known_id")
+    return keyed.join(known, "known_id", "left")
+
+
 def _with_profile(spark, sf_dir, df, key, columns, schema, profile) -> DataFrame:
     names = [n for n in PROFILE if n in schema.names]
     if profile:
-        cust = customers(spark, sf_dir).select(F.col("customer_id").alias("cid"), *names)
-        df = df.join(cust, F.col("cid") == _id("CUST", F.col(key)), "left")
-        return _typed(df, columns | {n: F.col(n) for n in names}, schema)
-    return _typed(df, columns | {n: F.lit(None) for n in names}, schema)
-
-
-def _typed(df: DataFrame, columns: dict, schema) -> DataFrame:
-    return df.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+        df = _join_profile(spark, sf_dir, df, key, names)
+    return _typed(df, columns | {n: n if profile else "null" for n in names}, schema)
