@@ -15,11 +15,13 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list) -> DataFrame:
 
     All other columns follow as tie-breakers, so equal inputs give equal outputs.
     Spark turns the rank limit into a group limit below the shuffle: a task sends
-    one row per key, however many copies of a key it holds.
+    one row per key, however many copies of a key it holds.  The hash in front of
+    the keys lets the sorts decide on an 8-byte prefix; ids share their first
+    characters, so the key text alone would be compared in full each time.
     """
     named = {c for c in order_by if isinstance(c, str)} | set(keys)
     ties = [c for c in df.columns if c not in named]
-    window = Window.partitionBy(*keys).orderBy(*_ordering(list(order_by) + ties))
+    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*_ordering(list(order_by) + ties))
     ranked = df.withColumn(_RANK, F.row_number().over(window))
     return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 

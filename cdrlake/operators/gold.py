@@ -1,9 +1,11 @@
 """Gold KPI tables.
 
-All of them start from :func:`usage_daily`, a rollup of Silver CDRs to customer,
-day and network.  It is built with map-side aggregation, so one busy customer
-costs a handful of rows per task, and it lets every Gold table read a small table
-instead of scanning the CDRs again.
+They start from usage rows: Silver CDRs as keys and additive measures
+(:func:`usage_rows`), or any rollup of them (:func:`roll_up`).  Distinct counts are
+taken by rolling up to the counted column first, so every step aggregates before
+its shuffle and one busy customer costs a handful of rows per task.  A job that
+builds several Gold tables stores :func:`usage_daily` once and derives them from
+it instead of scanning the CDRs for each.
 """
 
 from pyspark.sql import DataFrame
@@ -22,24 +24,52 @@ SUMMARY_PROFILE = [
     "activation_date",
 ]
 USAGE_KEYS = ["customer_id", "call_date", "call_month", "network_type"]
+COUNTS = [
+    "calls", "cdr_ids", "timed_calls", "voice", "data_sessions", "sms", "dropped",
+    "roaming", "peak", "calls_5g", "calls_4g",
+]
+SUMS = {"minutes": (22, 2), "mb": (22, 2), "revenue": (20, 3)}
+
+
+def usage_rows(cdr: DataFrame) -> DataFrame:
+    """Silver CDRs as usage keys and measures, one row per CDR."""
+
+    def one_if(condition):
+        return flag(condition).cast("bigint")
+
+    network = F.col("network_type")
+    measures = {
+        "calls": F.lit(1).cast("bigint"),
+        "cdr_ids": one_if(F.col("cdr_id").isNotNull()),
+        "timed_calls": one_if(F.col("duration_minutes").isNotNull()),
+        "voice": F.col("is_voice").cast("bigint"),
+        "data_sessions": F.col("is_data_session").cast("bigint"),
+        "sms": one_if(F.col("call_type") == "SMS"),
+        "dropped": F.col("is_dropped").cast("bigint"),
+        "roaming": one_if(F.col("is_roaming") == 1),
+        "peak": F.col("is_peak_hour").cast("bigint"),
+        "calls_5g": one_if(network == "5G"),
+        "calls_4g": one_if(network == "4G"),
+        "minutes": F.col("duration_minutes"),
+        "mb": F.col("data_consumed_mb"),
+        "revenue": F.col("revenue_qar"),
+        "last_date": F.col("call_date"),
+    }
+    return cdr.select(*USAGE_KEYS, *[c.alias(name) for name, c in measures.items()])
+
+
+def roll_up(usage: DataFrame, *keys: str) -> DataFrame:
+    """Usage rows or a finer rollup, summed to the given keys."""
+    return usage.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in COUNTS],
+        *[X.total(c, p, s).alias(c) for c, (p, s) in SUMS.items()],
+        F.max("last_date").alias("last_date"),
+    )
 
 
 def usage_daily(cdr: DataFrame) -> DataFrame:
-    """Counts and exact sums per customer, day and network."""
-    return cdr.groupBy(*USAGE_KEYS).agg(
-        F.count("*").alias("calls"),
-        F.count("cdr_id").alias("cdr_ids"),
-        F.count("duration_minutes").alias("timed_calls"),
-        F.sum("is_voice").alias("voice"),
-        F.sum("is_data_session").alias("data_sessions"),
-        X.count_where(F.col("call_type") == "SMS").alias("sms"),
-        F.sum("is_dropped").alias("dropped"),
-        X.count_where(F.col("is_roaming") == 1).alias("roaming"),
-        F.sum("is_peak_hour").alias("peak"),
-        X.total("duration_minutes", 22, 2).alias("minutes"),
-        X.total("data_consumed_mb", 22, 2).alias("mb"),
-        X.total("revenue_qar", 20, 3).alias("revenue"),
-    )
+    """The stored rollup: one row per customer, day and network."""
+    return roll_up(usage_rows(cdr), *USAGE_KEYS)
 
 
 def cdr_monthly(usage: DataFrame, zero_fill: bool = False) -> DataFrame:
@@ -52,7 +82,8 @@ def cdr_monthly(usage: DataFrame, zero_fill: bool = False) -> DataFrame:
     def some(name):
         return F.sum(name) if zero_fill else X.null_if_zero(F.sum(name))
 
-    return usage.groupBy("customer_id", "call_month").agg(
+    by_network = roll_up(usage, "customer_id", "call_month", "network_type")
+    return by_network.groupBy("customer_id", "call_month").agg(
         F.sum("calls").alias("total_calls"),
         F.sum("voice").alias("voice_calls"),
         some("data_sessions").alias("data_sessions"),
@@ -63,8 +94,8 @@ def cdr_monthly(usage: DataFrame, zero_fill: bool = False) -> DataFrame:
         X.total("mb", 20, 2).alias("total_data_mb"),
         X.total("revenue", 20, 3).alias("cdr_revenue_qar"),
         X.div_round(F.sum("minutes"), F.sum("timed_calls"), 12, 2).alias("avg_call_duration_min"),
-        F.count_distinct("network_type").alias("network_types_used"),
-        F.max("call_date").alias("last_call_date"),
+        F.count("network_type").alias("network_types_used"),
+        F.max("last_date").alias("last_call_date"),
     )
 
 
@@ -108,18 +139,12 @@ def gold_arpu(monthly: DataFrame, recharge: DataFrame, customers: DataFrame) ->
 
 
 def usage_by_customer(usage: DataFrame) -> DataFrame:
-    return usage.groupBy("customer_id").agg(
-        F.count_distinct("call_date").alias("days"),
-        F.sum("calls").alias("calls"),
-        F.sum("cdr_ids").alias("cdr_ids"),
-        F.sum("timed_calls").alias("timed_calls"),
-        F.sum("dropped").alias("dropped"),
-        F.sum("roaming").alias("roaming"),
-        F.sum("peak").alias("peak"),
-        F.sum(F.when(F.col("network_type") == "5G", F.col("calls"))).alias("calls_5g"),
-        X.total("minutes", 22, 2).alias("minutes"),
-        X.total("mb", 22, 2).alias("mb"),
-        X.total("revenue", 20, 3).alias("revenue"),
+    """Usage totals and active days per customer."""
+    by_day = roll_up(usage, "customer_id", "call_date")
+    return by_day.groupBy("customer_id").agg(
+        F.count("call_date").alias("days"),
+        *[F.sum(c).alias(c) for c in COUNTS],
+        *[X.total(c, p, s).alias(c) for c, (p, s) in SUMS.items()],
     )
 
 
@@ -201,7 +226,7 @@ def customer_summary(
 def regional_kpis(customers: DataFrame, usage: DataFrame) -> DataFrame:
     """KPIs per region and segment, best revenue first."""
     facts = customers.select("customer_id", "region", "segment").join(
-        usage_by_customer(usage), "customer_id", "left"
+        roll_up(usage, "customer_id"), "customer_id", "left"
     )
     calls = F.sum(F.coalesce("cdr_ids", F.lit(0)))
     customers_seen = F.count("customer_id")
@@ -224,21 +249,19 @@ def daily_trend(usage: DataFrame, zero_fill: bool = False) -> DataFrame:
     def some(c):
         return F.coalesce(c, F.lit(0)) if zero_fill else X.null_if_zero(c)
 
-    def network(name):
-        return F.sum(F.when(F.col("network_type") == name, F.col("calls")))
-
+    by_customer = roll_up(usage, "call_date", "call_month", "customer_id")
     return (
-        usage.groupBy("call_date", "call_month")
+        by_customer.groupBy("call_date", "call_month")
         .agg(
             F.sum("calls").alias("total_calls"),
-            F.count_distinct("customer_id").alias("active_customers"),
+            F.count("customer_id").alias("active_customers"),
             X.rounded(F.sum("revenue"), 20, 2).alias("daily_revenue"),
             X.div_round(F.sum("mb"), F.lit(1024), 20, 2).alias("daily_data_gb"),
             X.div_round(F.sum("minutes"), F.sum("timed_calls"), 12, 2).alias("avg_call_duration"),
             some(F.sum("dropped")).alias("dropped_calls"),
             some(F.sum("roaming")).alias("roaming_calls"),
-            some(network("5G")).alias("calls_5g"),
-            some(network("4G")).alias("calls_4g"),
+            some(F.sum("calls_5g")).alias("calls_5g"),
+            some(F.sum("calls_4g")).alias("calls_4g"),
         )
         .orderBy("call_date")
     )

@@ -59,7 +59,7 @@ class Lake:
 
     @cached_property
     def usage(self) -> DataFrame:
-        return gold.usage_daily(self.cdr)
+        return gold.usage_rows(self.cdr)
 
     @cached_property
     def cdr_monthly(self) -> DataFrame:
