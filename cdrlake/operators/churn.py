@@ -91,13 +91,18 @@ def score(
 
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """One row per feature; 19 numbers of the fitted model."""
+    return spark.createDataFrame(list(importances(model).items()), "feature string, importance double")
+
+
+def importances(model: PipelineModel) -> dict[str, float]:
     weights = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(w)) for name, w in zip(FEATURES, weights)]
-    return spark.createDataFrame(rows, "feature string, importance double")
+    return {name: float(w) for name, w in zip(FEATURES, weights)}
 
 
-def top_features(spark: SparkSession, model: PipelineModel, n: int = 10) -> DataFrame:
-    return feature_importance(spark, model).orderBy(F.desc("importance"), "feature").limit(n)
+def top_importances(runs: DataFrame, n: int = 10) -> DataFrame:
+    """The strongest features of each recorded run's model."""
+    each = runs.select(F.explode("importances").alias("feature", "importance"))
+    return each.orderBy(F.desc("importance"), "feature").limit(n)
 
 
 def top_scores(scores: DataFrame, n: int = 20) -> DataFrame:

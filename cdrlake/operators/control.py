@@ -4,9 +4,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from ..sources.tables import path_exists
 
 # Pipelines and the watermark they start from.
 PIPELINES = ["customers_full_load", "cdrs_incremental_load", "recharges_incremental"]
@@ -74,15 +74,12 @@ class ControlTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _versions(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return None
-
     def version(self) -> int:
-        rows = self._versions()
-        return -1 if rows is None else rows.agg(F.max("version")).first()[0]
+        """The highest complete version, -1 before the first write."""
+        if not path_exists(self.spark, self.path):
+            return -1
+        newest = self.spark.read.parquet(self.path).agg(F.max("version")).first()[0]
+        return -1 if newest is None else newest
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).where(F.col("version") == self.version()).drop("version")

@@ -33,11 +33,15 @@ def train_and_score(
     stored = read_table(spark, base, "work", "churn_features")
     train, test = churn.split(stored)
     model = churn.fit(train, trees=trees, depth=depth)
-    metrics = churn.evaluate(model.transform(test).cache())
     run_id = uuid.uuid4().hex
     model_path = f"{base}/models/{run_id}"
     model.write().overwrite().save(model_path)
-    weights = model.stages[-1].featureImportances.toArray()
+    # A fresh model carries its training summary, and with it the session, which
+    # cannot be sent to tasks once the session has observed a frame.
+    model = load_model(model_path)
+    predicted = model.transform(test).select("label", "rawPrediction", "prediction").persist()
+    metrics = churn.evaluate(predicted)
+    predicted.unpersist()
     sizes = stored.agg(F.count("*").alias("n")).first()["n"], train.count()
     track_run(
         spark,
@@ -52,7 +56,7 @@ def train_and_score(
             "features": len(churn.FEATURES),
             "label": "churn_risk_binary",
             **metrics,
-            "importances": {n: float(w) for n, w in zip(churn.FEATURES, weights)},
+            "importances": churn.importances(model),
             "model_path": model_path,
             "run_dttm": datetime.now(timezone.utc),
         },

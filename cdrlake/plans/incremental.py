@@ -11,6 +11,7 @@ from ..config import RunResult
 from ..operators import control
 from ..sinks.tables import append_merge
 from ..sources import files
+from ..sources.tables import path_exists
 
 
 def _now() -> datetime:
@@ -49,7 +50,7 @@ def incremental_load(
         .partitionBy("file_date")
         .parquet(out)
     )
-    loaded = _loaded(spark, out, row[0])
+    loaded = _loaded(spark, out, wanted.schema, row[0])
     result = RunResult(detail={"watermark": row[0]})
     if loaded["rows"]:
         result.detail["watermark"] = loaded["newest"]
@@ -64,13 +65,11 @@ def incremental_load(
     return result
 
 
-def _loaded(spark: SparkSession, out: str, since: datetime):
+def _loaded(spark: SparkSession, out: str, schema: StructType, since: datetime):
     """Rows and newest date above the watermark; only those folders are opened."""
-    try:
-        table = spark.read.parquet(out)
-    except Exception:  # nothing has been written yet
+    if not path_exists(spark, f"{out}/_SUCCESS"):
         return {"rows": 0, "newest": None}
-    newer = table.where(F.col("file_date").cast("timestamp") > F.lit(since))
+    newer = spark.read.schema(schema).parquet(out).where(F.col("file_date").cast("timestamp") > F.lit(since))
     return newer.agg(
         F.count("*").alias("rows"), F.max("file_date").cast("timestamp").alias("newest")
     ).first()

@@ -28,6 +28,17 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
+def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """CSV with a header; spaces around values are kept."""
+    writer = (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+    (writer.partitionBy(partition_by) if partition_by else writer).csv(path)
+
+
 def publish_gold(base: str, tables: dict[str, tuple[DataFrame, str | None]]) -> dict[str, int]:
     """Write several Gold tables, each with an optional partition column."""
     return {name: write_table(df, f"{base}/gold/{name}", by) for name, (df, by) in tables.items()}

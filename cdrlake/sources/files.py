@@ -7,6 +7,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .. import schemas
 from ..functions.casting import as_column
 from ..operators.filters import active, in_window
+from ..sinks.tables import write_csv
 
 CORRUPT = "_corrupt_record"
 
@@ -60,9 +61,9 @@ def extract_active_customers(
         misfit = misfit | (F.col(name).isNotNull() & c.isNull())
     fits = rows.where(~misfit).select(*[c.alias(name) for name, c in typed.items()])
     rejected = rows.where(misfit)
-    fits.write.mode("overwrite").option("header", True).csv(path)
+    write_csv(fits, path)
     if rejects_path:
-        rejected.write.mode("overwrite").option("header", True).csv(rejects_path)
+        write_csv(rejected, rejects_path)
     return fits, rejected
 
 

@@ -21,6 +21,12 @@ def register_gold_views(spark: SparkSession, base: str, names: list[str] = GOLD_
     register(**{f"gold_{name}": read_table(spark, base, "gold", name) for name in names})
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of the plan; file sizes for a plain scan."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -1,13 +1,26 @@
 """Registered queries: name to (Spark query, DuckDB SQL or None)."""
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ..operators import dedup, filters, gold, measures, quality, views
+from pyspark.sql.types import StructType
+
+from .. import schemas
+from ..config import RunConfig
+from ..operators import churn, control, dedup, filters, gold, measures, quality, silver, views
+from ..plans.batch import run_batch
+from ..plans.churn_job import train_and_score
+from ..plans.incremental import full_reload_customers, incremental_load
+from ..plans.serving import register_serving_views
+from ..session import scratch_dir
+from ..sinks.tables import copy_csv_to_parquet, write_csv, write_table
+from ..sources import files
+from ..sources.tables import read_table
 from ..streaming import alerts
 from ..streaming import events as ev
+from ..streaming.run import progress_rows, run_streams
 from . import bronze
 from . import oracle as O
 from .lake import Lake
@@ -134,17 +147,9 @@ add(
   is_digital_channel, amount_band
 FROM silver_recharges s LEFT JOIN bronze_customers c ON c.customer_id = s.buyer_id""",
     lambda k: _text(
-        _silver_recharges_full(k), "recharge_dttm", "expiry_dttm"
+        silver.silver_recharges(bronze.recharges(k.spark, k.sf_dir)), "recharge_dttm", "expiry_dttm"
     ),
 )
-
-
-def _silver_recharges_full(k: Lake) -> DataFrame:
-    from ..operators.silver import silver_recharges
-
-    return silver_recharges(bronze.recharges(k.spark, k.sf_dir))
-
-
 _FLAGS = ["is_dropped", "is_successful", "is_data_session", "is_voice", "is_international", "is_peak_hour"]
 add(
     "silver_cdr_flags",
@@ -186,7 +191,12 @@ add(
 add(
     "dedup_cdr",
     "SELECT cdr_id, customer_id, call_start_dttm, call_date, network_type, revenue_qar FROM cdr_unique",
-    lambda k: _dedup_cdr(k),
+    lambda k: _text(
+        silver.unique_cdr(k.bronze_cdr).select(
+            "cdr_id", "customer_id", "call_start_dttm", "call_date", "network_type", "revenue_qar"
+        ),
+        "call_start_dttm",
+    ),
 )
 add(
     "distinct_customers",
@@ -194,16 +204,6 @@ add(
     lambda k: dedup.distinct_values(k.cdr, "customer_id"),
 )
 
-
-def _dedup_cdr(k: Lake) -> DataFrame:
-    from ..operators.silver import unique_cdr
-
-    out = unique_cdr(k.bronze_cdr).select(
-        "cdr_id", "customer_id", "call_start_dttm", "call_date", "network_type", "revenue_qar"
-    )
-    return _text(out, "call_start_dttm")
-
-
 # --- Gold -------------------------------------------------------------------
 
 add("cdr_monthly", "SELECT * FROM cdr_monthly", lambda k: k.cdr_monthly)
@@ -500,6 +500,285 @@ FROM silver_events e LEFT JOIN silver_customers c ON c.customer_id = e.customer_
 )
 
 
+# --- control tables and incremental loads -------------------------------------
+
+RECHARGES_SINCE = "1998-01-01 00:00:00"
+_RECHARGE_FILES = "(SELECT recharge_month, COUNT(*) AS n FROM bronze_recharges GROUP BY recharge_month)"
+_CDR_FILES = "(SELECT call_date, COUNT(*) AS n FROM bronze_cdr GROUP BY call_date)"
+
+
+def _file_listing(k: Lake) -> DataFrame:
+    """The daily CDR and monthly recharge files the Bronze rows would arrive in, some
+    with dashes in the name, and the rows in each."""
+    days = k.bronze_cdr.groupBy("call_date").agg(F.count("*").alias("file_rows"))
+    months = k.bronze_recharges.groupBy("recharge_month").agg(F.count("*").alias("file_rows"))
+    day_name = F.concat(F.lit("cdrs_"), F.replace("call_date", F.lit("-"), F.lit("_")), F.lit(".csv"))
+    month_name = F.concat(F.lit("recharges_"), "recharge_month", F.lit(".csv"))
+    return days.select(day_name.alias("path"), "file_rows").unionByName(
+        months.select(month_name.alias("path"), "file_rows")
+    )
+
+
+def _loads(k: Lake) -> DataFrame:
+    """Per pipeline: the newest file date and the rows after the initial watermark."""
+    start = F.lit(control.EPOCH).cast("timestamp")
+    out = []
+    for prefix, pipeline in (("cdrs", "cdrs_incremental_load"), ("recharges", "recharges_incremental")):
+        new = files.new_files(_file_listing(k), prefix, start)
+        out.append(
+            new.agg(
+                F.lit(pipeline).alias("pipeline_name"),
+                F.max("file_date").cast("timestamp").alias("watermark"),
+                F.sum("file_rows").alias("rows"),
+            )
+        )
+    return out[0].unionByName(out[1])
+
+
+_LOADED = f"""SELECT 'cdrs_incremental_load' AS pipeline_name,
+  strftime(MAX(CAST(try_strptime(call_date, '%Y-%m-%d') AS DATE)), '%Y-%m-%d 00:00:00') AS last_watermark,
+  CAST(SUM(n) AS BIGINT) AS last_run_rows
+FROM {_CDR_FILES} WHERE CAST(try_strptime(call_date, '%Y-%m-%d') AS DATE) > DATE '2000-01-01'
+UNION ALL SELECT 'recharges_incremental', strftime(MAX(CAST(recharge_month || '-01' AS DATE)), '%Y-%m-%d 00:00:00'),
+  CAST(SUM(n) AS BIGINT) FROM {_RECHARGE_FILES} WHERE CAST(recharge_month || '-01' AS DATE) > DATE '2000-01-01'"""
+add(
+    "incremental_files",
+    f"""SELECT 'cdrs_' || replace(call_date, '-', '_') || '.csv' AS path, n AS file_rows,
+  CAST(call_date AS DATE) AS file_date FROM {_CDR_FILES}
+WHERE call_date <> '2024-13-45' AND call_date > '2000-01-01'""",
+    lambda k: files.new_files(_file_listing(k), "cdrs", F.lit(control.EPOCH).cast("timestamp")),
+)
+add(
+    "watermark_update",
+    f"""SELECT pipeline_name, last_watermark, 'SUCCESS' AS last_run_status, last_run_rows FROM ({_LOADED}) t
+UNION ALL SELECT 'customers_full_load', '2000-01-01 00:00:00', 'PENDING', 0""",
+    lambda k: _text(control.apply_loads(control.init_watermarks(k.spark), _loads(k)), "last_watermark"),
+)
+add(
+    "watermark_lookup",
+    f"SELECT last_watermark FROM ({_LOADED}) t WHERE pipeline_name = 'cdrs_incremental_load'",
+    lambda k: _text(
+        control.get_watermark(
+            control.apply_loads(control.init_watermarks(k.spark), _loads(k)), "cdrs_incremental_load"
+        ),
+        "last_watermark",
+    ),
+)
+
+
+@register(
+    "incremental_recharge_load",
+    f"""SELECT CAST(recharge_month || '-01' AS DATE) AS file_date, COUNT(*) AS recharges,
+  CAST(SUM(recharge_amount) AS DECIMAL(24,2)) AS amount FROM bronze_recharges
+WHERE recharge_month > substr('{RECHARGES_SINCE}', 1, 7) GROUP BY recharge_month""",
+)
+def _incremental_recharge_load(k: Lake) -> DataFrame:
+    """Monthly CSV folders are written, then those after the watermark are loaded."""
+    base = scratch_dir(k.spark, "incremental")
+    tag = F.concat(F.lit("recharges_"), F.replace("recharge_month", F.lit("-"), F.lit("_")))
+    landing = bronze.recharges(k.spark, k.sf_dir).withColumn("file", tag).hint("rebalance", "file")
+    write_csv(landing, f"{base}/bronze/recharges", "file")
+    marks = control.ControlTable(k.spark, f"{base}/control/watermarks")
+    start = datetime.fromisoformat(RECHARGES_SINCE)
+    pipeline = "recharges_incremental"
+    marks.write(control.update_watermark(control.init_watermarks(k.spark), pipeline, start, "SUCCESS", 0))
+    incremental_load(
+        k.spark, f"{base}/bronze/recharges", "recharges", schemas.RECHARGE, f"{base}/landing/recharges",
+        marks, pipeline, audit_path=f"{base}/control/audit",
+    )
+    loaded = k.spark.read.parquet(f"{base}/landing/recharges")
+    amount = F.sum(F.col("recharge_amount").cast("decimal(12,2)")).cast("decimal(24,2)")
+    return loaded.groupBy("file_date").agg(F.count("*").alias("recharges"), amount.alias("amount"))
+
+
+@register("raw_copy", f"SELECT {', '.join(schemas.CDR_COPY_COLUMNS)} FROM bronze_cdr")
+def _raw_copy(k: Lake) -> DataFrame:
+    """The 13-column copy of raw CDR rows, one folder per date."""
+    out = f"{scratch_dir(k.spark, 'copy')}/landing/cdrs"
+    copy_csv_to_parquet(k.bronze_cdr, schemas.CDR_COPY_COLUMNS, out)
+    kinds = StructType([schemas.CDR[c] for c in schemas.CDR_COPY_COLUMNS])
+    rows = k.spark.read.schema(kinds).parquet(out)
+    return rows.withColumns(
+        {
+            "revenue_qar": F.col("revenue_qar").cast("decimal(13,3)"),
+            "data_consumed_mb": F.col("data_consumed_mb").cast("decimal(12,2)"),
+        }
+    )
+
+
+def _land_bronze(k: Lake) -> RunConfig:
+    """Bronze CSV files of the three batch entities under a scratch folder."""
+    cfg = RunConfig(scratch_dir(k.spark, "lake"), "1900-01-01", "2099-12-31")
+    for name, df in (
+        ("cdrs", bronze.cdr(k.spark, k.sf_dir)),
+        ("customers", k.bronze_customers),
+        ("recharges", bronze.recharges(k.spark, k.sf_dir)),
+    ):
+        write_csv(df, cfg.bronze(name))
+    return cfg
+
+
+_RUNS: dict[tuple[str, str, str], str] = {}
+
+
+def _once(k: Lake, what: str, build: Callable[[Lake], str]) -> str:
+    """The folder of a job's output, run once per session and data."""
+    key = (k.spark.sparkContext.applicationId, k.sf_dir, what)
+    if key not in _RUNS:
+        _RUNS[key] = build(k)
+    return _RUNS[key]
+
+
+def _batch(k: Lake) -> str:
+    cfg = _land_bronze(k)
+    run_batch(k.spark, cfg)
+    return cfg.base
+
+
+@register("lake_arpu_monthly", "SELECT * FROM arpu_monthly")
+def _lake_arpu(k: Lake) -> DataFrame:
+    """ARPU read back after a whole run from CSV files over stored Silver and Gold."""
+    return read_table(k.spark, _once(k, "batch", _batch), "gold", "arpu_monthly").drop("gold_load_dttm")
+
+
+@register("lake_executive_kpis", "SELECT * FROM vw_executive_kpis")
+def _lake_kpis(k: Lake) -> DataFrame:
+    """The serving view by name, over published Gold tables."""
+    register_serving_views(k.spark, _once(k, "batch", _batch), with_scores=False)
+    return k.spark.sql("SELECT * FROM vw_executive_kpis")
+
+
+add(
+    "staging_reload",
+    f"SELECT plan_type, COUNT(*) AS cnt, {_FEE} FROM bronze_customers GROUP BY plan_type"
+    f" UNION ALL SELECT 'ALL', COUNT(*), {_FEE} FROM bronze_customers",
+    lambda k: _staging_reload(k),
+)
+add(
+    "active_extract",
+    "SELECT customer_id, plan_type, monthly_fee_qar, is_active FROM bronze_customers WHERE is_active = 1",
+    lambda k: _active_extract(k),
+)
+
+
+def _staging_reload(k: Lake) -> DataFrame:
+    base = scratch_dir(k.spark, "staging")
+    write_csv(k.bronze_customers, f"{base}/customers")
+    write_table(files.load_customers_staging(k.spark, f"{base}/customers"), f"{base}/staging")
+    return quality.validate_staging(k.spark.read.parquet(f"{base}/staging"))
+
+
+def _active_extract(k: Lake) -> DataFrame:
+    base = scratch_dir(k.spark, "extract")
+    marks = control.ControlTable(k.spark, f"{base}/control/watermarks")
+    marks.write(control.init_watermarks(k.spark))
+    full_reload_customers(k.bronze_customers, f"{base}/customers", marks, f"{base}/rejects")
+    rows = files.read_customers(k.spark, f"{base}/customers")
+    return rows.select("customer_id", "plan_type", "monthly_fee_qar", "is_active")
+
+
+# --- streams ------------------------------------------------------------------
+
+
+def _run_streams(k: Lake):
+    """Capture the messages to files, then drain them through both queries."""
+    base = scratch_dir(k.spark, "stream")
+    k.raw_events.repartition(4, "offset").write.parquet(f"{base}/capture")
+    raw = ev.read_capture(k.spark, f"{base}/capture", max_files=2)
+    queries = run_streams(raw, base, trigger=None)
+    for q in queries:
+        q.awaitTermination()
+    return base, queries
+
+
+@register("silver_events_stream", "SELECT * FROM silver_events")
+def _silver_events_stream(k: Lake) -> DataFrame:
+    base, _ = _run_streams(k)
+    out = k.spark.read.parquet(f"{base}/silver/events").drop("silver_load_dttm")
+    return _text(out, *_EVENT_TIMES)
+
+
+@register("churn_alerts_stream", "SELECT * FROM alerts")
+def _churn_alerts_stream(k: Lake) -> DataFrame:
+    base, _ = _run_streams(k)
+    out = k.spark.read.parquet(f"{base}/gold/realtime_alerts").drop("alert_created", "batch_id")
+    return _text(out, *_EVENT_TIMES)
+
+
+@register("stream_progress")
+def _stream_progress(k: Lake) -> DataFrame:
+    _, queries = _run_streams(k)
+    return progress_rows(k.spark, *queries)
+
+
+# --- churn model --------------------------------------------------------------
+
+
+def _train(k: Lake) -> str:
+    base = scratch_dir(k.spark, "churn")
+    train_and_score(k.spark, k.features, base)
+    return base
+
+
+def trained(k: Lake) -> str:
+    """Folder of the trained model and its scores."""
+    return _once(k, "churn", _train)
+
+
+def _scores(k: Lake) -> DataFrame:
+    return read_table(k.spark, trained(k), "gold", "churn_scores")
+
+
+def _runs(k: Lake) -> DataFrame:
+    return read_table(k.spark, trained(k), "gold", "model_runs")
+
+
+def _scored_360(k: Lake) -> DataFrame:
+    return views.vw_customer_360(k.summary, _scores(k))
+
+
+_SCORE_OUT = churn.SCORE_COLUMNS + ["model_version"]
+add("churn_scores", None, lambda k: _scores(k).select(_SCORE_OUT))
+add("top_churn_scores", None, lambda k: churn.top_scores(_scores(k).select(_SCORE_OUT)))
+add(
+    "score_bands",
+    None,
+    lambda k: _scores(k).groupBy("churn_score_band", "is_high_churn_risk").agg(
+        F.count("*").alias("customers"),
+        F.min("churn_probability").alias("lowest"),
+        F.max("churn_probability").alias("highest"),
+    ),
+)
+add("churn_band_counts", None, lambda k: gold.band_counts(_scores(k)))
+add("churn_metrics", None, lambda k: _runs(k).select("train_rows", "test_rows", "auc", "accuracy", "f1_score"))
+add(
+    "churn_feature_importance",
+    None,
+    lambda k: _runs(k).select(F.explode("importances").alias("feature", "importance")),
+)
+add(
+    "churn_top_features",
+    None,
+    lambda k: churn.top_importances(_runs(k)),
+)
+add(
+    "churn_split",
+    None,
+    lambda k: _split_sizes(k),
+)
+add("vw_customer_360", None, _scored_360)
+add("vw_churn_analysis", None, lambda k: views.vw_churn_analysis(_scores(k), k.summary))
+add("m_high_churn_count", None, lambda k: measures.high_churn_count(_scored_360(k)))
+add("m_avg_churn_prob", None, lambda k: measures.avg_churn_prob(_scored_360(k)))
+add("sample_scores", None, lambda k: measures.sample_rows(_scores(k).select(_SCORE_OUT), 10))
+
+
+def _split_sizes(k: Lake) -> DataFrame:
+    train, test = churn.split(k.features)
+    parts = [df.select(F.lit(name).alias("part"), "label") for name, df in (("train", train), ("test", test))]
+    return parts[0].unionByName(parts[1]).groupBy("part", "label").agg(F.count("*").alias("customers"))
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, fn=fn: fn(Lake(spark, sf_dir))) for name, (fn, _) in REGISTRY.items()}
 
