@@ -67,7 +67,7 @@ def incremental_load(
 
 def _loaded(spark: SparkSession, out: str, schema: StructType, since: datetime):
     """Rows and newest date above the watermark; only those folders are opened."""
-    if not path_exists(spark, f"{out}/_SUCCESS"):
+    if not path_exists(spark, out):
         return {"rows": 0, "newest": None}
     newer = spark.read.schema(schema).parquet(out).where(F.col("file_date").cast("timestamp") > F.lit(since))
     return newer.agg(

@@ -52,6 +52,8 @@ def register_catalog(spark: SparkSession, database: str, base: str, names: list[
         table, path = f"{database}.{name}", f"{base}/gold/{name}"
         if not spark.catalog.tableExists(table):
             spark.catalog.createTable(table, path=path, source="parquet")
+        if any(c.isPartition for c in spark.catalog.listColumns(table)):
+            spark.catalog.recoverPartitions(table)
         spark.catalog.refreshTable(table)
 
 

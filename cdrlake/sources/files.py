@@ -29,21 +29,34 @@ def read_recharges(spark: SparkSession, path) -> DataFrame:
     return read_csv(spark, path, schemas.RECHARGE)
 
 
+def typed_or_misfit(schema: StructType) -> tuple[list[Column], Column]:
+    """Casts to the schema, and the condition that some value does not fit its type."""
+    casts, misfit = [], F.lit(False)
+    for f in schema.fields:
+        cast = F.col(f.name).try_cast(f.dataType)
+        casts.append(cast.alias(f.name))
+        misfit = misfit | (F.col(f.name).isNotNull() & cast.isNull())
+    return casts, misfit
+
+
 def read_with_rejects(spark: SparkSession, path, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected lines): rows that do not fit the schema keep their text."""
-    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    """(good rows, rejected lines): wrong field counts, or values that do not fit.
+
+    The fields are read as text and cast here.  The CSV reader converts only the
+    selected fields, and would miss a bad value in another one.
+    """
+    text = StructType([StructField(n, StringType()) for n in [*schema.names, CORRUPT]])
     rows = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(wide)
+        .schema(text)
         .csv(path)
     )
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = rows.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("line"), *[c for c in schema.names[:1]]
-    )
-    return good, bad.select("line")
+    casts, misfit = typed_or_misfit(schema)
+    bad = misfit | F.col(CORRUPT).isNotNull()
+    line = F.coalesce(CORRUPT, F.to_csv(F.struct(*schema.names)))
+    return rows.where(~bad).select(*casts), rows.where(bad).select(line.alias("line"))
 
 
 def extract_active_customers(
@@ -55,12 +68,8 @@ def extract_active_customers(
     ``rejects_path``, written there.  Returns (written, rejected).
     """
     rows = active(source)
-    typed = {f.name: as_column(f.name).try_cast(f.dataType) for f in schemas.CUSTOMER.fields}
-    misfit = F.lit(False)
-    for name, c in typed.items():
-        misfit = misfit | (F.col(name).isNotNull() & c.isNull())
-    fits = rows.where(~misfit).select(*[c.alias(name) for name, c in typed.items()])
-    rejected = rows.where(misfit)
+    casts, misfit = typed_or_misfit(schemas.CUSTOMER)
+    fits, rejected = rows.where(~misfit).select(*casts), rows.where(misfit)
     write_csv(fits, path)
     if rejects_path:
         write_csv(rejected, rejects_path)
