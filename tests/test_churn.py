@@ -1,10 +1,15 @@
 import random
 
+import frames
 import pytest
 from pyspark.sql import functions as F
 
+from cdrlake.config import RunConfig
 from cdrlake.operators import churn, gold, views
-from cdrlake.plans.churn_job import load_model, train_and_score
+from cdrlake.plans.batch import run_batch
+from cdrlake.plans.churn_job import load_model, run_churn, train_and_score
+from cdrlake.plans.serving import register_serving_views
+from cdrlake.sinks import tables as sinks
 from cdrlake.sinks.tables import read_merged
 from cdrlake.sources.tables import read_table
 
@@ -82,3 +87,21 @@ def test_views_over_scores(spark, run):
     )
     got = analysis.collect()
     assert sum(r.customer_count for r in got) == 300 and {str(r.avg_monthly_fee) for r in got} == {"1.00"}
+
+
+def test_job_over_a_lake_and_its_views(spark, tmp_path):
+    cfg = RunConfig(str(tmp_path))
+    people = [f"P{i:02d}" for i in range(60)]
+    sinks.write_csv(
+        frames.customers(
+            spark, *[{"customer_id": p, "churn_risk": "High" if i % 3 else "Low", "tenure_months": i} for i, p in enumerate(people)]
+        ),
+        cfg.bronze("customers"),
+    )
+    sinks.write_csv(frames.cdr(spark, *[{"cdr_id": f"{p}-1", "customer_id": p} for p in people[:50]]), cfg.bronze("cdrs"))
+    sinks.write_csv(frames.recharges(spark, {"customer_id": people[0]}), cfg.bronze("recharges"))
+    run_batch(spark, cfg)
+    assert run_churn(spark, cfg).rows_written == {"churn_scores": 60}
+    register_serving_views(spark, cfg.base)
+    assert spark.sql("SELECT * FROM vw_customer_360 WHERE churn_score_band IS NOT NULL").count() == 60
+    assert spark.sql("SELECT sum(customer_count), sum(total_calls) FROM vw_churn_analysis").first() == (60, 50)
