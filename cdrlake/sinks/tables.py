@@ -1,5 +1,9 @@
 """Parquet writers, layout, catalog registration and copies."""
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +43,22 @@ def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None
     (writer.partitionBy(partition_by) if partition_by else writer).csv(path)
 
 
+def together(jobs: dict[str, Callable[[], Any]]) -> dict[str, Any]:
+    """Run independent Spark jobs at the same time, so that the tail of one does not
+    leave the cluster idle.  The first failure is raised once all have ended."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: done.result() for name, done in running.items()}
+
+
 def publish_gold(base: str, tables: dict[str, tuple[DataFrame, str | None]]) -> dict[str, int]:
     """Write several Gold tables, each with an optional partition column."""
-    return {name: write_table(df, f"{base}/gold/{name}", by) for name, (df, by) in tables.items()}
+    return together(
+        {
+            name: lambda name=name, df=df, by=by: write_table(df, f"{base}/gold/{name}", by)
+            for name, (df, by) in tables.items()
+        }
+    )
 
 
 def register_catalog(spark: SparkSession, database: str, base: str, names: list[str], location=None) -> None:
