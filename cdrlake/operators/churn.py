@@ -50,7 +50,7 @@ def split(features: DataFrame, share: float = TRAIN_SHARE, seed: int = SEED) ->
 def fit(train: DataFrame, partitions: int | None = None, **settings) -> PipelineModel:
     """Fit on a fixed layout: the forest samples per partition, so the same rows in
     the same partitions and order give the same trees."""
-    n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or train.sparkSession.sparkContext.defaultParallelism
     laid_out = train.repartition(n, "customer_id").sortWithinPartitions("customer_id")
     return churn_pipeline(**settings).fit(laid_out)
 

@@ -122,10 +122,10 @@ FROM orders"""
 CTE["cdr_unique"] = """
 SELECT cdr_id, customer_id, caller_id, msisdn, upper(trim(call_type)) AS call_type, call_start_dttm,
   call_end_dttm, duration_seconds, upper(trim(network_type)) AS network_type,
-  COALESCE(CAST(data_consumed_mb AS DECIMAL(12,2)), 0) AS data_consumed_mb,
+  CAST(COALESCE(data_consumed_mb, 0) AS DECIMAL(12,2)) AS data_consumed_mb,
   upper(trim(termination_code)) AS termination_code, is_roaming,
   COALESCE(roaming_country, 'DOMESTIC') AS roaming_country,
-  COALESCE(CAST(revenue_qar AS DECIMAL(10,3)), 0) AS revenue_qar,
+  CAST(COALESCE(revenue_qar, 0) AS DECIMAL(10,3)) AS revenue_qar,
   CAST(try_strptime(call_date, '%Y-%m-%d') AS DATE) AS call_date, call_hour, created_at
 FROM bronze_cdr
 QUALIFY row_number() OVER (PARTITION BY cdr_id ORDER BY call_start_dttm NULLS LAST, call_end_dttm NULLS LAST,
@@ -151,7 +151,7 @@ WHERE customer_id IS NOT NULL AND call_date IS NOT NULL AND revenue_qar >= 0"""
 CTE["silver_customers"] = f"""
 SELECT customer_id, first_name, last_name, age, trim(nationality) AS nationality, language,
   trim(region) AS region, device_type, upper(trim(plan_type)) AS plan_type, trim(plan_name) AS plan_name,
-  COALESCE(CAST(monthly_fee_qar AS DECIMAL(10,2)), 0) AS monthly_fee_qar, data_allowance_gb,
+  CAST(COALESCE(monthly_fee_qar, 0) AS DECIMAL(10,2)) AS monthly_fee_qar, data_allowance_gb,
   CAST(try_strptime(activation_date, '%Y-%m-%d') AS DATE) AS activation_date, tenure_months,
   trim(segment) AS segment, trim(churn_risk) AS churn_risk, is_active,
   {band('age', [(25, '18-24'), (35, '25-34'), (45, '35-44'), (55, '45-54')], '55+', '<')} AS age_band,

@@ -27,14 +27,26 @@ def normal(columns, rows):
     return sorted(columns), sorted(repr([row[i] for i in order]) for row in rows)
 
 
+# Spark type names and what DuckDB calls them.
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
+
+
+def type_difference(df, names, kinds) -> dict:
+    duck = dict(zip(names, kinds))
+    spark = {c: TYPES.get(t, t.upper().replace(" ", "")) for c, t in df.dtypes}
+    return {c: (t, duck[c]) for c, t in spark.items() if t != duck[c]}
+
+
 def difference(df, con, sql: str) -> str | None:
     """None when equal, else a short account of what differs."""
     spark_rows = [tuple(r) for r in df.collect()]
     names, rows = normal(df.columns, spark_rows)
-    duck_names, _, duck = duck_rows(con, sql)
+    duck_names, kinds, duck = duck_rows(con, sql)
     want_names, want = normal(duck_names, duck)
     if names != want_names:
         return f"columns {set(names) ^ set(want_names)}"
+    if types := type_difference(df, duck_names, kinds):
+        return f"types {types}"
     if len(rows) != len(want):
         return f"rows {len(rows)} vs {len(want)}"
     bad = [(a, b) for a, b in zip(rows, want) if a != b]
