@@ -14,9 +14,16 @@ EPOCH = "2000-01-01 00:00:00"
 
 
 def init_watermarks(spark: SparkSession) -> DataFrame:
-    start = datetime.fromisoformat(EPOCH)
-    rows = [(name, start, "PENDING", 0, None, None) for name in PIPELINES]
-    return spark.createDataFrame(rows, schemas.WATERMARK)
+    names = spark.createDataFrame([(name,) for name in PIPELINES], "pipeline_name string")
+    values = {
+        "last_watermark": F.lit(EPOCH),
+        "last_run_status": F.lit("PENDING"),
+        "last_run_rows": F.lit(0),
+        "last_run_dttm": F.lit(None),
+        "updated_at": F.lit(None),
+    }
+    kinds = {f.name: f.dataType for f in schemas.WATERMARK.fields}
+    return names.select("pipeline_name", *[v.cast(kinds[c]).alias(c) for c, v in values.items()])
 
 
 def get_watermark(watermarks: DataFrame, pipeline: str) -> DataFrame:

@@ -1,7 +1,6 @@
 """Registered queries: name to (Spark query, DuckDB SQL or None)."""
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -579,9 +578,10 @@ def _incremental_recharge_load(k: Lake) -> DataFrame:
     landing = bronze.recharges(k.spark, k.sf_dir).withColumn("file", tag).hint("rebalance", "file")
     write_csv(landing, f"{base}/bronze/recharges", "file")
     marks = control.ControlTable(k.spark, f"{base}/control/watermarks")
-    start = datetime.fromisoformat(RECHARGES_SINCE)
     pipeline = "recharges_incremental"
-    marks.write(control.update_watermark(control.init_watermarks(k.spark), pipeline, start, "SUCCESS", 0))
+    marks.write(
+        control.update_watermark(control.init_watermarks(k.spark), pipeline, RECHARGES_SINCE, "SUCCESS", 0)
+    )
     incremental_load(
         k.spark, f"{base}/bronze/recharges", "recharges", schemas.RECHARGE, f"{base}/landing/recharges",
         marks, pipeline, audit_path=f"{base}/control/audit",
