@@ -138,7 +138,11 @@ add(
     f"SELECT {_CDR_OUT} FROM silver_cdr s LEFT JOIN bronze_customers c ON c.customer_id = s.caller_id",
     lambda k: _text(k.cdr_full, "call_start_dttm", "call_end_dttm"),
 )
-add("silver_customers", "SELECT *, '2024-12-31 00:00:00' AS created_at, '2024-12-31 00:00:00' AS updated_at FROM silver_customers", lambda k: k.customers)
+add(
+    "silver_customers",
+    "SELECT *, '2024-12-31 00:00:00' AS created_at, '2024-12-31 00:00:00' AS updated_at FROM silver_customers",
+    lambda k: k.customers,
+)
 add(
     "silver_recharges",
     """SELECT recharge_id, s.customer_id, s.msisdn, recharge_amount, recharge_channel, recharge_dttm, validity_days,
