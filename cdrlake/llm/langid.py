@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, fold, row_of, ship, text_slices
+from .common import batch, fold, row_of, ship, text_slices, with_fields
 
 BUCKETS = 1 << 14
 MAX_LANGUAGES = 500
@@ -145,8 +145,7 @@ def predict(docs: DataFrame, text: str, model: tuple[list[str], np.ndarray], kee
             columns = [b.column(i) for i in range(len(fields))] + [pa.array(pred), pa.array(prob)]
             yield pa.RecordBatch.from_arrays(columns, names=[*fields, "lang_pred", "score"])
 
-    schema = out.schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(score, with_fields(out.schema, "lang_pred string, score double"))
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -2,8 +2,8 @@
 
 1. At most ``max_examples`` labelled rows, those with the smallest hash of the id,
    are the examples (a documented bound; the rows held out never are).
-2. Terms are the words whose chi-square against the label is over ``min_chi2``, at
-   most ``max_terms``.  Their document frequencies come from all documents.
+2. Terms are the words and word stems that are more frequent in toxic examples and whose
+   chi-square is ``min_chi2`` or more, at most ``max_terms``.  Their document frequencies come from all documents.
 3. Examples with equal TF-IDF vectors form one entry with its count of labels; the
    entries go into an inverted index of blocks, with the largest weight of each term
    and block.  Terms and entries are bounded, so the index is broadcast.
@@ -25,18 +25,46 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, fold, ship
+from .common import batch, fold, saved, ship, with_fields
 
-MAX_EXAMPLES = 20_000
+MAX_EXAMPLES = 16_000
 MAX_TERMS = 4_096
-MIN_CHI2 = 40.0
-BLOCK = 64
+MIN_CHI2 = 60.0
+BLOCK = 1024
 NEIGHBOURS = 16
 _WORD = re.compile(r"\w+")
+_KNOWN = 500_000
 
 
-def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+def forms(word: str) -> list[str]:
+    """The terms that a word stands for: itself and its stems of four and five letters."""
+    return [word, *(f"{word[:n]}*" for n in (4, 5) if len(word) > n)]
+
+
+class Terms(dict):
+    """Stretch of text without white space to the ids of its chosen terms.
+
+    Stretches met before are remembered, up to a bound of their number.
+    """
+
+    def __init__(self, names: dict[str, int]):
+        super().__init__()
+        self.names = names
+
+    def __missing__(self, stretch: str) -> tuple[int, ...]:
+        if len(self) >= _KNOWN:
+            self.clear()
+        found = tuple(self.names[f] for w in _WORD.findall(stretch.lower()) for f in forms(w) if f in self.names)
+        self[stretch] = found
+        return found
+
+    def __reduce__(self):
+        return Terms, (self.names,)
+
+    def vector(self, text: str | None) -> tuple:
+        """((term, number of times), ...) by term."""
+        found = [f for f in map(self.__getitem__, (text or "").split()) if f]
+        return tuple(sorted(Counter(t for f in found for t in f).items()))
 
 
 class Index:
@@ -78,8 +106,9 @@ class Index:
         for q, _, _, blocks, _, most in query:
             bound[blocks] += q * most
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] - 1e-9:
+        bound = np.round(bound + 1e-12, 9)
+        for b in np.argsort(-bound, kind="stable"):  # of equal bounds, the first block first
+            if bound[b] <= 0 or len(best) == k and (-bound[b], b * BLOCK) > (-best[-1][0], best[-1][1]):
                 break
             scores = np.zeros(BLOCK)
             for q, ats, weights, blocks, first, _ in query:
@@ -87,8 +116,13 @@ class Index:
                 if j < len(blocks) and blocks[j] == b:
                     part = slice(first[j], first[j + 1])
                     scores[ats[part] - b * BLOCK] += q * weights[part]
-            found = np.flatnonzero(scores > 0)
-            best = sorted(best + [(round(scores[i], 9), int(b) * BLOCK + int(i)) for i in found], key=lambda x: (-x[0], x[1]))[:k]
+            scores = np.round(scores, 9)
+            least = best[-1][0] if len(best) == k else 1e-9
+            found = np.flatnonzero(scores >= least)
+            if len(found):
+                found = found[np.argsort(-scores[found], kind="stable")[:k]]
+                new = [(float(scores[i]), int(b) * BLOCK + int(i)) for i in found]
+                best = sorted(best + new, key=lambda x: (-x[0], x[1]))[:k]
         return best
 
     def score(self, vector: tuple) -> tuple[float, list[int]]:
@@ -102,115 +136,109 @@ class Index:
         return float(min(1.0, max(0.0, score))), [d for i in at[:3] for d in self.ids[i][:1]]
 
 
-def vector_of(text: str | None, terms: dict[str, int]) -> tuple:
-    counts = Counter(t for t in map(terms.get, words(text)) if t is not None)
-    return tuple(sorted(counts.items()))
+def examples_of(labels: DataFrame, doc_id: str, label: str, max_examples: int) -> DataFrame:
+    """(id, toxic) of at most ``max_examples`` labelled documents."""
+    marked = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
+    marked = marked.groupBy(F.col(doc_id).cast("long").alias("id")).agg((F.max(label) != 0).cast("long").alias("toxic"))
+    return marked.orderBy(F.xxhash64("id"), "id").limit(max_examples)
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_examples: int = MAX_EXAMPLES):
-    """(terms, index) from the rows of ``labels``."""
-    spark = ship(docs.sparkSession)
-    marked = (
-        labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-        .groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("toxic"))
-        .orderBy(F.xxhash64("id"), "id").limit(max_examples)
-    )
-    # max_examples rows of two numbers at most
-    examples = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(marked), "id")
+def choose_terms(examples: DataFrame, min_chi2: float = MIN_CHI2, max_terms: int = MAX_TERMS) -> list[str]:
+    """The terms of the (text, toxic) rows that go with the label."""
 
-    def distinct_words(batches):
-        schema = pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("n", pa.int64())])
+    def count(batches):
+        schema = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("n", pa.int64())])
         for b in batches:
             seen, bad = Counter(), Counter()
             for value, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = set(words(value))
+                own = {f for w in set(_WORD.findall((value or "").lower())) for f in forms(w)}
                 seen.update(own)
                 if toxic:
                     bad.update(own)
-            yield batch(schema, word=list(seen), toxic=[bad[w] for w in seen], n=list(seen.values()))
+            yield batch(schema, term=list(seen), toxic=[bad[w] for w in seen], n=list(seen.values()))
 
-    sizes = {bool(r["t"]): r["n"] for r in examples.groupBy((F.col("toxic") != 0).alias("t")).agg(F.count("*").alias("n")).collect()}
-    pos, total = sizes.get(True, 0), sum(sizes.values())
-    a, n = F.col("a").cast("double"), F.col("n").cast("double")
-    expected = n * pos / max(1, total)
-    chi2 = F.pow(a - expected, 2) / F.nullif(expected * (1 - n / max(1, total)) * (1 - pos / max(1, total)), F.lit(0.0))
+    examples = examples.dropDuplicates(["text", "toxic"])  # a text that was copied counts once
+    sizes = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
+    share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    a, n, total = F.col("a").cast("double"), F.col("n").cast("double"), float(max(1, sum(sizes.values())))
+    spread = n * share * (1 - share) * (1 - n / total)
     picked = (
-        examples.select("text", F.col("toxic").cast("long")).mapInArrow(distinct_words, "word string, toxic long, n long")
-        .groupBy("word").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")).filter("n >= 5")
-        .withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
-        .orderBy(F.desc("chi2"), "word").limit(MAX_TERMS).select("word").collect()
+        examples.select("text", "toxic").mapInArrow(count, "term string, toxic long, n long")
+        .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")).filter("n >= 5")
+        .withColumn("chi2", F.pow(a - n * share, 2) / F.nullif(spread, F.lit(0.0))).filter((F.col("chi2") >= min_chi2) & (a > n * share))
+        .orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect()
     )
-    names = sorted(r["word"] for r in picked)
-    terms = {w: i for i, w in enumerate(names)}
-    shared = spark.sparkContext.broadcast(terms)
-
-    def frequencies(batches):
-        schema = pa.schema([("term", pa.int32()), ("n", pa.int64())])
-        found, total = np.zeros(len(terms) + 1, dtype=np.int64), 0
-        get = shared.value.get
-        for b in batches:
-            for value in b.column(0).to_pylist():
-                hit = {t for t in map(get, set(words(value))) if t is not None}
-                found[list(hit)] += 1
-            total += b.num_rows
-        found[-1] = total
-        yield batch(schema, term=list(range(len(found))), n=found)
-
-    df = np.zeros(len(terms) + 1)
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    for row in counted.collect():  # a number per term
-        df[row["term"]] = row["n"]
-    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-
-    def vectors(batches):
-        schema = pa.schema([("id", pa.int64()), ("toxic", pa.int64()), ("term", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32()))])
-        for b in batches:
-            own = [vector_of(value, shared.value) for value in b.column(1).to_pylist()]
-            yield batch(
-                schema, id=b.column(0), toxic=b.column(2),
-                term=[[t for t, _ in v] for v in own], tf=[[tf for _, tf in v] for v in own],
-            )
-
-    grouped: dict[tuple, list] = {}
-    rows = examples.select(F.col("id").cast("long"), "text", F.col("toxic").cast("long"))
-    for row in rows.mapInArrow(vectors, "id long, toxic long, term array<int>, tf array<int>").toLocalIterator():
-        entry = grouped.setdefault(tuple(zip(row["term"], row["tf"])), [0, 0, []])
-        entry[0] += 1
-        entry[1] += int(bool(row["toxic"]))
-        entry[2] = sorted([*entry[2], row["id"]])[:3]
-    return terms, Index(idf, grouped)
+    return sorted(r["term"] for r in picked)
 
 
-def score(docs: DataFrame, text: str, model, keep: list[Column]) -> DataFrame:
-    """The columns ``keep`` with ``score``, ``predicted`` and ``evidence``."""
+def vectors(docs: DataFrame, text: str, names: list[str], keep: list[Column]) -> DataFrame:
+    """The columns ``keep`` with ``term`` and ``tf``, the sparse vector of the text."""
     spark = ship(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(Terms({w: i for i, w in enumerate(names)}))
     rows = docs.select(*keep, F.col(text).alias("__text"))
     out = rows.drop("__text")
     fields = out.columns
 
     def run(batches):
-        terms, index = shared.value
+        terms = shared.value
+        for b in batches:
+            own = [terms.vector(value) for value in b.column(len(fields)).to_pylist()]
+            columns = [b.column(i) for i in range(len(fields))]
+            more = [pa.array([[x[i] for x in v] for v in own], pa.list_(pa.int32())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns + more, names=[*fields, "term", "tf"])
+
+    return rows.mapInArrow(run, with_fields(out.schema, "term array<int>, tf array<int>"))
+
+
+def build_index(rows: DataFrame, marked: DataFrame, terms: int) -> Index:
+    """The index of the ``marked`` ones of the vector rows (doc_id, term, tf); frequencies are those of all rows."""
+    df = np.zeros(terms)
+    for r in rows.select(F.explode("term").alias("t")).groupBy("t").count().collect():  # a number per term
+        df[r["t"]] = r["count"]
+    idf = np.log((1 + rows.count()) / (1 + df)) + 1
+    grouped: dict[tuple, list] = {}
+    own = rows.select(F.col("doc_id").cast("long").alias("id"), "term", "tf").join(F.broadcast(marked), "id")
+    classes = own.groupBy("term", "tf").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"), F.min("id").alias("id"))
+    for r in classes.toLocalIterator():  # max_examples rows at most, but for repeated ids
+        grouped[tuple(zip(r["term"], r["tf"]))] = [r["n"], r["bad"], [r["id"]]]
+    return Index(idf, grouped)
+
+
+def score(rows: DataFrame, index: Index) -> DataFrame:
+    """Vector rows with ``score``, ``predicted`` and ``evidence`` in place of ``term`` and ``tf``."""
+    shared = rows.sparkSession.sparkContext.broadcast(index)
+    out = rows.drop("term", "tf")
+    fields = out.columns
+
+    def run(batches):
         known: dict[tuple, tuple[float, list[int]]] = {}
         for b in batches:
             scores, evidence = [], []
-            for value in b.column(len(fields)).to_pylist():
-                vector = vector_of(value, terms)
+            for vector in map(tuple, map(zip, b.column(len(fields)).to_pylist(), b.column(len(fields) + 1).to_pylist())):
                 if vector not in known:
                     if len(known) >= 50_000:
                         known.clear()
-                    known[vector] = index.score(vector)
+                    known[vector] = shared.value.score(vector)
                 scores.append(known[vector][0])
                 evidence.append(known[vector][1])
             columns = [b.column(i) for i in range(len(fields))]
             more = [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(evidence, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns + more, names=[*fields, "score", "predicted", "evidence"])
 
-    return rows.mapInArrow(run, out.schema.add("score", "double").add("predicted", "int").add("evidence", "array<bigint>"))
+    given = rows.select(*fields, "term", "tf")
+    return given.mapInArrow(run, with_fields(out.schema, "score double, predicted int, evidence array<bigint>"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+def toxicity(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+    max_examples: int = MAX_EXAMPLES,
+) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) of every row of ``docs``."""
+    ship(docs.sparkSession)
     held = F.coalesce(fold(doc_id, 5) == 0, F.lit(False))
-    model = fit(docs, labels.filter(~held), doc_id, text, label)
-    return score(docs, text, model, [F.col(doc_id).alias("doc_id"), held.alias("held_out")])
+    marked = saved(examples_of(labels.filter(~held), doc_id, label, max_examples), "examples")
+    # max_examples rows of two numbers at most
+    examples = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(marked), "id")
+    names = choose_terms(examples)
+    rows = saved(vectors(docs, text, names, [F.col(doc_id).alias("doc_id"), held.alias("held_out")]), "vectors")
+    return score(rows, build_index(rows, marked, len(names)))
