@@ -77,7 +77,7 @@ def close_pairs(values: np.ndarray, ends: np.ndarray, radius: int = RADIUS) -> t
     lanes = np.zeros(words * 64, dtype=np.uint64)
     lanes[:n] = values
     raw = np.unpackbits(lanes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    planes = np.packbits(raw.T, axis=1, bitorder="little").view("<u8")  # plane, word
+    planes = np.ascontiguousarray(np.packbits(raw.T, axis=1, bitorder="little")).view("<u8")  # plane, word
     query = raw[:n]  # bit of each value
     every = np.uint64(0xFFFFFFFFFFFFFFFF)
     left, right = [], []
@@ -108,7 +108,7 @@ def close_pairs(values: np.ndarray, ends: np.ndarray, radius: int = RADIUS) -> t
                     if not len(who):
                         break
         if len(who):
-            near = np.unpackbits((~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            near = np.unpackbits(np.ascontiguousarray(~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             row, lane = np.nonzero(near)
             left.append(who[row])
             right.append(at[row] * 64 + lane)
