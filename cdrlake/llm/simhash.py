@@ -58,11 +58,12 @@ def fingerprints(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
     ship(docs.sparkSession)
     rows = docs.select(*keep, F.col(text).alias("__text"))
     out = rows.drop("__text")
+    names = [*out.columns, "fp"]
 
     def run(batches):
         for b in batches:
-            own = np.array([fingerprint(t) for t in b.column(len(out.columns)).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own.view(np.int64))], names=[*out.columns, "fp"])
+            own = np.array([fingerprint(t) for t in b.column(len(names) - 1).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own.view(np.int64))], names=names)
 
     return rows.mapInArrow(run, with_fields(out.schema, "fp long"))
 
