@@ -114,9 +114,9 @@ def _oracle() -> str:
     return f"""
 WITH known(sentence, id) AS (VALUES {known}), rules(rule, license, ids, n) AS (VALUES {rules}),
 parts AS (SELECT doc_id, unnest(string_split_regex(text, '[.!?;]+(?:\\s|$)|\\n')) AS part,
-                 generate_subscripts(string_split_regex(text, '[.!?;]+(?:\\s|$)|\\n'), 1) AS at FROM documents),
-plain AS (SELECT doc_id, at, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS sentence FROM parts),
-seqs AS (SELECT doc_id, ',' || string_agg(CAST(id AS VARCHAR), ',' ORDER BY at) || ',' AS ids FROM plain JOIN known USING (sentence) GROUP BY doc_id)
+                 generate_subscripts(string_split_regex(text, '[.!?;]+(?:\\s|$)|\\n'), 1) AS pos FROM documents),
+plain AS (SELECT doc_id, pos, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS sentence FROM parts),
+seqs AS (SELECT doc_id, ',' || string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) || ',' AS ids FROM plain JOIN known USING (sentence) GROUP BY doc_id)
 SELECT doc_id, license, rule, CAST(n AS INTEGER) AS n_sentences
 FROM seqs JOIN rules ON contains(seqs.ids, rules.ids)
 QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY n DESC, rule) = 1"""

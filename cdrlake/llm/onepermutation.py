@@ -39,7 +39,7 @@ def packed(text: Column, shingle: int = SHINGLE) -> Column:
     )
     bin_of = lambda x: F.shiftrightunsigned(x, _SHIFT).cast("int")
     # in sorted order a bin's smallest value stands where a new bin begins
-    least = _let(F.array_sort(shingles), lambda s: F.filter(s, lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(s, i - 1)))))
+    least = _let(F.sort_array(shingles), lambda s: F.filter(s, lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(s, i - 1)))))
     return _let(
         F.struct(least.alias("v")),
         lambda m: _let(
