@@ -119,7 +119,7 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     rows = cut(docs, doc_id, text)
     return rows.select(
         F.col("row")[doc_id].alias("doc_id"), "n_removed", F.coalesce(F.size("runs"), F.lit(0)).alias("n_runs"),
-        F.transform("runs", lambda r: F.concat_ws("-", r["first"].cast("string"), r["last"].cast("string"))).alias("runs"),
+        F.array_join(F.transform("runs", lambda r: F.concat_ws("-", r["first"].cast("string"), r["last"].cast("string"))), " ").alias("runs"),
         F.sha2(F.coalesce(F.col("kept"), F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
@@ -128,3 +128,31 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """All documents with repeated runs of lines cut from their texts."""
     rows = cut(docs, "doc_id", "text")
     return rows.select(*[F.col("kept").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+
+
+ORACLE_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents WHERE text IS NOT NULL),
+filled AS (
+  SELECT *, lead(line) OVER w AS line2, lead(pos) OVER w AS pos2 FROM lines WHERE trim(line) <> ''
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+windows AS (
+  SELECT *, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, pos) AS n FROM filled WHERE pos2 IS NOT NULL),
+later AS (SELECT doc_id, pos, pos2 FROM windows WHERE n > 1),
+opened AS (
+  SELECT *, CASE WHEN pos > lag(pos2) OVER (PARTITION BY doc_id ORDER BY pos) IS NOT FALSE THEN 1 ELSE 0 END AS opens FROM later),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM opened),
+runs AS (SELECT doc_id, run, min(pos) AS first, max(pos2) AS last FROM numbered GROUP BY doc_id, run),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_runs, list(first || '-' || last ORDER BY first) AS runs FROM runs GROUP BY doc_id),
+gone AS (
+  SELECT DISTINCT lines.doc_id, lines.pos FROM lines JOIN runs ON lines.doc_id = runs.doc_id
+  AND lines.pos BETWEEN runs.first AND runs.last WHERE trim(line) <> ''),
+kept AS (
+  SELECT lines.doc_id, count(gone.pos) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY lines.pos) FILTER (WHERE gone.pos IS NULL), '') AS text
+  FROM lines LEFT JOIN gone ON lines.doc_id = gone.doc_id AND lines.pos = gone.pos GROUP BY lines.doc_id)
+SELECT d.doc_id, CAST(coalesce(n_removed, 0) AS INTEGER) AS n_removed, CAST(coalesce(n_runs, 0) AS INTEGER) AS n_runs,
+       array_to_string(runs, ' ') AS runs, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN per_doc USING (doc_id)"""

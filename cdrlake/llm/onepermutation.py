@@ -40,21 +40,17 @@ def packed(text: Column, shingle: int = SHINGLE) -> Column:
     bin_of = lambda x: F.shiftrightunsigned(x, _SHIFT).cast("int")
     # in sorted order a bin's smallest value stands where a new bin begins
     least = _let(F.sort_array(shingles), lambda s: F.filter(s, lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(s, i - 1)))))
-    return _let(
-        F.struct(least.alias("v")),
-        lambda m: _let(
-            F.struct(m["v"].alias("v"), F.transform(m["v"], bin_of).alias("b")),
-            lambda m: F.transform(
-                F.sequence(F.lit(0), F.lit(BINS - 1)),
-                lambda j: _let(
-                    F.array_position(m["b"], j).cast("int"),
-                    lambda p: F.when(p > 0, F.get(m["v"], p - 1)).otherwise(
-                        F.array_min(F.transform(m["v"], lambda x: F.struct(F.xxhash64(j, bin_of(x)).alias("o"), x.alias("x"))))["x"]
-                    ),
-                ).bitwiseAND((1 << BITS) - 1).cast("short"),
-            ),
-        ),
-    )
+    low = (1 << BITS) - 1
+    every = F.sequence(F.lit(0), F.lit(BINS - 1))
+    # a bin and its low bits in one number
+    own = lambda v: F.transform(v, lambda x: F.shiftleft(bin_of(x).cast("long"), BITS) + x.bitwiseAND(low))
+    order = lambda j, x: F.xxhash64(j, bin_of(x)).bitwiseAND(~low).bitwiseOR(x.bitwiseAND(low))
+    copied = lambda v: F.transform(
+        F.array_except(every, F.transform(v, bin_of)),
+        lambda j: F.shiftleft(j.cast("long"), BITS) + F.array_min(F.transform(v, lambda x: order(j, x))).bitwiseAND(low),
+    )
+    bins = _let(least, lambda v: F.sort_array(F.concat(own(v), copied(v))))
+    return F.transform(bins, lambda x: x.bitwiseAND(low).cast("short"))
 
 
 def as_text(values: Column) -> Column:
