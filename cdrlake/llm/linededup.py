@@ -127,7 +127,8 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def deduplicated(docs: DataFrame) -> DataFrame:
     """All documents with repeated runs of lines cut from their texts."""
     rows = cut(docs, "doc_id", "text")
-    return rows.select(*[F.col("kept").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 ORACLE_SQL = """
