@@ -40,10 +40,29 @@ BLOCK = 16_384
 CHUNK = 262_144
 END_ID = 2
 _HEADER = struct.Struct("<4sIIBB")
-_STRETCH = re.compile(r" ?[^ \n]+|\n| ")
 _RUN = re.compile(r"\s[ \n]|[ \n]\s")
 
 
+def _stretches(text: str) -> list[str]:
+    """A text cut before single spaces and around line ends.
+
+    The first stretch of the text begins with a space here and that of a later line with a line
+    feed; the others stand for a space and themselves.
+    """
+    out: list[str] = []
+    for number, line in enumerate(text.split("\n")):
+        parts = line.split(" ")
+        parts[0] = ("\n" if number else " ") + parts[0]
+        out += parts
+    return out
+
+
+def _plain(stretch: str) -> str:
+    """The characters that a stretch stands for."""
+    head = stretch[:1]
+    return stretch if head == "\n" else stretch[1:] if head == " " else " " + stretch
+
+
 def pack(ids: np.ndarray, block: int = BLOCK, bits: bool = False, level: int = 3) -> bytes:
     ids = np.ascontiguousarray(ids, dtype="<u4")
     top = int(ids.max()) if len(ids) else 0
@@ -99,6 +118,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.bound = bound
+        size = self.tokenizer.get_vocab_size()
+        #: ids whose piece begins with a space
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
         self.clear()
 
     def clear(self):
@@ -107,14 +129,30 @@ class Encoder:
         self.pool = np.empty(0, dtype=np.uint32)
 
     def _learn(self, new: list[str]) -> None:
-        own = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.array([len(x) for x in own], dtype=np.int64)
-        starts = len(self.pool) + np.cumsum(lengths) - lengths
+        """Encode new stretches: words together, as each begins with its only space, the others alone."""
+        plain = list(map(_plain, new))
+        words = [i for i, s in enumerate(plain) if s[:1] == " " and s.split() == [s[1:]]]
+        flat, lengths = [], np.zeros(len(new), dtype=np.int64)
+        if words:
+            joined = ["".join(plain[i] for i in words[at : at + 500]) for at in range(0, len(words), 500)]
+            own = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in own])
+            starts = np.flatnonzero(self.opens[ids])
+            lengths[words] = np.diff(np.r_[starts, len(ids)])
+            flat.append(ids)
+        is_word = np.zeros(len(new), dtype=bool)
+        is_word[words] = True
+        rest = np.flatnonzero(~is_word)
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast([plain[i] for i in rest], add_special_tokens=False)]
+        lengths[rest] = [len(x) for x in alone]
+        flat.append(np.array([i for x in alone for i in x], dtype=np.uint32))
+        order = np.r_[np.array(words, dtype=np.int64), rest]
+        places = np.empty(len(new), dtype=np.int64)
+        places[order] = len(self.pool) + np.cumsum(lengths[order]) - lengths[order]
         at = len(self.known)
         self.known.update(zip(new, range(at, at + len(new))))
-        self.starts, self.lengths = np.r_[self.starts, starts], np.r_[self.lengths, lengths]
-        flat = np.fromiter((i for x in own for i in x), dtype=np.uint32, count=int(lengths.sum()))
-        self.pool = np.r_[self.pool, flat]
+        self.starts, self.lengths = np.r_[self.starts, places], np.r_[self.lengths, lengths]
+        self.pool = np.r_[self.pool, *flat]
 
     def encode(self, texts: list[str | None], end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of each text."""
@@ -123,7 +161,7 @@ class Encoder:
         stretches: list[str] = []
         counts = np.empty(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
-            own = [text] if text and _RUN.search(text) else _STRETCH.findall(text or "")
+            own = [" " + text] if text and _RUN.search(text) else _stretches(text or "")
             counts[i] = len(own)
             stretches += own
         new = set(stretches).difference(self.known)
