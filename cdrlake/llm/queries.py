@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, licenses, linededup, onepermutation, pieces, simhash, tokenbin, toxicity
+from . import decontam, langid, licenses, linededup, onepermutation, pieces, simhash, suffix, tokenbin, toxicity
 from .common import read_table, ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_bin": lambda s, d: tokenbin.token_bin(_docs(s, d), BYTE_BPE),
     "op6_decontamination": op6,
     "op7_piece_sampling": lambda s, d: pieces.round_trip(_docs(s, d), PIECES),
+    "op8_suffix_dedup": lambda s, d: suffix.suffix_dedup(_docs(s, d)),
     "op9_language_id": lambda s, d: langid.identify(_docs(s, d)),
     "op10_toxicity": lambda s, d: toxicity.toxicity(_docs(s, d), read_table(s, d, "labels")),
 }
