@@ -38,7 +38,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C55)
 _SLOTS = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 _SHIFT = np.uint64(44)
 #: Characters of stretches whose lattices are kept for later texts.
-_KEPT = 4_000_000
+_KEPT = 1_500_000
 _ALL = 0xFFFFFFFFFFFFFFFF
 
 
@@ -260,7 +260,7 @@ def encode_decode(docs: DataFrame, text: str, key: Column, model: str, keep: lis
         for b in batches:
             keys = b.column(len(fields)).to_numpy()
             texts = b.column(len(fields) + 1).to_pylist()
-            for own in text_slices(texts, 2_000_000):
+            for own in text_slices(texts, 1_000_000):
                 part = b.slice(own[0], len(own))
                 flat, counts = lat.encode([texts[i] for i in own], keys[own])
                 cuts = np.r_[0, np.cumsum(counts)]
