@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from ..functions import exact as X
 from ..functions.codes import SEGMENTS
 
+#: Column of segments that are not listed, and of none.
+OTHER = "Other"
+
 
 def _high_risk() -> Column:
     return F.col("churn_score_band") == "High Risk"
@@ -82,9 +85,16 @@ def revenue_trend(trend: DataFrame, legend: str) -> DataFrame:
     return trend.groupBy("call_month", legend).agg(X.total("total_revenue", 24, 2).alias("total_revenue"))
 
 
+def _listed(df: DataFrame) -> DataFrame:
+    return df.withColumn("segment", F.when(F.col("segment").isin(SEGMENTS), F.col("segment")).otherwise(OTHER))
+
+
 def revenue_trend_wide(trend: DataFrame) -> DataFrame:
-    """One column of revenue per segment; the segments are fixed, so no extra job."""
-    return trend.groupBy("call_month").pivot("segment", SEGMENTS).agg(X.total("total_revenue", 24, 2))
+    """One column of revenue per segment; the segments are fixed, so no extra job.
+
+    Revenue of other segments, or of none, stands in the column ``Other``.
+    """
+    return _listed(trend).groupBy("call_month").pivot("segment", [*SEGMENTS, OTHER]).agg(X.total("total_revenue", 24, 2))
 
 
 def customers_by(c360: DataFrame, column: str) -> DataFrame:
@@ -103,8 +113,8 @@ def prob_histogram(c360: DataFrame) -> DataFrame:
 
 
 def churn_matrix(c360: DataFrame) -> DataFrame:
-    """Mean probability by tenure band (rows) and segment (columns)."""
-    return c360.groupBy("tenure_band").pivot("segment", SEGMENTS).agg(X.mean("churn_probability_pct"))
+    """Mean probability by tenure band (rows) and segment (columns), with ``Other`` for the rest."""
+    return _listed(c360).groupBy("tenure_band").pivot("segment", [*SEGMENTS, OTHER]).agg(X.mean("churn_probability_pct"))
 
 
 def top_risk(c360: DataFrame, n: int = 20) -> DataFrame:

@@ -14,6 +14,9 @@ from ..sources import files
 from ..sources.tables import path_exists
 
 
+MANIFEST = ["path", "modified", "bytes"]
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -29,18 +32,22 @@ def incremental_load(
     columns: list[str] | None = None,
     audit_path: str | None = None,
 ) -> RunResult:
-    """Copy the rows of files newer than the watermark to Parquet, one folder per
-    file date, and move the watermark to the newest date copied.
+    """Copy the rows of files that were not loaded yet to Parquet, one folder per file
+    date, and move the watermark to the newest date copied.
 
-    Folders are overwritten, so a load that failed before moving the watermark can
-    run again.  Daily and monthly files work alike; a month counts as its first day.
+    The manifest ``<out>_manifest`` names every loaded file with its time and size, so a
+    late file, a second file of a day and a file that has grown are each loaded once.  A date
+    with a new file is read as a whole and its folder overwritten, so a load that failed
+    before the manifest was written can run again.  Daily and monthly files work alike;
+    a month counts as its first day.  Where there is no manifest yet, files dated up to
+    the watermark count as loaded; after that the watermark is a figure for reports.
     """
     started = _now()
-    table = watermarks.read()
-    row = control.get_watermark(table, pipeline).first()
+    row = control.get_watermark(watermarks.read(), pipeline).first()
     if row is None:
         raise ValueError(f"unknown pipeline {pipeline}")
-    rows = files.read_new_files(spark, folder, prefix, schema, F.lit(row[0]))
+    new = _unloaded(spark, folder, prefix, f"{out}_manifest", row[0])
+    rows = files.read_dated(spark, folder, prefix, schema, new)
     wanted = rows.select(*(columns or schema.names), "file_date")
     (
         wanted.hint("rebalance", "file_date")
@@ -50,12 +57,13 @@ def incremental_load(
         .partitionBy("file_date")
         .parquet(out)
     )
-    loaded = _loaded(spark, out, wanted.schema, row[0])
+    loaded = _loaded(spark, out, wanted.schema, new)
     result = RunResult(detail={"watermark": row[0]})
     if loaded["rows"]:
-        result.detail["watermark"] = loaded["newest"]
-        moved = control.update_watermark(table, pipeline, loaded["newest"], "SUCCESS", loaded["rows"])
-        watermarks.write(moved)
+        newest = result.detail["watermark"] = max(row[0], loaded["newest"])
+        # read again: other pipelines may have moved theirs meanwhile
+        watermarks.write(control.update_watermark(watermarks.read(), pipeline, newest, "SUCCESS", loaded["rows"]))
+    new.select(MANIFEST).write.mode("append").parquet(f"{out}_manifest/loaded")
     result.rows_written[pipeline] = loaded["rows"]
     if audit_path:
         run = control.audit_row(
@@ -65,11 +73,26 @@ def incremental_load(
     return result
 
 
-def _loaded(spark: SparkSession, out: str, schema: StructType, since: datetime):
-    """Rows and newest date above the watermark; only those folders are opened."""
+def _unloaded(spark: SparkSession, folder: str, prefix: str, manifest: str, since: datetime) -> DataFrame:
+    """(path, modified, bytes, file_date) of the dated files that the manifest lacks, listed once and stored."""
+    listed = files.list_files(spark, folder).withColumn("file_date", files.file_date("path", prefix))
+    listed = listed.where(F.col("file_date").isNotNull())
+    if not path_exists(spark, f"{manifest}/loaded"):
+        # what the watermark of a pipeline without manifest covers was loaded before
+        covered = listed.where(F.col("file_date").cast("timestamp") <= F.lit(since))
+        covered.select(MANIFEST).write.parquet(f"{manifest}/loaded")
+    known = spark.read.schema(listed.select(MANIFEST).schema).parquet(f"{manifest}/loaded")
+    listed = listed.join(known, MANIFEST, "left_anti")
+    staged = f"{manifest}/listed-{uuid.uuid4().hex}"
+    listed.write.parquet(staged)
+    return spark.read.schema(listed.schema).parquet(staged)
+
+
+def _loaded(spark: SparkSession, out: str, schema: StructType, new: DataFrame):
+    """Rows and newest date of the folders of the new files' dates."""
     if not path_exists(spark, out):
         return {"rows": 0, "newest": None}
-    newer = spark.read.schema(schema).parquet(out).where(F.col("file_date").cast("timestamp") > F.lit(since))
+    newer = spark.read.schema(schema).parquet(out).join(new.select("file_date").distinct(), "file_date", "left_semi")
     return newer.agg(
         F.count("*").alias("rows"), F.max("file_date").cast("timestamp").alias("newest")
     ).first()

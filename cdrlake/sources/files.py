@@ -132,14 +132,8 @@ def new_files(files: DataFrame, prefix: str, watermark) -> DataFrame:
     return dated.where(F.col("file_date").cast("timestamp") > watermark)
 
 
-def read_new_files(
-    spark: SparkSession, path: str, prefix: str, schema: StructType, watermark
-) -> DataFrame:
-    """Rows of the files dated after the watermark, with their ``file_date``.
-
-    The filter is on the file's path, so Spark drops older files before reading,
-    and no list of files passes through the driver program.
-    """
+def read_dated(spark: SparkSession, path: str, prefix: str, schema: StructType, dates: DataFrame) -> DataFrame:
+    """Rows of all files of the given ``file_date`` rows, with their ``file_date``."""
     rows = spark.read.option("header", True).option("recursiveFileLookup", True).schema(schema).csv(path)
     dated = rows.select("*", file_date(F.col("_metadata.file_path"), prefix).alias("file_date"))
-    return dated.where(F.col("file_date").cast("timestamp") > watermark)
+    return dated.join(dates.select("file_date").distinct(), "file_date", "left_semi")

@@ -21,15 +21,17 @@ def churn_alerts(events: DataFrame) -> DataFrame:
 
 
 def alert_writer(path: str):
-    """The micro-batch function.  A batch owns the folder ``batch_id=<n>`` and
+    """The micro-batch function.  A batch owns the folder ``query=<id>/batch_id=<n>`` and
     overwrites it, so a replayed batch leaves the same rows; a batch without alerts
-    writes nothing."""
+    writes nothing.  The id is that of the checkpoint: another checkpoint, whose batches
+    count from 0 again, leaves earlier alerts alone."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         alerts = churn_alerts(batch).withColumn("alert_created", F.current_timestamp()).persist()
         try:
             if not alerts.isEmpty():
-                alerts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+                query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+                alerts.write.mode("overwrite").parquet(f"{path}/query={query}/batch_id={batch_id}")
         finally:
             alerts.unpersist()
 

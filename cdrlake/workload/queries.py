@@ -326,11 +326,14 @@ for _legend, _name in (("segment", "viz_revenue_by_segment"), ("plan_type", "viz
         lambda k, legend=_legend: measures.revenue_trend(k.trend, legend),
     )
 _SEGMENTS = ["Low Value", "Mid Value", "High Value", "VIP"]
+_SEGMENT_IS = {s: f"segment = '{s}'" for s in _SEGMENTS} | {
+    "Other": "segment IS NULL OR segment NOT IN (" + ", ".join(f"'{s}'" for s in _SEGMENTS) + ")"
+}
 add(
     "viz_revenue_by_segment_wide",
     "SELECT call_month, "
     + ", ".join(
-        f"CAST(SUM(total_revenue) FILTER (WHERE segment = '{s}') AS DECIMAL(24,2)) AS \"{s}\"" for s in _SEGMENTS
+        f"CAST(SUM(total_revenue) FILTER (WHERE {cond}) AS DECIMAL(24,2)) AS \"{s}\"" for s, cond in _SEGMENT_IS.items()
     )
     + " FROM vw_arpu_monthly_trend GROUP BY call_month",
     lambda k: measures.revenue_trend_wide(k.trend),
@@ -364,9 +367,9 @@ add(
     "viz_churn_matrix_rule",
     "SELECT tenure_band, "
     + ", ".join(
-        f"CAST(SUM(churn_probability_pct) FILTER (WHERE segment = '{s}') AS DOUBLE)"
-        f" / NULLIF(COUNT(churn_probability_pct) FILTER (WHERE segment = '{s}'), 0) AS \"{s}\""
-        for s in _SEGMENTS
+        f"CAST(SUM(churn_probability_pct) FILTER (WHERE {cond}) AS DOUBLE)"
+        f" / NULLIF(COUNT(churn_probability_pct) FILTER (WHERE {cond}), 0) AS \"{s}\""
+        for s, cond in _SEGMENT_IS.items()
     )
     + " FROM customer_360_rule GROUP BY tenure_band",
     lambda k: measures.churn_matrix(k.rule_360),
@@ -705,7 +708,7 @@ def _silver_events_stream(k: Lake) -> DataFrame:
 @register("churn_alerts_stream", "SELECT * FROM alerts")
 def _churn_alerts_stream(k: Lake) -> DataFrame:
     base, _ = _run_streams(k)
-    out = k.spark.read.parquet(f"{base}/gold/realtime_alerts").drop("alert_created", "batch_id")
+    out = k.spark.read.parquet(f"{base}/gold/realtime_alerts").drop("alert_created", "query", "batch_id")
     return _text(out, *_EVENT_TIMES)
 
 

@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as entry
 from cdrlake.workload.lake import Lake
+from cdrlake.workload.queries import duckdb_sql, spark_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = spark_queries(), duckdb_sql()
 ROWS_ONLY = {
     "stream_progress", "churn_scores", "top_churn_scores", "score_bands", "churn_band_counts", "churn_metrics",
     "churn_feature_importance", "churn_top_features", "churn_split", "vw_customer_360", "vw_churn_analysis",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cdrlake import schemas
 from cdrlake.config import RunConfig
 from cdrlake.operators import control
-from cdrlake.plans.batch import run_batch
+from cdrlake.plans.batch import build_silver, run_batch
 from cdrlake.plans.incremental import full_reload_customers, incremental_load
 from cdrlake.plans.serving import register_serving_views
 from cdrlake.sinks import tables as sinks
@@ -101,11 +101,16 @@ def test_incremental_load_is_incremental(spark, lake, rows):
 
     write(f"{lake}/bronze/cdrs_2024_10_03.csv", cdr_line("4", "2024-10-03"))
     write(f"{lake}/bronze/cdrs_2024_09_30.csv", cdr_line("late", "2024-09-30"))
-    assert load(spark, lake, marks).rows_written == {"cdrs_incremental_load": 1}
+    write(f"{lake}/bronze/cdrs_2024_10_02_b.csv", cdr_line("second", "2024-10-02"))
+    # the day of the second file is written anew as a whole
+    assert load(spark, lake, marks).rows_written == {"cdrs_incremental_load": 4}
     landed = spark.read.parquet(f"{lake}/landing")
-    assert rows(landed, "cdr_id") == [("1",), ("2",), ("3",), ("4",)]
+    assert rows(landed, "cdr_id") == [("1",), ("2",), ("3",), ("4",), ("late",), ("second",)]
+    mark = control.get_watermark(marks.read(), "cdrs_incremental_load").first()[0]
+    assert mark == dt.datetime(2024, 10, 3)
+    assert load(spark, lake, marks).rows_written == {"cdrs_incremental_load": 0}
     assert set(landed.columns) == {*schemas.CDR_COPY_COLUMNS, "file_date"}
-    assert sinks.read_merged(spark, f"{lake}/audit").count() == 3
+    assert sinks.read_merged(spark, f"{lake}/audit").count() == 4
     others = marks.read().where("pipeline_name <> 'cdrs_incremental_load'")
     assert {r.last_run_status for r in others.collect()} == {"PENDING"}
     with pytest.raises(ValueError):
@@ -164,6 +169,26 @@ def test_catalog_registration(spark, lake):
     spark.sql("DROP DATABASE cdr_gold_test CASCADE")
 
 
+def test_a_window_run_keeps_the_other_days_of_its_months(spark, lake):
+    cfg = RunConfig(lake, "2024-10-01", "2024-10-31")
+    days = [{"cdr_id": str(d), "call_date": f"2024-10-{d:02d}"} for d in range(1, 29)]
+    sinks.write_csv(frames.cdr(spark, *days), cfg.bronze("cdrs"))
+    sinks.write_csv(frames.customers(spark, {}), cfg.bronze("customers"))
+    sinks.write_csv(frames.recharges(spark, {}), cfg.bronze("recharges"))
+    build_silver(spark, cfg)
+    build_silver(spark, RunConfig(lake, "2024-10-05", "2024-10-06"), dynamic=True)
+    assert tables.read_table(spark, lake, "silver", "cdrs").count() == 28
+
+
+def test_an_empty_window_is_no_error(spark, lake):
+    cfg = RunConfig(lake, "2030-01-01", "2030-01-02")
+    sinks.write_csv(frames.cdr(spark, {}), cfg.bronze("cdrs"))
+    sinks.write_csv(frames.customers(spark, {}), cfg.bronze("customers"))
+    sinks.write_csv(frames.recharges(spark, {}), cfg.bronze("recharges"))
+    result = build_silver(spark, cfg)
+    assert result.rows_written["cdrs"] == 0 and result.rows_read["customers"] == 1
+
+
 def test_batch_run_and_serving_views(spark, lake):
     cfg = RunConfig(lake, "2024-10-01", "2024-12-31", database="cdr_gold_run")
     sinks.write_csv(

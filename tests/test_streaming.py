@@ -69,6 +69,8 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark, capture, tmp_path,
     progress = run.progress_rows(spark, *queries)
     assert progress.where("query = 'silver_events'").agg(F.sum("input_rows")).first()[0] == len(LINES)
     got_alerts = spark.read.parquet(f"{base}/gold/realtime_alerts")
+    # a folder for each checkpoint, so that another one leaves earlier alerts alone
+    assert {len(r["query"]) for r in got_alerts.select("query").distinct().collect()} == {36}
     assert got_alerts.count() == 4  # E1 twice, E2 and E7
     assert {r.alert_type for r in got_alerts.collect()} == {"CHURN_RISK_ACTIVITY"}
 
