@@ -73,6 +73,22 @@ def text_key(text: str) -> Column:
     return F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("null"))
 
 
+SALTS = 256
+
+
+def hot_join(rows: DataFrame, unique: DataFrame, keys: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``unique``, which has one row per key, however many rows share a key.
+
+    Rows of a key are dealt out by a hash of ``spread``; the key's row of ``unique`` is
+    repeated once for each of the ``SALTS`` parts at most that its rows really fall into.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("short"))
+    # a set of at most SALTS numbers a key, combined before the shuffle
+    parts = salted.groupBy(*keys).agg(F.collect_set("__salt").alias("__salt"))
+    dealt = unique.join(parts, keys).withColumn("__salt", F.explode("__salt"))
+    return salted.join(dealt, [*keys, "__salt"], how).drop("__salt")
+
+
 def row_of(docs: DataFrame) -> Column:
     """All columns of a row in one struct, so that no name of theirs can clash with a helper's."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns])

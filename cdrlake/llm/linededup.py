@@ -1,8 +1,9 @@
 """Line dedup by winnowing over line hashes.
 
 A text is its lines between line feeds; blank lines are not matched and stay.
-1. Of each ``min_lines`` consecutive non-blank lines the one of smallest hash (the last
-   of equals) is a fingerprint, so any repeated run of so many lines shares one.
+1. Of each ``min_lines`` consecutive non-blank lines the smallest hash is the
+   fingerprint, so any repeated run of so many lines shares one.  A line of ``long_line``
+   characters or more is a window of its own too, as a passage may stand in one line.
 2. Fingerprints that occur once in the corpus go.  The other positions are joined on the
    fingerprint and the lines around it with the first position in the corpus, by
    document id and line; the first position of each is found with map-side minima.
@@ -10,8 +11,9 @@ A text is its lines between line feeds; blank lines are not matched and stay.
 4. Lines of runs that occurred before are deleted; the first occurrence stays.
 
 So a line goes exactly if it lies in ``min_lines`` non-blank lines in a row that also
-stand, in that order, at an earlier place.  A fingerprint in a third of all documents
-costs one row per task and document, never a pair of documents.
+stand, in that order, at an earlier place, or if it is long and stands at an earlier
+place.  A fingerprint in a third of all documents is dealt out by :func:`hot_join` and
+costs one row per place, never a pair of documents.
 
 Defined results: a null text has no lines and stays null; a text of which all lines
 go becomes empty.  Rows equal in id and text count as one document.  Null ids come first.
@@ -22,21 +24,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_of, saved, ship, text_key, with_fields
+from .common import hot_join, row_of, saved, ship, text_key, with_fields
 
 MIN_LINES = 2
+LONG_LINE = 100
 
 
-def _windows(docs: DataFrame, doc_id: str, text: str, min_lines: int) -> DataFrame:
-    """(doc, key, fp, window, line_hash pair, first, last): every window with its fingerprint."""
+def _mixed(around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the line hashes of each window, in order."""
+    window, again = np.zeros(len(around), dtype=np.uint64), np.full(len(around), 7, dtype=np.uint64)
+    for j in range(around.shape[1]):
+        window = (window ^ around[:, j]) * np.uint64(0x9E3779B97F4A7C15)
+        window ^= window >> np.uint64(32)
+        again = (again + around[:, j]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        again ^= again >> np.uint64(29)
+    return window, again
+
+
+def _windows(docs: DataFrame, doc_id: str, text: str, min_lines: int, long_line: int) -> DataFrame:
+    """(doc, key, fp, window, again, first, last): every window with its fingerprint."""
     ship(docs.sparkSession)
     lines = F.filter(
-        F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), (F.trim(x) == "").alias("blank"))),
-        lambda x: ~x["blank"],
+        F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), F.length(F.trim(x)).alias("n"))),
+        lambda x: x["n"] > 0,
     )
     rows = docs.filter(F.col(text).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc"), text_key(text).alias("key"),
         F.transform(lines, lambda x: x["i"]).alias("i"), F.transform(lines, lambda x: x["h"]).alias("h"),
+        F.transform(lines, lambda x: x["n"] >= long_line).alias("long"),
     )
 
     def winnow(batches):
@@ -45,36 +60,34 @@ def _windows(docs: DataFrame, doc_id: str, text: str, min_lines: int) -> DataFra
             size = b.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             index = b.column(2).flatten().to_numpy().astype(np.int64)
             hashes = b.column(3).flatten().to_numpy().view(np.uint64)
+            long = np.flatnonzero(b.column(4).flatten().to_numpy(zero_copy_only=False))
             n = len(hashes)
             left = np.repeat(np.cumsum(size), size) - np.arange(n)
             at = np.flatnonzero(left >= min_lines)
-            if not len(at):
-                continue
             around = hashes[at[:, None] + np.arange(min_lines)]
-            least = around.min(axis=1)
-            window, again = np.zeros(len(at), dtype=np.uint64), np.full(len(at), 7, dtype=np.uint64)
-            for j in range(min_lines):
-                window = (window ^ around[:, j]) * np.uint64(0x9E3779B97F4A7C15)
-                window ^= window >> np.uint64(32)
-                again = (again + around[:, j]) * np.uint64(0xC2B2AE3D27D4EB4F)
-                again ^= again >> np.uint64(29)
-            doc = np.repeat(np.arange(len(size)), size)[at]
-            columns = [b.column(0).take(pa.array(doc)), b.column(1).take(pa.array(doc))]
-            columns += [pa.array(x.view(np.int64)) for x in (least, window, again)]
-            columns += [pa.array(index[at].astype(np.int32)), pa.array(index[at + min_lines - 1].astype(np.int32))]
+            several, alone = _mixed(around), _mixed(hashes[long, None])
+            # fingerprints of single lines are kept apart from those of windows
+            least = np.r_[around.min(axis=1), ~hashes[long]]
+            doc = pa.array(np.repeat(np.arange(len(size)), size)[np.r_[at, long]])
+            columns = [b.column(0).take(doc), b.column(1).take(doc)]
+            columns += [pa.array(x.view(np.int64)) for x in (least, *map(np.concatenate, zip(several, alone)))]
+            columns += [pa.array(index[np.r_[at, long]].astype(np.int32)), pa.array(index[np.r_[at + min_lines - 1, long]].astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(winnow, "doc long, key string, fp long, window long, again long, first int, last int")
 
 
-def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+def repeated_runs(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, long_line: int = LONG_LINE
+) -> DataFrame:
     """(doc, key, runs): the deleted runs (first and last line, from 0) of each document that has some."""
-    windows = saved(_windows(docs, doc_id, text, min_lines), "windows")
+    windows = saved(_windows(docs, doc_id, text, min_lines, long_line), "windows")
+    spread, whole = ["doc", "key", "first"], ["fp", "window", "again"]
     shared = windows.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    near = windows.join(shared, "fp", "left_semi")
+    near = hot_join(windows, shared, ["fp"], spread, "left_semi")
     place = F.struct("doc", "key", "first")
-    earliest = near.groupBy("fp", "window", "again").agg(F.min(place).alias("origin"))
-    later = near.join(earliest, ["fp", "window", "again"]).filter(~place.eqNullSafe(F.col("origin")))
+    earliest = near.groupBy(*whole).agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    later = hot_join(near, earliest, whole, spread).filter(~place.eqNullSafe(F.col("origin")))
     order = Window.partitionBy("doc", "key").orderBy("first")
     # runs that only touch are one; blank lines between lines of a run lie inside it
     opens = F.coalesce(F.col("first") > F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
@@ -86,9 +99,9 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     return runs.groupBy("doc", "key").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
 
-def cut(docs: DataFrame, doc_id: str, text: str, min_lines: int = MIN_LINES) -> DataFrame:
+def cut(docs: DataFrame, doc_id: str, text: str, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
     """(row, runs, kept, n_removed) of every row of ``docs``: its columns, deleted runs and what is left of the text."""
-    runs = repeated_runs(docs, doc_id, text, min_lines)
+    runs = repeated_runs(docs, doc_id, text, min_lines, long_line)
     there = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     left = docs.select(row_of(docs).alias("row"), F.col(text).alias("t"), there(doc_id).alias("d"), text_key(text).alias("k"))
     rows = left.join(runs.select(there("doc").alias("d"), F.col("key").alias("k"), "runs"), ["d", "k"], "left").select("row", "t", "runs")
@@ -131,7 +144,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
-ORACLE_SQL = """
+ORACLE_SQL = f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents WHERE text IS NOT NULL),
@@ -140,9 +153,12 @@ filled AS (
   WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 windows AS (
   SELECT *, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, pos) AS n FROM filled WHERE pos2 IS NOT NULL),
-later AS (SELECT doc_id, pos, pos2 FROM windows WHERE n > 1),
+lengthy AS (
+  SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS n FROM lines WHERE length(trim(line)) >= {LONG_LINE}),
+later AS (SELECT doc_id, pos, pos2 FROM windows WHERE n > 1 UNION ALL SELECT doc_id, pos, pos FROM lengthy WHERE n > 1),
 opened AS (
-  SELECT *, CASE WHEN pos > lag(pos2) OVER (PARTITION BY doc_id ORDER BY pos) IS NOT FALSE THEN 1 ELSE 0 END AS opens FROM later),
+  SELECT *, CASE WHEN pos > max(pos2) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              IS NOT FALSE THEN 1 ELSE 0 END AS opens FROM later),
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM opened),
 runs AS (SELECT doc_id, run, min(pos) AS first, max(pos2) AS last FROM numbered GROUP BY doc_id, run),
 per_doc AS (

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cdrlake.llm import decontam, langid, licenses, linededup, onepermutation, pieces, simhash, suffix, tokenbin, toxicity
+from cdrlake.llm.common import hot_join
 from cdrlake.llm.components import components
 from cdrlake.llm.queries import BYTE_BPE, PIECES
 
@@ -48,7 +49,7 @@ def texts_of(df):
 # --- 1 ---------------------------------------------------------------------------
 
 
-def brute_lines(rows, w=2):
+def brute_lines(rows, w=2, long=100):
     seen, out = set(), {}
     for d, text in sorted(rows):
         lines = text.split("\n")
@@ -58,6 +59,10 @@ def brute_lines(rows, w=2):
             key = tuple(lines[i] for i in at[k : k + w])
             gone |= set(at[k : k + w]) if key in seen else set()
             seen.add(key)
+        for i in at:
+            if len(lines[i].strip(" ")) >= long:
+                gone |= {i} if lines[i] in seen else set()
+                seen.add(lines[i])
         out[d] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
 
@@ -76,6 +81,26 @@ def test_line_dedup_on_edge_rows(edge, empty):
     assert linededup.line_dedup(empty).collect() == []
 
 
+def test_one_long_line_is_a_passage(spark):
+    passage = "word " * 50
+    rows = [(1, f"a\n{passage}\nb"), (2, f"c\n{passage}\nd"), (3, f"{passage}"), (4, "a\nc"), (5, f"e\n{passage}\nb")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["runs"]) for r in linededup.line_dedup(table).collect()}
+    assert got == {1: (0, None), 2: (1, "1-1"), 3: (1, "0-0"), 4: (0, None), 5: (2, "1-2")}
+
+
+# --- hot keys ----------------------------------------------------------------------
+
+
+def test_hot_join_deals_out_a_key(spark):
+    rows = spark.range(3_000).select("id", F.when(F.col("id") < 2_000, 7).otherwise(F.col("id")).alias("k"))
+    unique = spark.range(0, 2_500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = sorted(tuple(r) for r in hot_join(rows, unique, ["k"], ["id"]).select("id", "v").collect())
+    assert got == [(i, 14 if i < 2_000 else 2 * i) for i in range(2_500)]
+    assert hot_join(rows, unique, ["k"], ["id"], "left").count() == 3_000
+    assert hot_join(rows, unique, ["k"], ["id"], "left_semi").count() == 2_500
+
+
 # --- 2 ---------------------------------------------------------------------------
 
 
