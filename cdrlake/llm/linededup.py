@@ -4,9 +4,10 @@ A text is its lines between line feeds; blank lines are not matched and stay.
 1. Of each ``min_lines`` consecutive non-blank lines the smallest hash is the
    fingerprint, so any repeated run of so many lines shares one.  A line of ``long_line``
    characters or more is a window of its own too, as a passage may stand in one line.
-2. Fingerprints that occur once in the corpus go.  The other positions are joined on the
-   fingerprint and the lines around it with the first position in the corpus, by
-   document id and line; the first position of each is found with map-side minima.
+2. Fingerprints that occur once in the corpus go: those that are shared set bits in a
+   bitmap of fixed size, which is broadcast; it only saves work.  The other positions are
+   joined on the fingerprint and the lines around it with the first position in the corpus,
+   by document id and line; the first position of each is found with map-side minima.
 3. Matched positions extend both ways: overlapping windows join to maximal runs.
 4. Lines of runs that occurred before are deleted; the first occurrence stays.
 
@@ -24,38 +25,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hot_join, row_of, saved, ship, text_key, with_fields
+from .common import hot_join, row_of, saved, ship, with_fields
 
 MIN_LINES = 2
 LONG_LINE = 100
+SLOTS = 1 << 24
 
 
-def _mixed(around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of the line hashes of each window, in order."""
-    window, again = np.zeros(len(around), dtype=np.uint64), np.full(len(around), 7, dtype=np.uint64)
+def _mixed(around: np.ndarray) -> np.ndarray:
+    """A hash of the line hashes of each window, in order."""
+    window = np.zeros(len(around), dtype=np.uint64)
     for j in range(around.shape[1]):
         window = (window ^ around[:, j]) * np.uint64(0x9E3779B97F4A7C15)
         window ^= window >> np.uint64(32)
-        again = (again + around[:, j]) * np.uint64(0xC2B2AE3D27D4EB4F)
-        again ^= again >> np.uint64(29)
-    return window, again
+    return window
 
 
 def _windows(docs: DataFrame, doc_id: str, text: str, min_lines: int, long_line: int) -> DataFrame:
-    """(doc, key, fp, window, again, first, last): every window with its fingerprint."""
+    """(doc, key, fp, window, first, last): every window with its fingerprint; key is a hash of the text."""
     ship(docs.sparkSession)
     lines = F.filter(
         F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), F.length(F.trim(x)).alias("n"))),
         lambda x: x["n"] > 0,
     )
     rows = docs.filter(F.col(text).isNotNull()).select(
-        F.col(doc_id).cast("long").alias("doc"), text_key(text).alias("key"),
+        F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("key"),
         F.transform(lines, lambda x: x["i"]).alias("i"), F.transform(lines, lambda x: x["h"]).alias("h"),
         F.transform(lines, lambda x: x["n"] >= long_line).alias("long"),
     )
 
     def winnow(batches):
-        names = ["doc", "key", "fp", "window", "again", "first", "last"]
+        names = ["doc", "key", "fp", "window", "first", "last"]
         for b in batches:
             size = b.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             index = b.column(2).flatten().to_numpy().astype(np.int64)
@@ -65,16 +65,16 @@ def _windows(docs: DataFrame, doc_id: str, text: str, min_lines: int, long_line:
             left = np.repeat(np.cumsum(size), size) - np.arange(n)
             at = np.flatnonzero(left >= min_lines)
             around = hashes[at[:, None] + np.arange(min_lines)]
-            several, alone = _mixed(around), _mixed(hashes[long, None])
+            window = np.r_[_mixed(around), _mixed(hashes[long, None])]
             # fingerprints of single lines are kept apart from those of windows
             least = np.r_[around.min(axis=1), ~hashes[long]]
             doc = pa.array(np.repeat(np.arange(len(size)), size)[np.r_[at, long]])
             columns = [b.column(0).take(doc), b.column(1).take(doc)]
-            columns += [pa.array(x.view(np.int64)) for x in (least, *map(np.concatenate, zip(several, alone)))]
+            columns += [pa.array(x.view(np.int64)) for x in (least, window)]
             columns += [pa.array(index[np.r_[at, long]].astype(np.int32)), pa.array(index[np.r_[at + min_lines - 1, long]].astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(winnow, "doc long, key string, fp long, window long, again long, first int, last int")
+    return rows.mapInArrow(winnow, "doc long, key long, fp long, window long, first int, last int")
 
 
 def repeated_runs(
@@ -82,9 +82,20 @@ def repeated_runs(
 ) -> DataFrame:
     """(doc, key, runs): the deleted runs (first and last line, from 0) of each document that has some."""
     windows = saved(_windows(docs, doc_id, text, min_lines, long_line), "windows")
-    spread, whole = ["doc", "key", "first"], ["fp", "window", "again"]
-    shared = windows.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    near = hot_join(windows, shared, ["fp"], spread, "left_semi")
+    spread, whole = ["doc", "key", "first"], ["fp", "window"]
+    shared = windows.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1")
+    bits = np.zeros(SLOTS, dtype=bool)
+    slots = shared.select(F.pmod("fp", F.lit(SLOTS)).cast("int").alias("s")).distinct().toArrow()  # SLOTS numbers at most
+    bits[slots["s"].to_numpy()] = True
+    table = docs.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+
+    def of_shared(batches):
+        packed = table.value
+        for b in batches:
+            slot = b.column(2).to_numpy() % SLOTS
+            yield b.filter(pa.array((packed[slot >> 3] >> (slot & 7) & 1).astype(bool)))
+
+    near = windows.mapInArrow(of_shared, windows.schema)
     place = F.struct("doc", "key", "first")
     earliest = near.groupBy(*whole).agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = hot_join(near, earliest, whole, spread).filter(~place.eqNullSafe(F.col("origin")))
@@ -103,13 +114,13 @@ def cut(docs: DataFrame, doc_id: str, text: str, min_lines: int = MIN_LINES, lon
     """(row, runs, kept, n_removed) of every row of ``docs``: its columns, deleted runs and what is left of the text."""
     runs = repeated_runs(docs, doc_id, text, min_lines, long_line)
     there = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    left = docs.select(row_of(docs).alias("row"), F.col(text).alias("t"), there(doc_id).alias("d"), text_key(text).alias("k"))
-    rows = left.join(runs.select(there("doc").alias("d"), F.col("key").alias("k"), "runs"), ["d", "k"], "left").select("row", "t", "runs")
+    left = docs.select(row_of(docs).alias("row"), there(doc_id).alias("d"), F.xxhash64(text).alias("k"))
+    rows = left.join(runs.select(there("doc").alias("d"), F.col("key").alias("k"), "runs"), ["d", "k"], "left").select("row", "runs")
 
     def delete(batches):
         for b in batches:
             kept, removed = [], []
-            for value, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for value, own in zip(b.column(0).field(text).to_pylist(), b.column(1).to_pylist()):
                 n = 0
                 if own:
                     lines, out, at = value.split("\n"), [], 0
@@ -122,9 +133,9 @@ def cut(docs: DataFrame, doc_id: str, text: str, min_lines: int = MIN_LINES, lon
                     value = "\n".join(out + lines[at:])
                 kept.append(value)
                 removed.append(n)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(kept, pa.string()), pa.array(removed, pa.int32())], names=["row", "runs", "kept", "n_removed"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(kept, pa.string()), pa.array(removed, pa.int32())], names=["row", "runs", "kept", "n_removed"])
 
-    return rows.mapInArrow(delete, with_fields(rows.select("row", "runs").schema, "kept string, n_removed int"))
+    return rows.mapInArrow(delete, with_fields(rows.schema, "kept string, n_removed int"))
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
