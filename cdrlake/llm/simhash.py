@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_of, saved, ship, with_fields
+from .common import hot_join, row_of, saved, ship, with_fields
 from .components import components
 
 RADIUS = 4
@@ -213,10 +213,14 @@ def _with_end(batches):
 
 def near_components(rows: DataFrame, doc_id: str) -> DataFrame:
     """``rows`` (with ``fp``) and ``component_id``, the smallest id of those that are linked, directly or not."""
-    groups = components(saved(links(rows.select("fp").distinct()), "links"))
-    labelled = rows.join(groups.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = labelled.groupBy("root").agg(F.min(doc_id).alias("component_id"))
-    return labelled.join(least, "root").drop("root")
+    least = rows.groupBy("fp").agg(F.min(doc_id).alias("least"))
+    groups = components(saved(links(least.select("fp")), "links"))
+    named = least.join(groups.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = saved(named, "nodes")
+    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_print = hot_join(named.select("fp", "root"), names, ["root"], ["fp"]).drop("root")
+    # copies of one text share a fingerprint, so their rows are dealt out by all of their columns
+    return hot_join(rows, of_print, ["fp"], [c for c in rows.columns if c != "fp"])
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
