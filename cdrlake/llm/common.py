@@ -31,10 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _SHIPPED: set[str] = set()
+#: Bytes of an Arrow batch; whole texts make batches counted in rows very large.
+BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give this package to the Python workers, wherever the driver imported it from."""
+    """Give this package to the Python workers, wherever the driver imported it from, and bound their batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
