@@ -14,8 +14,9 @@ so equal windows have equal names; neighbouring windows of one name form a run.
    the triples at two of every three places, recurses on their names, sorts the rest by
    first byte and rank, and merges.  Windows next to each other in suffix order are
    compared over ``length`` bytes, and of equal ones the first in the corpus stays.
-4. A name of more than ``most`` different runs is dealt out by window: each of its windows goes,
-   alone, to one of many portions by a hash of its bytes.
+4. The windows of a name of more than ``most`` different runs are not sorted: equal ones, by
+   128 bits of hash, are joined with their first place (map-side minima), so that those of a
+   passage in very many documents never meet in one task.
 
 Defined results: null texts count as empty.  Rows equal in id and text count as one
 document; of different texts of one id the order is that of a hash.  Null ids come first.
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ragged, saved, ship
+from .common import hot_join, ragged, saved, ship
 
 LENGTH = 100
 GRAM = 16
@@ -39,8 +40,10 @@ SLOTS = 1 << 24
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Places of the suffixes of ``s`` (numbers from 1, at most 2^21 of them) in order."""
+    """Places of the suffixes of ``s`` (numbers from 1 and below 2^21) in order; more than the packed keys hold is an error."""
     n = len(s)
+    if n and (s.max() >= 1 << 21 or 2 * n // 3 + 2 >= 1 << 22):
+        raise ValueError(f"{n} numbers up to {s.max()} do not fit the packed keys")
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), dtype=np.int64)
     t = np.r_[s, 0, 0, 0].astype(np.uint64)
@@ -182,41 +185,43 @@ def repeats(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, most:
     # names of several different runs: the bytes of each run's first place
     origin = saved(origin.select("h", "o.d", "o.t", "o.first", "n", "twice"), "origins")
     several = origin.groupBy("h").agg(F.count("*").alias("k"), F.max("twice").alias("twice")).filter("k > 1 OR twice").select("h", "k")
-    need = origin.join(several, "h").groupBy("d", "t").agg(F.collect_list(F.struct("h", "k", "first", "n")).alias("need"))
-    sought = rows.join(need.withColumnsRenamed({"d": "nd", "t": "nt"}), F.col("d").eqNullSafe(F.col("nd")) & (F.col("t") == F.col("nt"))).select("d", "t", "raw", "need")
+
+    def sought(names):
+        need = origin.join(names.select("h"), "h").groupBy("d", "t").agg(F.collect_list(F.struct("h", "first", "n")).alias("need"))
+        same = F.col("d").eqNullSafe(F.col("nd")) & (F.col("t") == F.col("nt"))
+        return rows.join(need.withColumnsRenamed({"d": "nd", "t": "nt"}), same).select("d", "t", "raw", "need")
 
     def fetch(batches):
-        fields = ["d", "t", "h", "sub", "first", "n", "bytes"]
         for b in batches:
             for i in range(b.num_rows):
                 raw, need = b.column(2)[i].as_py(), b.column(3)[i].as_py()
-                h, sub, first, n, own = [], [], [], [], []
-                for x in need:
-                    f, k = x["first"], x["n"]
-                    if x["k"] <= most:
-                        h.append(x["h"]), sub.append(0), first.append(f), n.append(k), own.append(raw[f : f + k + length - 1])
-                        continue
-                    deal = -(-x["k"] * length // most)
-                    for s in range(f, f + k):
-                        window = raw[s : s + length]
-                        h.append(x["h"]), first.append(s), n.append(1), own.append(window)
-                        sub.append(xxhash.xxh64_intdigest(window) % deal)
-                take = pa.array(np.full(len(h), i))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(take), b.column(1).take(take), pa.array(h, pa.int64()), pa.array(sub, pa.int64()), pa.array(first, pa.int64()), pa.array(n, pa.int64()), pa.array(own, pa.binary())],
-                    names=fields,
-                )
+                take = pa.array(np.full(len(need), i))
+                h, first, n = (pa.array([x[c] for x in need], pa.int64()) for c in ("h", "first", "n"))
+                own = pa.array([raw[x["first"] : x["first"] + x["n"] + length - 1] for x in need], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), h, first, n, own], names=["d", "t", "h", "first", "n", "bytes"])
 
-    pieces = sought.mapInArrow(fetch, "d long, t long, h long, sub long, first long, n long, bytes binary")
+    def fetch_windows(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                raw, need = b.column(2)[i].as_py(), b.column(3)[i].as_py()
+                number = np.array([x["n"] for x in need])
+                first = ragged(np.array([x["first"] for x in need]), number)
+                take = pa.array(np.full(len(first), i))
+                h = pa.array(np.repeat(np.array([x["h"] for x in need]), number))
+                own = pa.array([xxhash.xxh3_128_digest(raw[s : s + length]) for s in first.tolist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), h, pa.array(first), own], names=["d", "t", "h", "first", "w"])
+
+    pieces = sought(several.filter(F.col("k") <= most)).mapInArrow(fetch, "d long, t long, h long, first long, n long, bytes binary")
+    windows = saved(sought(several.filter(F.col("k") > most)).mapInArrow(fetch_windows, "d long, t long, h long, first long, w binary"), "hot-windows")
 
     def sort_portions(batches):
-        """Whole groups, in portions; a group's rows stand together."""
+        """Whole groups, in portions; a group's rows stand together, those of a repeated document next to each other."""
         waiting, size, last = [], 0, None
 
         def portion(own):
-            number = np.array([x[5] for x in own])
-            piece, at, kind = equal_windows([x[6] for x in own], number, length)
-            first = np.array([x[4] for x in own])[piece] + at
+            number = np.array([x[4] for x in own])
+            piece, at, kind = equal_windows([x[5] for x in own], number, length)
+            first = np.array([x[3] for x in own])[piece] + at
             # rank of the pieces' documents; ties are the same document
             docs_ = sorted({(x[0] is not None, x[0] or 0, x[1]) for x in own})
             index = {x: i for i, x in enumerate(docs_)}
@@ -239,17 +244,27 @@ def repeats(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, most:
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns)):
-                if size >= PORTION and row[2:4] != last:
+                if row[:4] == last:
+                    continue
+                if size >= PORTION and row[2] != last[2]:
                     yield portion(waiting)
                     waiting, size = [], 0
                 waiting.append(row)
-                size += len(row[6])
-                last = row[2:4]
+                size += len(row[5])
+                last = row[:4]
         if waiting:
             yield portion(waiting)
 
-    parts = pieces.repartition("h", "sub").sortWithinPartitions("h", "sub").mapInArrow(sort_portions, "d long, t long, a long, z long")
-    return whole.unionByName(parts)
+    parts = pieces.repartition("h").sortWithinPartitions("h", "d", "t", "first").mapInArrow(sort_portions, "d long, t long, a long, z long")
+    return whole.unionByName(parts).unionByName(later_windows(windows, length))
+
+
+def later_windows(windows: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(d, t, a, z) of the windows (d, t, h, first, w) that stand at an earlier place too; no task holds all places of one."""
+    place = F.struct("d", "t", "first")
+    earliest = windows.groupBy("h", "w").agg(F.min(place).alias("o"), F.count("*").alias("k")).filter("k > 1").drop("k")
+    later = hot_join(windows, earliest, ["h", "w"], ["d", "t", "first"]).filter(~place.eqNullSafe(F.col("o")))
+    return later.select("d", "t", F.col("first").alias("a"), (F.col("first") + length).alias("z"))
 
 
 def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:

@@ -296,6 +296,27 @@ def test_suffix_dedup_equals_brute_force(spark, docs, most, monkeypatch):
     assert got == brute_bytes(list(texts_of(rows).items()))
 
 
+def test_suffix_array_refuses_what_its_keys_cannot_hold():
+    with pytest.raises(ValueError):
+        suffix.suffix_array(np.array([1, 1 << 21, 2, 3]))
+    with pytest.raises(ValueError):
+        suffix.suffix_array(np.ones(1 << 23, dtype=np.int64))
+
+
+def test_windows_of_a_hot_passage_are_not_sorted(spark, monkeypatch):
+    # one passage, each time in a context of its own: every run around it differs
+    passage = hashlib.sha512(b"p").hexdigest() * 3
+    own = [hashlib.sha512(str(i).encode()).hexdigest() for i in range(300)]
+    rows = [(i, f"{x} {passage} {x[::-1]}") for i, x in enumerate(own)]
+    table = spark.createDataFrame([*rows, rows[7]], "doc_id long, text string")
+    monkeypatch.setattr(suffix.repeats, "__defaults__", (100, 16))
+    joined = []
+    windows = suffix.later_windows
+    monkeypatch.setattr(suffix, "later_windows", lambda w, n: joined.append(w.groupBy("h", "w").count().agg(F.max("count")).first()[0]) or windows(w, n))
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix.suffix_dedup(table).collect()}
+    assert got == brute_bytes(rows) and joined[0] >= 250
+
+
 def test_suffix_dedup_on_edge_rows(edge, empty):
     rows = [r for r in suffix.suffix_dedup(edge).collect() if r["doc_id"] == 5]
     assert len(rows) == 2 and len({r["kept_sha256"] for r in rows}) == 1  # one document
