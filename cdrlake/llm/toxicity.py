@@ -1,39 +1,46 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by the nearest labelled examples under weighted TF-IDF cosine.
 
 1. At most ``max_examples`` labelled rows, those with the smallest hash of the id,
    are the examples (a documented bound; the rows held out never are).
-2. Terms are the words and word stems that are more frequent in toxic examples and whose
-   chi-square is ``min_chi2`` or more, at most ``max_terms``.  Their document frequencies come from all documents.
-3. Examples with equal TF-IDF vectors form one entry with its count of labels; the
-   entries go into an inverted index of blocks, with the largest weight of each term
-   and block.  Terms and entries are bounded, so the index is broadcast.
-4. A text visits the blocks by falling upper bound and stops once no further block
-   can hold one of its ``k`` nearest entries: the result equals the full search.
-5. Neighbours vote with count x cosine^4; a base rate from the examples without any
-   term counts as one more vote.  ``evidence`` names the nearest examples' documents.
+2. Terms are all words and word stems.  Inverse document frequencies come from all
+   documents; terms that no example has count in a text's norm with the greatest one.
+   A term's weight also grows with the share of toxic ones among the examples that have
+   it, drawn towards the share of all (``FLOOR`` without any lift), so no term is dropped.
+3. Examples with equal vectors form one entry with its count of labels.  The entries are
+   broadcast; workers turn them into an inverted index, terms of many entries as rows of a
+   dense matrix.
+4. Texts are compared with all entries in single precision; whatever may be one of the
+   ``k`` nearest within its error is computed again in double precision.
+5. Neighbours vote with count x cosine^4; the base rate counts as ``PRIOR`` of a
+   vote.  ``evidence`` names the nearest examples' documents.
 
 Defined results: empty, null and term-free texts get the base rate and no evidence;
 without examples every score is 0.  A document labelled more than once is toxic if
-any label says so.  Ties between entries go to the lexicographically first vector.
+any label says so.  Ties between entries go to the first vector by terms, then by frequencies.
 """
 
 import re
+from array import array
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, fold, saved, ship, with_fields
+from .common import batch, fold, ragged, saved, ship, text_slices, with_fields
 
 MAX_EXAMPLES = 16_000
-MAX_TERMS = 4_096
-MIN_CHI2 = 60.0
-BLOCK = 1024
+FLOOR = 0.03
+PRIOR = 0.05
 NEIGHBOURS = 16
+#: Dense terms at most, and the part of the entries that a dense term is in at least.
+DENSE, SHARE = 2_048, 1 / 64
+#: Bound of the error of a cosine in single precision.
+ERROR = 2e-4
 _WORD = re.compile(r"\w+")
-_KNOWN = 500_000
+_KNOWN = 300_000
 
 
 def forms(word: str) -> list[str]:
@@ -42,98 +49,160 @@ def forms(word: str) -> list[str]:
 
 
 class Terms(dict):
-    """Stretch of text without white space to the ids of its chosen terms.
+    """Stretch of text without white space to its number; the ids of its terms stand in ``pool``.
 
-    Stretches met before are remembered, up to a bound of their number.
+    Terms without an id get a hash behind the ids.  Stretches met before are remembered, up
+    to a bound of their number.
     """
 
-    def __init__(self, names: dict[str, int]):
+    def __init__(self, names: list[str]):
         super().__init__()
         self.names = names
-
-    def __missing__(self, stretch: str) -> tuple[int, ...]:
-        if len(self) >= _KNOWN:
-            self.clear()
-        found = tuple(self.names[f] for w in _WORD.findall(stretch.lower()) for f in forms(w) if f in self.names)
-        self[stretch] = found
-        return found
+        self.ids: dict[str, int] | None = None
+        self.forget()
+
+    def forget(self):
+        self.clear()
+        self.starts, self.sizes, self.pool = array("q"), array("q"), array("q", [0])
+
+    def __missing__(self, stretch: str) -> int:
+        n = len(self.ids)
+        own = [self.ids[f] if f in self.ids else n + (xxhash.xxh64_intdigest(f) >> 2) for w in _WORD.findall(stretch.lower()) for f in forms(w)]
+        self.starts.append(len(self.pool))
+        self.sizes.append(len(own))
+        self.pool.extend(own)
+        self[stretch] = number = len(self.starts) - 1
+        return number
 
     def __reduce__(self):
         return Terms, (self.names,)
 
-    def vector(self, text: str | None) -> tuple:
-        """((term, number of times), ...) by term."""
-        found = [f for f in map(self.__getitem__, (text or "").split()) if f]
-        return tuple(sorted(Counter(t for f in found for t in f).items()))
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms and their numbers of times, by term."""
+        if self.ids is None:
+            self.ids = {w: i for i, w in enumerate(self.names)}
+        if len(self) >= _KNOWN:
+            self.forget()
+        stretches = (text or "").split()
+        if not stretches:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        at = np.fromiter(map(self.__getitem__, stretches), dtype=np.int64, count=len(stretches))
+        starts, sizes = (np.frombuffer(x, dtype=np.int64)[at] for x in (self.starts, self.sizes))
+        return np.unique(np.frombuffer(self.pool, dtype=np.int64)[ragged(starts, sizes)], return_counts=True)
+
+
+def _arrays(vector: tuple) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.array(vector, dtype=np.int64).reshape(-1, 2).T)
 
 
 class Index:
-    """Unit TF-IDF vectors of the example classes as an inverted index of blocks."""
+    """Unit weighted TF-IDF vectors of the example classes."""
 
-    def __init__(self, idf: np.ndarray, vectors: dict[tuple, list]):
+    def __init__(self, weight: np.ndarray, vectors: dict[tuple, list], unknown: float = 1.0):
         """``vectors``: ((term, tf), ...) to [count, toxic count, smallest doc ids]."""
-        self.idf = idf
         self.vectors = sorted(v for v in vectors if v)
+        flat = np.array([x for v in self.vectors for x in v], dtype=np.int64).reshape(-1, 2)
         entries = [vectors[v] for v in self.vectors]
-        self.count = np.array([e[0] for e in entries], dtype=float)
-        self.toxic = np.array([e[1] for e in entries], dtype=float)
-        self.ids = [e[2] for e in entries]
         n, t, _ = vectors.get((), [0, 0, []])
-        total, toxic = n + self.count.sum(), t + self.toxic.sum()
-        prior = toxic / total if total else 0.0
+        self.fill(weight, unknown, flat[:, 0], flat[:, 1], list(map(len, self.vectors)), [e[0] for e in entries], [e[1] for e in entries], [e[2][0] for e in entries], n, t)
+
+    @classmethod
+    def of(cls, *columns) -> "Index":
+        """The index of the columns that :meth:`fill` takes."""
+        index = cls.__new__(cls)
+        index.fill(*columns)
+        return index
+
+    def fill(self, weight, unknown, term, tf, sizes, count, toxic, ids, n, t):
+        self.weight, self.unknown, self.term = weight, unknown, np.asarray(term, dtype=np.int32)
+        self.sizes = np.asarray(sizes, dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.count, self.toxic, self.ids = np.asarray(count, dtype=float), np.asarray(toxic, dtype=float), list(ids)
+        total, bad = n + self.count.sum(), t + self.toxic.sum()
+        prior = bad / total if total else 0.0
         self.base = (t + prior) / (n + 1) if total else 0.0
-        postings: dict[int, tuple[list, list]] = {}
-        for at, vector in enumerate(self.vectors):
-            for term, weight in self.weigh(vector):
-                ats, weights = postings.setdefault(term, ([], []))
-                ats.append(at)
-                weights.append(weight)
-        self.postings = {}
-        for term, (ats, weights) in postings.items():
-            ats, weights = np.array(ats), np.array(weights)
-            blocks, first = np.unique(ats // BLOCK, return_index=True)
-            self.postings[term] = (ats, weights, blocks, np.r_[first, len(ats)], np.maximum.reduceat(weights, first))
+        self.unit = (1 + np.log(np.asarray(tf, dtype=float))) * weight[self.term]
+        if len(self.sizes):
+            self.unit /= np.repeat(np.sqrt(np.add.reduceat(self.unit**2, self.starts)), self.sizes)
+        self.ready = False
+
+    def prepare(self):
+        """Postings of the terms, and dense rows of those of many entries."""
+        order = np.argsort(self.term, kind="stable")
+        number = np.bincount(self.term, minlength=len(self.weight))
+        self.cuts = np.r_[0, np.cumsum(number)]
+        self.at = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)[order]
+        self.posted = self.unit[order].astype(np.float32)
+        often = np.flatnonzero(number >= max(16, SHARE * len(self.sizes)))
+        often = often[np.argsort(-number[often], kind="stable")[:DENSE]]
+        self.row = np.full(len(self.weight), -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), len(self.sizes)), dtype=np.float32)
+        for r, t in enumerate(often):
+            own = slice(self.cuts[t], self.cuts[t + 1])
+            self.dense[r, self.at[own]] = self.posted[own]
+        self.place = np.zeros(len(self.weight))
+        self.ready = True
+
+    def weighed(self, term: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        known = term < len(self.weight)
+        raw = np.full(len(term), self.unknown)
+        raw[known] = self.weight[term[known]]
+        raw *= 1 + np.log(tf)
+        return term, raw / (np.sqrt((raw * raw).sum()) or 1.0)
 
     def weigh(self, vector: tuple) -> list[tuple[int, float]]:
-        raw = [(t, (1 + np.log(tf)) * self.idf[t]) for t, tf in vector]
-        norm = np.sqrt(sum(w * w for _, w in raw))
-        return [(t, w / norm) for t, w in raw] if norm else []
+        return list(zip(*(x.tolist() for x in self.weighed(*_arrays(vector)))))
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[list[tuple[float, int]]]:
+        """(cosine, entry) of the k nearest entries of each vector with a positive cosine, exactly."""
+        if not len(self.sizes):
+            return [[] for _ in vectors]
+        if not self.ready:
+            self.prepare()
+        queries = []
+        heads = np.zeros((len(vectors), len(self.dense)), dtype=np.float32)
+        for i, vector in enumerate(vectors):
+            term, unit = self.weighed(*vector)
+            known = term < len(self.weight)
+            term, unit = term[known], unit[known]
+            row = self.row[term]
+            heads[i, row[row >= 0]] = unit[row >= 0]
+            queries.append((term, unit, row < 0))
+        scores, out = heads @ self.dense, []
+        for own, (term, unit, tail) in zip(scores, queries):
+            first = self.cuts[term[tail]]
+            number = self.cuts[term[tail] + 1] - first
+            where = ragged(first, number)
+            own += np.bincount(self.at[where], np.repeat(unit[tail], number) * self.posted[where], len(own)).astype(np.float32)
+            least = np.partition(own, -k)[-k] - 2 * ERROR if len(own) > k else 0.0
+            found = np.flatnonzero((own >= least) & (own > 0))
+            if not len(found):
+                out.append([])
+                continue
+            self.place[term] = unit
+            where, sizes = ragged(self.starts[found], self.sizes[found]), self.sizes[found]
+            exact = np.round(np.add.reduceat(self.place[self.term[where]] * self.unit[where], np.cumsum(sizes) - sizes), 9)
+            self.place[term] = 0.0
+            best = np.lexsort((found, -exact))[:k]
+            out.append([(float(exact[i]), int(found[i])) for i in best if exact[i] > 0])
+        return out
 
     def nearest(self, vector: tuple, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """(cosine, entry) of the k nearest entries with a positive cosine, exactly."""
-        query = [(q, *self.postings[t]) for t, q in self.weigh(vector) if t in self.postings]
-        bound = np.zeros(-(-len(self.vectors) // BLOCK))
-        for q, _, _, blocks, _, most in query:
-            bound[blocks] += q * most
-        best: list[tuple[float, int]] = []
-        bound = np.round(bound + 1e-12, 9)
-        for b in np.argsort(-bound, kind="stable"):  # of equal bounds, the first block first
-            if bound[b] <= 0 or len(best) == k and (-bound[b], b * BLOCK) > (-best[-1][0], best[-1][1]):
-                break
-            scores = np.zeros(BLOCK)
-            for q, ats, weights, blocks, first, _ in query:
-                j = np.searchsorted(blocks, b)
-                if j < len(blocks) and blocks[j] == b:
-                    part = slice(first[j], first[j + 1])
-                    scores[ats[part] - b * BLOCK] += q * weights[part]
-            scores = np.round(scores, 9)
-            least = best[-1][0] if len(best) == k else 1e-9
-            found = np.flatnonzero(scores >= least)
-            if len(found):
-                found = found[np.argsort(-scores[found], kind="stable")[:k]]
-                new = [(float(scores[i]), int(b) * BLOCK + int(i)) for i in found]
-                best = sorted(best + new, key=lambda x: (-x[0], x[1]))[:k]
-        return best
-
-    def score(self, vector: tuple) -> tuple[float, list[int]]:
-        near = self.nearest(vector) if vector else []
-        if not near:
-            return self.base, []
-        at = [i for _, i in near]
-        weight = np.array([c for c, _ in near]) ** 4
-        votes = (weight * self.count[at]).sum()
-        score = ((weight * self.toxic[at]).sum() + self.base) / (votes + 1)
-        return float(min(1.0, max(0.0, score))), [d for i in at[:3] for d in self.ids[i][:1]]
+        return self.nearest_of([_arrays(vector)], k)[0]
+
+    def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
+        out = []
+        for near in self.nearest_of(vectors):
+            if not near:
+                out.append((self.base, []))
+                continue
+            at = [i for _, i in near]
+            weight = np.array([c for c, _ in near]) ** 4
+            votes = (weight * self.count[at]).sum()
+            score = ((weight * self.toxic[at]).sum() + PRIOR * self.base) / (votes + PRIOR)
+            out.append((float(min(1.0, max(0.0, score))), [self.ids[i] for i in at[:3]]))
+        return out
 
 
 def examples_of(labels: DataFrame, doc_id: str, label: str, max_examples: int) -> DataFrame:
@@ -143,8 +212,8 @@ def examples_of(labels: DataFrame, doc_id: str, label: str, max_examples: int) -
     return marked.orderBy(F.xxhash64("id"), "id").limit(max_examples)
 
 
-def choose_terms(examples: DataFrame, min_chi2: float = MIN_CHI2, max_terms: int = MAX_TERMS) -> list[str]:
-    """The terms of the (text, toxic) rows that go with the label."""
+def terms_of(examples: DataFrame) -> tuple[list[str], np.ndarray]:
+    """All terms of the (text, toxic) rows in order, and how far each goes with the label (0 to 1)."""
 
     def count(batches):
         schema = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("n", pa.int64())])
@@ -157,76 +226,82 @@ def choose_terms(examples: DataFrame, min_chi2: float = MIN_CHI2, max_terms: int
                     bad.update(own)
             yield batch(schema, term=list(seen), toxic=[bad[w] for w in seen], n=list(seen.values()))
 
-    examples = examples.dropDuplicates(["text", "toxic"])  # a text that was copied counts once
+    examples = saved(examples.dropDuplicates(["text", "toxic"]), "texts")  # a text that was copied counts once
     sizes = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    a, n, total = F.col("a").cast("double"), F.col("n").cast("double"), float(max(1, sum(sizes.values())))
-    spread = n * share * (1 - share) * (1 - n / total)
-    picked = (
+    # the terms of max_examples texts
+    found = (
         examples.select("text", "toxic").mapInArrow(count, "term string, toxic long, n long")
-        .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")).filter("n >= 5")
-        .withColumn("chi2", F.pow(a - n * share, 2) / F.nullif(spread, F.lit(0.0))).filter((F.col("chi2") >= min_chi2) & (a > n * share))
-        .orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect()
+        .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")).orderBy("term").toArrow()
     )
-    return sorted(r["term"] for r in picked)
+    a, n = (found[c].to_numpy().astype(float) for c in ("a", "n"))
+    lift = np.zeros(len(a))
+    if 0 < share < 1:
+        lift = np.maximum(0.0, np.log((a + 2 * share) / (n + 2) / share) / np.log(1 / share))
+    return found["term"].to_pylist(), lift**2
 
 
-def vectors(docs: DataFrame, text: str, names: list[str], keep: list[Column]) -> DataFrame:
-    """The columns ``keep`` with ``term`` and ``tf``, the sparse vector of the text."""
-    spark = ship(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(Terms({w: i for i, w in enumerate(names)}))
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    out = rows.drop("__text")
-    fields = out.columns
+def frequencies(docs: DataFrame, text: str, shared, terms: int) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those that have each of the terms."""
 
-    def run(batches):
-        terms = shared.value
+    def count(batches):
+        df, n = np.zeros(terms + 1, dtype=np.int64), 0
         for b in batches:
-            own = [terms.vector(value) for value in b.column(len(fields)).to_pylist()]
-            columns = [b.column(i) for i in range(len(fields))]
-            more = [pa.array([[x[i] for x in v] for v in own], pa.list_(pa.int32())) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns + more, names=[*fields, "term", "tf"])
-
-    return rows.mapInArrow(run, with_fields(out.schema, "term array<int>, tf array<int>"))
-
-
-def build_index(rows: DataFrame, marked: DataFrame, terms: int) -> Index:
-    """The index of the ``marked`` ones of the vector rows (doc_id, term, tf); frequencies are those of all rows."""
-    df = np.zeros(terms)
-    for r in rows.select(F.explode("term").alias("t")).groupBy("t").count().collect():  # a number per term
-        df[r["t"]] = r["count"]
-    idf = np.log((1 + rows.count()) / (1 + df)) + 1
-    grouped: dict[tuple, list] = {}
-    own = rows.select(F.col("doc_id").cast("long").alias("id"), "term", "tf").join(F.broadcast(marked), "id")
-    classes = own.groupBy("term", "tf").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"), F.min("id").alias("id"))
-    for r in classes.toLocalIterator():  # max_examples rows at most, but for repeated ids
-        grouped[tuple(zip(r["term"], r["tf"]))] = [r["n"], r["bad"], [r["id"]]]
-    return Index(idf, grouped)
-
-
-def score(rows: DataFrame, index: Index) -> DataFrame:
-    """Vector rows with ``score``, ``predicted`` and ``evidence`` in place of ``term`` and ``tf``."""
-    shared = rows.sparkSession.sparkContext.broadcast(index)
-    out = rows.drop("term", "tf")
+            for value in b.column(0).to_pylist():
+                own, _ = shared.value.vector(value)
+                df[own[own < terms]] += 1
+                n += 1
+        df[terms] = n
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["t", "n"])
+
+    found = docs.select(F.col(text)).mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a number per term
+    df = np.zeros(terms + 1)
+    df[found["t"].to_numpy()] = found["n"].to_numpy()
+    return int(df[terms]), df[:terms]
+
+
+def build_index(docs: DataFrame, text: str, examples: DataFrame, shared, lift: np.ndarray) -> Index:
+    """The index of the examples (id, text, toxic); frequencies are those of all documents."""
+    number, df = frequencies(docs, text, shared, len(lift))
+    weight = (np.log((1 + number) / (1 + df)) + 1) * (FLOOR + lift)
+
+    def vectors(batches):
+        for b in batches:
+            own = [shared.value.vector(value) for value in b.column(2).to_pylist()]
+            more = [pa.array([v[i].astype(np.int32) for v in own], pa.list_(pa.int32())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *more], names=["id", "toxic", "term", "tf"])
+
+    rows = examples.select("id", "toxic", "text").mapInArrow(vectors, "id long, toxic long, term array<int>, tf array<int>")
+    classes = rows.groupBy("term", "tf").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"), F.min("id").alias("id"))
+    found = classes.orderBy("term", "tf").toArrow()  # max_examples rows at most, but for repeated ids
+    sizes = np.array([len(x) for x in found["term"]], dtype=np.int64)
+    term, tf = (np.concatenate([c.flatten().to_numpy() for c in found[x].chunks] or [np.empty(0, np.int32)]) for x in ("term", "tf"))
+    count, bad, ids = (found[c].to_numpy() for c in ("n", "bad", "id"))
+    some, none = sizes > 0, sizes == 0
+    unknown = (np.log(1 + number) + 1) * FLOOR
+    return Index.of(weight, unknown, term, tf, sizes[some], count[some], bad[some], ids[some].tolist(), int(count[none].sum()), int(bad[none].sum()))
+
+
+def score(docs: DataFrame, text: str, keep: list[Column], terms, index: Index) -> DataFrame:
+    """The columns ``keep`` with ``score``, ``predicted`` and ``evidence``."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    rows = docs.select(*keep, F.col(text).alias("__text"))
+    out = rows.drop("__text")
     fields = out.columns
 
     def run(batches):
-        known: dict[tuple, tuple[float, list[int]]] = {}
         for b in batches:
-            scores, evidence = [], []
-            for vector in map(tuple, map(zip, b.column(len(fields)).to_pylist(), b.column(len(fields) + 1).to_pylist())):
-                if vector not in known:
-                    if len(known) >= 50_000:
-                        known.clear()
-                    known[vector] = shared.value.score(vector)
-                scores.append(known[vector][0])
-                evidence.append(known[vector][1])
+            texts, found = b.column(len(fields)).to_pylist(), []
+            for part in text_slices(texts):
+                own = [terms.value.vector(texts[i]) for i in part]
+                for at in range(0, len(own), 256):
+                    found += shared.value.scores(own[at : at + 256])
             columns = [b.column(i) for i in range(len(fields))]
-            more = [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(evidence, pa.list_(pa.int64()))]
+            more = [pa.array([s for s, _ in found], pa.float64()), pa.array([int(s >= 0.5) for s, _ in found], pa.int32()), pa.array([e for _, e in found], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns + more, names=[*fields, "score", "predicted", "evidence"])
 
-    given = rows.select(*fields, "term", "tf")
-    return given.mapInArrow(run, with_fields(out.schema, "score double, predicted int, evidence array<bigint>"))
+    return rows.mapInArrow(run, with_fields(out.schema, "score double, predicted int, evidence array<bigint>"))
 
 
 def toxicity(
@@ -234,11 +309,13 @@ def toxicity(
     max_examples: int = MAX_EXAMPLES,
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) of every row of ``docs``."""
-    ship(docs.sparkSession)
+    spark = ship(docs.sparkSession)
     held = F.coalesce(fold(doc_id, 5) == 0, F.lit(False))
     marked = saved(examples_of(labels.filter(~held), doc_id, label, max_examples), "examples")
     # max_examples rows of two numbers at most
     examples = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(marked), "id")
-    names = choose_terms(examples)
-    rows = saved(vectors(docs, text, names, [F.col(doc_id).alias("doc_id"), held.alias("held_out")]), "vectors")
-    return score(rows, build_index(rows, marked, len(names)))
+    examples = saved(examples, "example-texts")
+    names, lift = terms_of(examples)
+    terms = spark.sparkContext.broadcast(Terms(names))
+    index = build_index(docs, text, examples, terms, lift)
+    return score(docs, text, [F.col(doc_id).alias("doc_id"), held.alias("held_out")], terms, index)

@@ -373,6 +373,20 @@ def test_held_out_toxicity(spark):
     assert toxicity.toxicity(docs.limit(0), labels).collect() == []
 
 
+def test_toxic_texts_are_found_at_every_size(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    toxic = [r["doc_id"] for r in labels.filter("toxic = 1").collect()]
+    example = next(d for d in toxic if zlib.crc32(str(d).encode()) % 5)
+    rare = " ".join(f"zq{i}x rv{i}y" for i in range(30))
+    texts = texts_of(docs)
+    more = spark.createDataFrame([(9000, rare), (9001, rare.replace("zq3x", "other")), (9002, " ".join(texts[example].split()[1:]))], "doc_id long, text string")
+    marks = labels.select("doc_id", "toxic").union(spark.createDataFrame([(9000, 1)], "doc_id long, toxic long"))
+    rows = {r["doc_id"]: r for r in toxicity.toxicity(docs.select("doc_id", "text").union(more), marks).collect()}
+    assert all(rows[d]["predicted"] for d in [*toxic, 9001, 9002]) and rows[9001]["evidence"][0] == 9000
+    clean = [r["doc_id"] for r in labels.filter("toxic = 0").collect()]
+    assert np.mean([rows[d]["predicted"] for d in clean]) < 0.05
+
+
 # --- pipeline --------------------------------------------------------------------
 
 
