@@ -6,6 +6,10 @@ a text, in order, are matched against rules: a rule applies where its sentences
 follow one another, with nothing between them but sentences that are not known.
 Of the rules of one licence that apply, the one of most sentences is reported.
 
+Licence texts are wrapped, often behind comment marks.  So the rules are matched twice:
+against the sentences as cut at every line end, and against those that may go on over a
+line end (see :func:`wrapped_ids`); whatever applies in one of the two ways counts.
+
 Everything happens within the row, without a shuffle.
 
 Defined results: null and empty texts match nothing.  Repeated rows are reported each
@@ -61,6 +65,8 @@ RULES = {
 }
 
 _CUT = r"[.!?;]+(?:\s|$)|\n"
+_URL = r"[a-z]+://\S+"
+_LINE = r"\n[^a-z0-9\n]*(?:(?:dnl|rem)[ \t]+)?(?:[0-9a-z]{1,2}\)[ \t]+)?"
 
 
 def normalised(sentence: str) -> str:
@@ -87,18 +93,49 @@ def sentence_ids(text: Column, rules=RULES) -> Column:
     """The identifiers of the known sentences of a text in order, as text between commas."""
     known = known_sentences(rules)
     table = F.create_map(*[F.lit(x) for s, i in known.items() for x in (s, str(i))])
-    longest = 2 * max(map(len, known))
-    sentences = F.filter(F.split(F.coalesce(text, F.lit("")), _CUT), lambda s: F.length(s).between(5, longest))
+    sentences = F.split(F.coalesce(text, F.lit("")), _CUT)
     plain = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
     found = F.filter(F.transform(sentences, lambda s: F.try_element_at(table, plain(s))), lambda i: i.isNotNull())
+    return _joined(found)
+
+
+def _joined(found: Column) -> Column:
     return F.concat(F.lit(","), F.array_join(F.transform(found, lambda i: F.concat(i, F.lit(","))), ""))
 
 
+def wrapped_ids(text: Column, rules=RULES) -> Column:
+    """As :func:`sentence_ids`, of sentences that may go on over single line ends.
+
+    A known sentence counts if it begins and ends at a line end, stop, URL or end of the text.
+    Marks before the first word of a line (comments, list numbers) are part of the line end;
+    a blank line is two of them and so ends a sentence, as do stops and URLs.
+    """
+    known = known_sentences(rules)
+    line, stop = "\x01", "\x02"
+    plain = F.translate(F.lower(F.concat(F.lit("\n"), F.coalesce(text, F.lit("")))), line + stop, "  ")
+    for pattern, mark in ((_URL, stop), (_LINE, line), (r"[.!?;]+(?=\s|$)", stop)):
+        plain = F.regexp_replace(plain, pattern, f" {mark} ")
+    plain = F.trim(F.regexp_replace(plain, f"[^a-z0-9{line}{stop}]+", " "))
+    # of two sentences that begin alike the longer one is tried first
+    sentences = "|".join(s.replace(" ", f" (?:{line} )?") for s in sorted(known, key=lambda s: (-len(s), s)))
+    found = F.regexp_extract_all(plain, F.lit(f"[{line}{stop}] ({sentences})(?= [{line}{stop}]|$)"), F.lit(1))
+    table = F.create_map(*[F.lit(x) for s, i in known.items() for x in (s, str(i))])
+    return _joined(F.transform(found, lambda s: F.try_element_at(table, F.regexp_replace(s, f" {line} ", " "))))
+
+
+def _first_words(rules=RULES) -> str:
+    """A pattern of the longest word of every known sentence."""
+    return "|".join(sorted({max(s.split(), key=len) for s in known_sentences(rules)}))
+
+
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RULES) -> DataFrame:
     """(doc_id, license, rule, n_sentences) of every licence that a row's text names."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), sentence_ids(F.col(text), rules).alias("ids")).filter("ids <> ','")
+    own = F.col(text)
+    # what holds no part of any known sentence needs no look at its line ends
+    wrapped = F.when(F.lower(own).rlike(_first_words(rules)), wrapped_ids(own, rules)).otherwise(",")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), sentence_ids(own, rules).alias("ids"), wrapped.alias("wrapped")).filter("ids <> ',' OR wrapped <> ','")
     table = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(rule).alias("rule"), F.lit(licence).alias("license"), F.lit(ids).alias("ids")) for rule, licence, ids, n in rule_sequences(rules)])
-    hits = rows.withColumn("hits", F.filter(table, lambda r: F.contains(F.col("ids"), r["ids"])))
+    hits = rows.withColumn("hits", F.filter(table, lambda r: F.contains(F.col("ids"), r["ids"]) | F.contains(F.col("wrapped"), r["ids"])))
     better = lambda r, o: (o["license"] == r["license"]) & ((o["n"] > r["n"]) | ((o["n"] == r["n"]) & (o["rule"] < r["rule"])))
     best = hits.select("doc_id", F.explode(F.filter("hits", lambda r: ~F.exists(F.col("hits"), lambda o: better(r, o)))).alias("r"))
     return best.select("doc_id", F.col("r.license").alias("license"), F.col("r.rule").alias("rule"), F.col("r.n").alias("n_sentences"))

@@ -114,6 +114,35 @@ def test_licenses_match_ordered_sentences(spark):
     assert got == [(1, "Apache-2.0", "apache-2.0-header", len(header)), (3, "MIT", "mit-short", 1), (3, "MIT", "mit-short", 1)]
 
 
+def test_wrapped_licenses_in_long_texts(spark):
+    import textwrap
+
+    def text(rule, width, mark, list_mark=""):
+        own = [(x if x.endswith(":") else x + ".") for x in licenses.RULES[rule][1]]
+        if rule == "apache-2.0-header":
+            own = [own[0][:-1] + "; " + own[1] + " " + own[2][:-1], "    http://www.apache.org/licenses/LICENSE-2.0", own[3] + " " + own[4]]
+        elif rule == "gpl-3.0-header":
+            own = [own[0], own[1] + "  " + own[2]]
+        lines = [line for k, p in enumerate(own) for line in [*textwrap.wrap((f"{k}{list_mark} " if list_mark and k else "") + p, width), ""]]
+        return "\n".join(f"{mark}{x}".rstrip() for x in lines)
+
+    filler = "prose without end, and more of it.\n" * 100
+    sizes = {rule: n for rule, _, _, n in licenses.rule_sequences()}
+    want, rows = [], []
+    for rule in ("apache-2.0-header", "mit-text", "gpl-3.0-header", "bsd-clauses"):
+        for width in (40, 72):
+            for mark in ("", "# ", " * ", "// ", ";; ", "dnl ", "! "):
+                for list_mark in ("", ".", ")"):
+                    want.append((len(rows), licenses.RULES[rule][0], rule, sizes[rule]))
+                    rows.append((len(rows), filler + text(rule, width, mark, list_mark if rule == "bsd-clauses" else "") + "\n" + filler))
+    # a blank line or a stop ends a sentence; a part of a line is none
+    rows += [(len(rows), "Released under\n\nthe MIT License."), (len(rows) + 1, "Released under. the MIT License."), (len(rows) + 2, "not Released under\nthe MIT License.")]
+    want.append((len(rows), "MIT", "mit-short", 1))
+    rows.append((len(rows), "x\r\n/* Released under\r\n * the MIT" + " " * 3_000 + "License. */"))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in licenses.license_scan(table).collect()) == want
+
+
 # --- 3 ---------------------------------------------------------------------------
 
 
