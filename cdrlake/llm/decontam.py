@@ -11,8 +11,8 @@ Texts are sequences of lower-cased words.  Seeds are runs of ``min_match`` words
 4. An item leaks into a document if its tiles cover ``min_coverage`` of its words.
 
 Defined results: null and empty texts, and items of fewer than ``min_match`` words,
-match nothing.  Rows equal in id and text count once, as do repeated items (of one id
-the first text).  Among equally long matches the first in the item, then in the
+match nothing.  Rows equal in id and text count once, as do repeated items; each text of
+an item id, also of a null one, is an item of its own.  Among equally long matches the first in the item, then in the
 document, is marked first.
 """
 
@@ -74,7 +74,8 @@ def _seeds(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, n
     n = len(words)
     seed = np.zeros(n, dtype=np.uint64)
     for j in range(k):
-        seed[: n - j] = seed[: n - j] * _BASE + words[j:]
+        m = max(0, n - j)
+        seed[:m] = seed[:m] * _BASE + words[j:]
     left = np.repeat(np.cumsum(counts), counts) - np.arange(n)
     return seed ^ (seed >> np.uint64(29)), left >= k
 
@@ -138,7 +139,9 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, text_key, item_id, coverage, tiles) of each leak; tiles give word places in item and document."""
     spark = ship(docs.sparkSession)
-    one = benchmark.filter(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).groupBy(F.col(item_id).alias("item_id")).agg(F.min(item_text).alias("t"))
+    one = benchmark.filter(F.col(item_text).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("t")).distinct()
+    own_id = F.coalesce(F.concat(F.lit("i"), F.col("item_id").cast("string")), F.lit("n"))
+    one = one.withColumn("item_key", F.concat_ws(":", own_id, text_key("t")))
     item_schema = pa.schema([("words", pa.list_(pa.int64())), ("seeds", pa.list_(pa.int64()))])
 
     def item_words(batches):
@@ -152,11 +155,11 @@ def leaks(
                 item_schema, words=[signed[a:z] for a, z in zip(cuts[:-1], cuts[1:])],
                 seeds=[seeds[a:z][whole[a:z]] for a, z in zip(cuts[:-1], cuts[1:])],
             )
-            yield pa.RecordBatch.from_arrays([b.column(0), *rows.columns], names=["item_id", "words", "seeds"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *rows.columns], names=["item_id", "item_key", "words", "seeds"])
 
     id_type = one.schema["item_id"].dataType.simpleString()
-    items = saved(one.mapInArrow(item_words, f"item_id {id_type}, words array<long>, seeds array<long>"), "items")
-    item_seeds = items.select("item_id", F.size("words").alias("n"), F.explode("seeds").alias("seed"))
+    items = saved(one.mapInArrow(item_words, f"item_id {id_type}, item_key string, words array<long>, seeds array<long>"), "items")
+    item_seeds = items.select("item_key", F.size("words").alias("n"), F.explode("seeds").alias("seed"))
     bits = np.zeros(SLOTS, dtype=bool)
     slots = item_seeds.select(F.pmod("seed", F.lit(SLOTS)).alias("s")).distinct().toArrow()  # SLOTS numbers at most
     bits[slots["s"].to_numpy()] = True
@@ -195,10 +198,10 @@ def leaks(
     enough = F.count("*") * min_match >= F.max("n") * min_coverage
     pairs = (
         found.select("key", F.explode("seeds").alias("seed")).join(item_seeds, "seed")
-        .groupBy("key", "item_id").agg(enough.alias("enough")).filter("enough").select("key", "item_id")
+        .groupBy("key", "item_key").agg(enough.alias("enough")).filter("enough").select("key", "item_key")
     )
     joined = pairs.join(found.select("key", "doc_id", "text_key", "at", "words"), "key")
-    joined = joined.join(items.select("item_id", F.col("words").alias("item")), "item_id").select("doc_id", "text_key", "item_id", "at", "words", "item")
+    joined = joined.join(items.select("item_key", "item_id", F.col("words").alias("item")), "item_key").select("doc_id", "text_key", "item_id", "at", "words", "item")
 
     def tile(batches):
         schema = pa.schema([("coverage", pa.float64()), ("tiles", pa.list_(pa.list_(pa.int32())))])

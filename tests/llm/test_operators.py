@@ -251,6 +251,14 @@ def test_tiling_catches_reordered_passages(spark):
     assert decontam.leaks(docs.limit(0), bench).collect() == [] and decontam.leaks(docs, bench.limit(0)).collect() == []
 
 
+def test_every_text_of_an_item_is_searched_for(spark):
+    first, second, third = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
+    bench = spark.createDataFrame([(7, first), (7, second), (None, third)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, first), (2, second), (3, third), (4, "own words")], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, bench).collect()} == {(1, 7), (2, 7), (3, None)}
+    assert [r["doc_id"] for r in decontam.without_leaks(docs, bench).collect()] == [4]
+
+
 def test_tiles_are_longest_first_and_do_not_overlap():
     got = decontam.tiles([1, 2, 3, 4, 5, 6, 7, 8], [5, 6, 7, 8, 0, 1, 2, 3, 4, 5, 6], 2)
     assert got == [(0, 5, 6), (6, 2, 2)]
