@@ -109,14 +109,16 @@ class Encoder:
 
     The pre-tokenizer always cuts before a single space or line end between other
     characters, so such stretches can be encoded alone.  Texts with longer runs of
-    white space go to the tokenizer whole.
+    white space, or with an added token, go to the tokenizer whole.
     """
 
     def __init__(self, path: str, bound: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        marks = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: added tokens, which the library cuts out before all else
+        self.marks = re.compile("|".join(marks) or r"(?!)")
         self.bound = bound
         size = self.tokenizer.get_vocab_size()
         #: ids whose piece begins with a space
@@ -131,7 +133,7 @@ class Encoder:
     def _learn(self, new: list[str]) -> None:
         """Encode new stretches: words together, as each begins with its only space, the others alone."""
         plain = list(map(_plain, new))
-        words = [i for i, s in enumerate(plain) if s[:1] == " " and s.split() == [s[1:]]]
+        words = [i for i, s in enumerate(plain) if s[:1] == " " and s.split() == [s[1:]] and not self.marks.search(s)]
         flat, lengths = [], np.zeros(len(new), dtype=np.int64)
         if words:
             joined = ["".join(plain[i] for i in words[at : at + 500]) for at in range(0, len(words), 500)]
@@ -161,7 +163,7 @@ class Encoder:
         stretches: list[str] = []
         counts = np.empty(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
-            own = [" " + text] if text and _RUN.search(text) else _stretches(text or "")
+            own = [" " + text] if text and (_RUN.search(text) or self.marks.search(text)) else _stretches(text or "")
             counts[i] = len(own)
             stretches += own
         new = set(stretches).difference(self.known)

@@ -226,6 +226,15 @@ def test_token_files_read_back(edge, empty, docs):
     assert tokenbin.token_bin(empty, BYTE_BPE).collect() == []
 
 
+def test_added_tokens_are_those_of_the_library():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", " <|endoftext|>", "<|endoftext|>", " word", "x\n<|endoftext|>y", None, "plain words here"]
+    flat, sizes = tokenbin.Encoder(BYTE_BPE).encode(texts, None)
+    want = [e.ids for e in Tokenizer.from_file(BYTE_BPE).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert sizes.tolist() == list(map(len, want)) and flat.tolist() == [i for x in want for i in x]
+
+
 @pytest.mark.parametrize("bits", [False, True])
 @pytest.mark.parametrize("n", [0, 1, 7, 100, 1000])
 def test_planes_round_trip(bits, n):
