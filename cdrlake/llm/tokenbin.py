@@ -21,6 +21,7 @@ null id come first; rows of equal id are in the order of their texts.  An empty
 gives an empty data set.
 """
 
+import os
 import re
 import struct
 import zlib
@@ -35,6 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import batch, ragged, scratch, ship
 
+# a task has one core; the library's threads would only wait for each other
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 MAGIC = b"BPS1"
 BLOCK = 16_384
 CHUNK = 262_144
