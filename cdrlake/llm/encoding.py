@@ -45,7 +45,7 @@ class ColumnEncoder:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         #: where a stretch's ids begin in the pool, and their number; all three have room behind what is in use
-        self.starts = self.lengths = np.empty(1024, dtype=np.int64)
+        self.starts, self.lengths = np.empty(1024, dtype=np.int64), np.empty(1024, dtype=np.int64)
         self.pool, self.used = np.empty(4096, dtype=np.uint32), 0
 
     def _put(self, ids: np.ndarray, sizes: np.ndarray) -> None:

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, licenses, linededup, onepermutation, packing, pieces, resampling, simhash, suffix, tokenbin, toxicity
+from . import decontam, langid, licenses, linededup, onepermutation, packing, pieces, repair, resampling, simhash, suffix, tokenbin, toxicity
 from .common import read_table, ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": lambda s, d: suffix.suffix_dedup(_docs(s, d)),
     "op9_language_id": lambda s, d: langid.identify(_docs(s, d)),
     "op10_toxicity": lambda s, d: toxicity.toxicity(_docs(s, d), read_table(s, d, "labels")),
+    "op11_conversation_repair": lambda s, d: repair.conversation_repair(read_table(s, d, "conversations")),
     "op12_importance_resampling": lambda s, d: resampling.resample(_docs(s, d), read_table(s, d, "benchmark")),
     "op13_packing": lambda s, d: packing.digests(packing.pack(_docs(s, d), WORD_BPE)),
 }
