@@ -1,9 +1,12 @@
-"""Token ids of Arrow text columns for tokenizers that drop white space: each different word is encoded once.
+"""Token ids of Arrow text columns: each different stretch of a text is given to the tokenizer once.
 
-The pre-tokenizer cuts at white space, so what stands between single spaces and line ends
+The pre-tokenizers cut at white space, so what stands between single spaces and line ends
 can be encoded alone.  Arrow splits a column and numbers the different stretches; only new
-ones reach the tokenizer, and numpy puts the ids together.  Texts that hold an added token
-are encoded whole, as the library cuts those out before all else.
+ones reach the tokenizer, many at a time, and numpy puts the ids together.  Two kinds of
+tokenizers are known: byte-level ones, where a word's first piece holds the space before it,
+and those that drop white space and mark a word's last piece.  Texts that cannot be cut
+this way are encoded whole: those with an added token, which the library cuts out before
+all else, and for byte-level tokenizers those with a run of white space that stays together.
 """
 
 import os
@@ -20,6 +23,11 @@ from .common import ragged
 # a task has one core; the library's threads would only wait for each other
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+#: white space of the pre-tokenizers' patterns
+_SPACE = r"[\t-\r \x{85}\p{Z}]"
+#: marks that end a stretch of letters as one more part
+_STOPS = ".,;:!?"
+
 
 def room(array: np.ndarray, size: int) -> np.ndarray:
     """``array`` with place for ``size`` values, doubled where it has to grow."""
@@ -34,11 +42,13 @@ class ColumnEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         pieces = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        #: ids that end a word
-        self.ends = np.array([p.endswith("</w>") for p in pieces])
-        if not self.ends.any():
-            raise ValueError("the tokenizer must drop white space and mark the ends of words")
-        self.marks = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.keeps_spaces = not any(p.endswith("</w>") for p in pieces)
+        #: ids that begin a stretch, or that end a word
+        self.edges = np.array([p.startswith("\u0120") if self.keeps_spaces else p.endswith("</w>") for p in pieces])
+        marks = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        runs = [f"{_SPACE}{{3}}", rf"{_SPACE}{{2}}\z"] if self.keeps_spaces else []
+        #: RE2 pattern of texts that are encoded whole
+        self.whole = "|".join(marks + runs)
         self.bound = bound
         self.clear()
 
@@ -59,37 +69,58 @@ class ColumnEncoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their numbers of words of letters alone, encoded many at a time."""
-        joined = [" ".join(words[at : at + 500]) for at in range(0, len(words), 500)]
+    def _together(self, stretches: list[str], words: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of stretches, encoded many at a time; ``words`` says how many each has."""
+        joined = [("" if self.keeps_spaces else " ").join(stretches[at : at + 500]) for at in range(0, len(stretches), 500)]
         ids = np.array([i for own in self._ids(joined) for i in own], dtype=np.uint32)
-        lengths = np.diff(np.r_[-1, np.flatnonzero(self.ends[ids])])
-        if len(lengths) != len(words):  # the pre-tokenizer knows other letters than Python
-            own = self._ids(words)
+        edges, last = np.flatnonzero(self.edges[ids]), np.cumsum(words)
+        if len(edges) != last[-1]:  # the pre-tokenizer knows other letters than Python
+            own = self._ids(stretches)
             return np.array([i for x in own for i in x], dtype=np.uint32), np.array([len(x) for x in own], dtype=np.int64)
-        return ids, lengths
+        return ids, np.diff(np.r_[edges, len(ids)] if self.keeps_spaces else np.r_[-1, edges[last - 1]])
+
+    def _words(self, stretch: str) -> int:
+        """Number of words of a stretch that can be encoded beside others; 0 if it cannot."""
+        if self.keeps_spaces:
+            return int(stretch[:1] == " " and stretch.split() == [stretch[1:]])
+        letters = stretch.rstrip(_STOPS)
+        return 1 + (len(letters) < len(stretch)) if letters.isalpha() else 0
 
     def _learn(self, new: list[str]) -> None:
-        words, rest = [s for s in new if s.isalpha()], [s for s in new if not s.isalpha()]
-        ids, lengths = self._words(words) if words else (np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64))
+        words = list(map(self._words, new))
+        many, rest = [s for s, n in zip(new, words) if n], [s for s, n in zip(new, words) if not n]
+        ids, lengths = np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
+        if many:
+            ids, lengths = self._together(many, [n for n in words if n])
         alone = self._ids(rest)
         sizes = np.r_[lengths, np.array([len(x) for x in alone], dtype=np.int64)]
         ids = np.r_[ids, np.array([i for x in alone for i in x], dtype=np.uint32)]
         self._put(ids, sizes)
         self.used += len(ids)
-        self.known.update(zip(words + rest, range(len(self.known), len(self.known) + len(new))))
+        self.known.update(zip(many + rest, range(len(self.known), len(self.known) + len(new))))
+
+    def _slots(self, stretches: list[str]) -> np.ndarray:
+        known = self.known
+        new = [s for s in stretches if s not in known]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(known.__getitem__, stretches), dtype=np.int64, count=len(stretches))
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Slots of all stretches, and where each text's begin."""
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if self.keeps_spaces else " "), " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        stretches = coded.dictionary.to_pylist()
-        new = [s for s in stretches if s not in self.known]
-        if new:
-            self._learn(new)
-        slots = np.fromiter(map(self.known.__getitem__, stretches), dtype=np.int64, count=len(stretches))
-        return slots[coded.indices.to_numpy()], offsets - offsets[0]
+        offsets -= offsets[0]
+        codes, parts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        if not self.keeps_spaces:
+            return self._slots(parts)[codes], offsets
+        # the space that was cut away belongs to the part behind it, but for a line's and a text's first part
+        slots = self._slots([p if p[:1] == "\n" else " " + p for p in parts])[codes]
+        first = offsets[np.flatnonzero(np.diff(offsets))]
+        opening, which = np.unique(codes[first], return_inverse=True)
+        slots[first] = self._slots([parts[c] for c in opening.tolist()])[which]
+        return slots, offsets
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, with ``end_id`` behind each text, and the number of each text's; null counts as empty."""
@@ -97,8 +128,8 @@ class ColumnEncoder:
             self.clear()
         texts = pc.fill_null(texts.cast(pa.string()), "")
         at = np.empty(0, dtype=np.int64)
-        if self.marks:
-            whole = pc.match_substring_regex(texts, self.marks)
+        if self.whole:
+            whole = pc.match_substring_regex(texts, self.whole)
             at = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
         own = self._ids(texts.take(pa.array(at)).to_pylist()) if len(at) else []
         slots, offsets = self._cut(pc.if_else(whole, "", texts) if len(at) else texts)
@@ -123,7 +154,7 @@ def column_encoder(path: str) -> ColumnEncoder:
     return ColumnEncoder(path)
 
 
-def column_slices(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def column_slices(texts: pa.Array, limit: int = 6_000_000) -> Iterator[tuple[int, int]]:
     """(start, stop) of runs of ``texts`` of at most ``limit`` bytes, or one text where that is longer."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0

@@ -21,11 +21,8 @@ null id come first; rows of equal id are in the order of their texts.  An empty
 gives an empty data set.
 """
 
-import os
-import re
 import struct
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,37 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batch, ragged, scratch, ship
-
-# a task has one core; the library's threads would only wait for each other
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+from .common import batch, scratch, ship
+from .encoding import column_encoder, column_slices
 
 MAGIC = b"BPS1"
 BLOCK = 16_384
 CHUNK = 262_144
 END_ID = 2
 _HEADER = struct.Struct("<4sIIBB")
-_RUN = re.compile(r"\s[ \n]|[ \n]\s")
-
-
-def _stretches(text: str) -> list[str]:
-    """A text cut before single spaces and around line ends.
-
-    The first stretch of the text begins with a space here and that of a later line with a line
-    feed; the others stand for a space and themselves.
-    """
-    out: list[str] = []
-    for number, line in enumerate(text.split("\n")):
-        parts = line.split(" ")
-        parts[0] = ("\n" if number else " ") + parts[0]
-        out += parts
-    return out
-
-
-def _plain(stretch: str) -> str:
-    """The characters that a stretch stands for."""
-    head = stretch[:1]
-    return stretch if head == "\n" else stretch[1:] if head == " " else " " + stretch
 
 
 def pack(ids: np.ndarray, block: int = BLOCK, bits: bool = False, level: int = 3) -> bytes:
@@ -108,86 +82,6 @@ def unpack(payload: bytes) -> np.ndarray:
     return out
 
 
-class Encoder:
-    """The tokenizer's ids of texts; stretches between single spaces and line ends are encoded once.
-
-    The pre-tokenizer always cuts before a single space or line end between other
-    characters, so such stretches can be encoded alone.  Texts with longer runs of
-    white space, or with an added token, go to the tokenizer whole.
-    """
-
-    def __init__(self, path: str, bound: int = 600_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        marks = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        #: added tokens, which the library cuts out before all else
-        self.marks = re.compile("|".join(marks) or r"(?!)")
-        self.bound = bound
-        size = self.tokenizer.get_vocab_size()
-        #: ids whose piece begins with a space
-        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-        self.clear()
-
-    def clear(self):
-        self.known: dict[str, int] = {}
-        self.starts = self.lengths = np.empty(0, dtype=np.int64)
-        self.pool = np.empty(0, dtype=np.uint32)
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode new stretches: words together, as each begins with its only space, the others alone."""
-        plain = list(map(_plain, new))
-        words = [i for i, s in enumerate(plain) if s[:1] == " " and s.split() == [s[1:]] and not self.marks.search(s)]
-        flat, lengths = [], np.zeros(len(new), dtype=np.int64)
-        if words:
-            joined = ["".join(plain[i] for i in words[at : at + 500]) for at in range(0, len(words), 500)]
-            own = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-            ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in own])
-            starts = np.flatnonzero(self.opens[ids])
-            lengths[words] = np.diff(np.r_[starts, len(ids)])
-            flat.append(ids)
-        is_word = np.zeros(len(new), dtype=bool)
-        is_word[words] = True
-        rest = np.flatnonzero(~is_word)
-        alone = [e.ids for e in self.tokenizer.encode_batch_fast([plain[i] for i in rest], add_special_tokens=False)]
-        lengths[rest] = [len(x) for x in alone]
-        flat.append(np.array([i for x in alone for i in x], dtype=np.uint32))
-        order = np.r_[np.array(words, dtype=np.int64), rest]
-        places = np.empty(len(new), dtype=np.int64)
-        places[order] = len(self.pool) + np.cumsum(lengths[order]) - lengths[order]
-        at = len(self.known)
-        self.known.update(zip(new, range(at, at + len(new))))
-        self.starts, self.lengths = np.r_[self.starts, places], np.r_[self.lengths, lengths]
-        self.pool = np.r_[self.pool, *flat]
-
-    def encode(self, texts: list[str | None], end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the number of each text."""
-        if len(self.known) > self.bound:
-            self.clear()
-        stretches: list[str] = []
-        counts = np.empty(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            own = [" " + text] if text and (_RUN.search(text) or self.marks.search(text)) else _stretches(text or "")
-            counts[i] = len(own)
-            stretches += own
-        new = set(stretches).difference(self.known)
-        if new:
-            self._learn(sorted(new))
-        at = np.fromiter(map(self.known.__getitem__, stretches), dtype=np.int64, count=len(stretches))
-        lengths = self.lengths[at]
-        flat = self.pool[ragged(self.starts[at], lengths)]
-        sums = np.r_[0, np.cumsum(lengths)][np.r_[0, np.cumsum(counts)]]
-        sizes = np.diff(sums)
-        if end_id is None:
-            return flat, sizes
-        return np.insert(flat, sums[1:], np.uint32(end_id)), sizes + 1
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", bits: bool = False) -> None:
     """The data set of ``docs`` at ``path``."""
     ship(docs.sparkSession)
@@ -198,28 +92,30 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        ids, sizes, docs_, first, chunk = [], [], [], 0, 0
+        ids, sizes, docs_, held, first, chunk = [], [], [], 0, 0, 0
 
         def flush():
             flat = np.concatenate(ids) if ids else np.empty(0, dtype=np.uint32)
             row = batch(schema, part=[part], chunk=[chunk], first=[first], doc_ids=[docs_], lengths=[sizes], payload=[pack(flat, bits=bits)])
             return row, len(flat)
 
-        held = 0
         for b in batches:
-            names, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
-                flat, counts = encoder(tokenizer).encode(texts[at : at + 500])
-                cuts = np.r_[0, np.cumsum(counts)]
-                for i, name in enumerate(names[at : at + 500]):
-                    ids.append(flat[cuts[i] : cuts[i + 1]])
-                    sizes.append(int(counts[i]))
-                    docs_.append(name)
-                    held += sizes[-1]
+            names, texts = b.column(0).to_pylist(), b.column(1)
+            for start, stop in column_slices(texts):
+                flat, counts = column_encoder(tokenizer).encode(texts.slice(start, stop - start), END_ID)
+                cuts, i = np.r_[0, np.cumsum(counts)], 0
+                while i < len(counts):
+                    # documents up to the one that fills the chunk
+                    j = min(len(counts), max(i + 1, int(np.searchsorted(cuts, cuts[i] + CHUNK - held))))
+                    ids.append(flat[cuts[i] : cuts[j]])
+                    sizes += counts[i:j].tolist()
+                    docs_ += names[start + i : start + j]
+                    held += len(ids[-1])
+                    i = j
                     if held >= CHUNK:
                         row, n = flush()
                         yield row
-                        ids, sizes, docs_, first, chunk, held = [], [], [], first + n, chunk + 1, 0
+                        ids, sizes, docs_, held, first, chunk = [], [], [], 0, first + n, chunk + 1
         if docs_:
             yield flush()[0]
 

@@ -5,12 +5,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cdrlake.llm import decontam, langid, licenses, linededup, onepermutation, pieces, simhash, suffix, tokenbin, toxicity
 from cdrlake.llm.common import hot_join
 from cdrlake.llm.components import components
+from cdrlake.llm.encoding import ColumnEncoder
 from cdrlake.llm.queries import BYTE_BPE, PIECES
 
 SF = "/root/testdata/sf0.001"
@@ -214,7 +216,6 @@ def test_token_files_read_back(edge, empty, docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(BYTE_BPE)
-    tokenizer.encode_special_tokens = True
     both = docs.select("doc_id", "text").union(edge.filter("doc_id < 5").select(F.col("doc_id") + 10_000, F.concat("text", F.lit("  \n \tx"))))
     rows = {r["doc_id"]: r for r in tokenbin.token_bin(both, BYTE_BPE).collect()}
     start = 0
@@ -230,7 +231,8 @@ def test_added_tokens_are_those_of_the_library():
     from tokenizers import Tokenizer
 
     texts = ["a <|endoftext|> b", " <|endoftext|>", "<|endoftext|>", " word", "x\n<|endoftext|>y", None, "plain words here"]
-    flat, sizes = tokenbin.Encoder(BYTE_BPE).encode(texts, None)
+    texts += ["a  b", "a\n\nb", "a \nb", "a\n b", "a\t b", " \tb", "x  \tb", "\n\nb", "b  ", "b \n", "b\n\n\nc", "a\x0b\nb", "a\x85\x85b", "\u3000\u3000 b", "it's 's"]
+    flat, sizes = ColumnEncoder(BYTE_BPE, bound=3).encode(pa.array(texts), None)
     want = [e.ids for e in Tokenizer.from_file(BYTE_BPE).encode_batch([t or "" for t in texts], add_special_tokens=False)]
     assert sizes.tolist() == list(map(len, want)) and flat.tolist() == [i for x in want for i in x]
 
