@@ -184,7 +184,8 @@ def packed_tails(tails: DataFrame, capacity: int, group: int, slack: int) -> Dat
                 offset += size
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in _SCHEMA})
 
-    return dealt.groupBy("grp").applyInArrow(run, PIECE)
+    # some 20 MB of ids a task, whatever the session's number of partitions
+    return dealt.repartition(groups // 4 + 1, "grp").groupBy("grp").applyInArrow(run, PIECE)
 
 
 def pack(
