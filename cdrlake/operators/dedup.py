@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANK = "__rank"
+_RANK, _CONTENT = "__rank", "__content"
 
 
 def _ordering(columns) -> list[Column]:
@@ -13,17 +13,17 @@ def _ordering(columns) -> list[Column]:
 def keep_first(df: DataFrame, keys: list[str], order_by: list) -> DataFrame:
     """One row per key (NULL is a key too): the first by ``order_by``.
 
-    All other columns follow as tie-breakers, so equal inputs give equal outputs.
-    Spark turns the rank limit into a group limit below the shuffle: a task sends
-    one row per key, however many copies of a key it holds.  The hash in front of
-    the keys lets the sorts decide on an 8-byte prefix; ids share their first
-    characters, so the key text alone would be compared in full each time.
+    Rows that are equal there are told apart by a hash of all their columns, so equal
+    inputs give equal outputs; the columns themselves need not be sorted, nor shuffled
+    where the caller does not use them.  Spark turns the rank limit into a group limit
+    below the shuffle: a task sends one row per key, however many copies of a key it holds.
+    The hash in front of the keys lets the sorts decide on an 8-byte prefix; ids share
+    their first characters, so the key text alone would be compared in full each time.
     """
-    named = {c for c in order_by if isinstance(c, str)} | set(keys)
-    ties = [c for c in df.columns if c not in named]
-    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*_ordering(list(order_by) + ties))
-    ranked = df.withColumn(_RANK, F.row_number().over(window))
-    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
+    content = df.withColumn(_CONTENT, F.xxhash64(*df.columns))
+    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*_ordering([*order_by, _CONTENT]))
+    ranked = content.withColumn(_RANK, F.row_number().over(window))
+    return ranked.where(F.col(_RANK) == 1).drop(_RANK, _CONTENT)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

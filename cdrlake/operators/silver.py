@@ -5,7 +5,9 @@ the later good one.  Derived columns are computed after the shuffle of the
 duplicate removal, so that they do not travel.
 """
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import casting as C
@@ -18,13 +20,25 @@ def _with(df: DataFrame, **columns) -> DataFrame:
     return df.withColumns(columns)
 
 
-def unique_cdr(bronze: DataFrame) -> DataFrame:
-    """Typed and standardised CDRs, one row per id: the first by start time."""
-    typed = _with(
+def _misfit(**kinds) -> Column:
+    """``misfit <column>`` for the first column whose value has no place in its type, else NULL."""
+    bad = [F.when(F.col(c).isNotNull() & C.money(c, *kind).isNull(), f"misfit {c}") for c, kind in kinds.items()]
+    return F.coalesce(*bad, F.lit(None).cast("string"))
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows with their reason) of checked rows."""
+    reason = F.col("reject_reason")
+    return checked.where(reason.isNull()).drop("reject_reason"), checked.where(reason.isNotNull())
+
+
+def _typed_cdr(bronze: DataFrame) -> DataFrame:
+    return _with(
         bronze,
         call_start_dttm=C.to_ts("call_start_dttm"),
         call_end_dttm=C.to_ts("call_end_dttm"),
         call_date=C.to_d("call_date"),
+        misfit=_misfit(revenue_qar=(10, 3), data_consumed_mb=(12, 2)),
         revenue_qar=C.money_or_zero("revenue_qar", 10, 3),
         data_consumed_mb=C.money_or_zero("data_consumed_mb", 12, 2),
         call_type=K.std_code("call_type"),
@@ -34,7 +48,32 @@ def unique_cdr(bronze: DataFrame) -> DataFrame:
         segment=K.std_label("segment"),
         roaming_country=F.coalesce("roaming_country", F.lit("DOMESTIC")),
     )
-    return keep_first(typed, ["cdr_id"], ["call_start_dttm", "call_end_dttm", "call_date"])
+
+
+_CDR_ORDER = ["call_start_dttm", "call_end_dttm", "call_date"]
+
+
+def unique_cdr(bronze: DataFrame) -> DataFrame:
+    """Typed and standardised CDRs, one row per id: the first by start time.
+
+    Rows with an amount that does not fit its type are not among them."""
+    typed = _typed_cdr(bronze).where(F.col("misfit").isNull()).drop("misfit")
+    return keep_first(typed, ["cdr_id"], _CDR_ORDER)
+
+
+def checked_cdr(bronze: DataFrame) -> DataFrame:
+    """All unique CDRs with ``reject_reason``, NULL for those of Silver.
+
+    Misfits are unique among themselves, so a bad amount cannot hide the good row of its id.
+    """
+    unique = keep_first(_typed_cdr(bronze), ["cdr_id", "misfit"], _CDR_ORDER)
+    reason = F.coalesce(
+        "misfit",
+        F.when(F.col("customer_id").isNull(), "no customer_id"),
+        F.when(F.col("call_date").isNull(), "no call_date"),
+        F.when(F.col("revenue_qar") < 0, "negative revenue_qar"),
+    )
+    return unique.withColumn("reject_reason", reason).drop("misfit")
 
 
 def silver_cdr(bronze: DataFrame) -> DataFrame:
@@ -60,22 +99,29 @@ def cdr_features(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_customers(bronze: DataFrame, drop_raw: bool = True) -> DataFrame:
-    """Active customers, one row each (the latest by ``updated_at``).
-
-    ``drop_raw`` removes the clear ``msisdn`` and keeps only the masked one.
-    """
+def checked_customers(bronze: DataFrame) -> DataFrame:
+    """Active customers, one row each (the latest by ``updated_at``), with ``reject_reason``, NULL for those of Silver."""
     labels = ["plan_name", "region", "segment", "churn_risk", "nationality"]
     typed = _with(
         active(bronze),
         activation_date=C.to_d("activation_date"),
         plan_type=K.std_code("plan_type"),
+        misfit=_misfit(monthly_fee_qar=(10, 2)),
         monthly_fee_qar=C.money_or_zero("monthly_fee_qar", 10, 2),
         **{name: K.std_label(name) for name in labels},
     )
-    unique = keep_first(typed, ["customer_id"], [F.col("updated_at").desc_nulls_last()])
+    unique = keep_first(typed, ["customer_id", "misfit"], [F.col("updated_at").desc_nulls_last()])
+    return unique.withColumnRenamed("misfit", "reject_reason")
+
+
+def silver_customers(bronze: DataFrame, drop_raw: bool = True) -> DataFrame:
+    """The good customers; ``drop_raw`` removes the clear ``msisdn`` and keeps only the masked one."""
+    return customer_features(split_checked(checked_customers(bronze))[0], drop_raw)
+
+
+def customer_features(df: DataFrame, drop_raw: bool = True) -> DataFrame:
     out = _with(
-        unique,
+        df,
         age_band=K.age_band("age"),
         tenure_band=K.tenure_band("tenure_months"),
         is_high_value=K.flag(F.col("segment").isin(K.HIGH_VALUE_SEGMENTS)),
@@ -85,24 +131,48 @@ def silver_customers(bronze: DataFrame, drop_raw: bool = True) -> DataFrame:
     return out.drop("msisdn") if drop_raw else out
 
 
-def silver_recharges(bronze: DataFrame) -> DataFrame:
+def checked_recharges(bronze: DataFrame) -> DataFrame:
+    """All unique recharges with ``reject_reason``, NULL for those of Silver."""
     typed = _with(
         bronze,
         recharge_dttm=C.to_ts("recharge_dttm"),
         expiry_dttm=C.to_ts("expiry_dttm"),
         recharge_date=C.to_d("recharge_date"),
+        misfit=_misfit(recharge_amount=(10, 2)),
         recharge_amount=C.money("recharge_amount", 10, 2),
         recharge_channel=K.std_label("recharge_channel"),
         segment=K.std_label("segment"),
     )
-    unique = keep_first(typed, ["recharge_id"], ["recharge_dttm", "expiry_dttm"])
-    good = require(unique, "customer_id").where(F.col("recharge_amount") > 0)
+    unique = keep_first(typed, ["recharge_id", "misfit"], ["recharge_dttm", "expiry_dttm"])
+    reason = F.coalesce(
+        "misfit",
+        F.when(F.col("customer_id").isNull(), "no customer_id"),
+        F.when(F.col("recharge_amount").isNull(), "no recharge_amount"),
+        F.when(F.col("recharge_amount") <= 0, "recharge_amount not positive"),
+    )
+    return unique.withColumn("reject_reason", reason).drop("misfit")
+
+
+def silver_recharges(bronze: DataFrame) -> DataFrame:
+    return recharge_features(split_checked(checked_recharges(bronze))[0])
+
+
+def recharge_features(df: DataFrame) -> DataFrame:
     return _with(
-        good,
+        df,
         is_digital_channel=K.is_digital("recharge_channel"),
         amount_band=K.amount_band("recharge_amount"),
     )
 
 
+def reject_counts(**checked: DataFrame) -> DataFrame:
+    """Rejected rows per table and reason."""
+    out = []
+    for name, df in checked.items():
+        bad = df.where(F.col("reject_reason").isNotNull()).groupBy("reject_reason").agg(F.count("*").alias("rejected"))
+        out.append(bad.select(F.lit(name).alias("entity"), "reject_reason", "rejected"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def with_audit(df: DataFrame, source: str | None, load_column: str = "silver_load_dttm") -> DataFrame:
     return df.select("*", *K.audit(source, load_column))

@@ -4,9 +4,22 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import size_in_bytes
+
+
+def observed(seen: Observation, *names: str) -> dict[str, int]:
+    """Observed figures; zeros where no task ran, as over an empty input."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError as e:
+        if "assertion failed" not in str(e.java_exception):
+            raise
+        return dict.fromkeys(names, 0)
+
 
 def write_table(
     df: DataFrame,
@@ -15,21 +28,23 @@ def write_table(
     dynamic: bool = False,
     balanced: bool = True,
 ) -> int:
-    """Overwrite a table and return its row count.
+    """Overwrite a table and return the number of rows written.
 
     By default all partitions are replaced; ``dynamic`` replaces only those in
     ``df``.  Before a partitioned write the rows are rebalanced by the partition
     column: Spark merges small pieces and splits a month that holds most rows, so
-    files are few and of even size.  The count comes from the file footers.
+    files are few and of even size.  The count is taken in the writing stage itself,
+    where a task counts once however often it runs.
     """
-    writer = df.hint("rebalance", partition_by) if partition_by and balanced else df
-    writer = writer.write.mode("overwrite")
+    rows = df.hint("rebalance", partition_by) if partition_by and balanced else df
+    seen = Observation()
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+    return observed(seen, "rows")["rows"]
 
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -74,11 +89,18 @@ def register_catalog(spark: SparkSession, database: str, base: str, names: list[
         spark.catalog.refreshTable(table)
 
 
+def files_for(df: DataFrame, target: int = 128 << 20, least: int = 4 << 20) -> int:
+    """Number of files for a stored table: some ``target`` bytes each, smaller ones while cores would be idle."""
+    size, cores = size_in_bytes(df), df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-size // target), min(cores, -(-size // least)))
+
+
 def cluster_for_read(df: DataFrame, columns: list[str], spread: str, n: int | None = None) -> DataFrame:
     """Range-partition and sort by the columns, so that file statistics skip data.
 
     ``spread`` is a unique column; its hash is the last range key and lets a single
-    hot value of the columns be split over several files.
+    hot value of the columns be split over several files.  The ranges come from a sample,
+    so ``df`` is read twice and should be a stored table.
     """
     keys = [F.col(c) for c in columns] + [F.xxhash64(spread)]
     ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)

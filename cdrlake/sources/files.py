@@ -1,13 +1,15 @@
 """Bronze files: typed CSV scans, rejected rows, file listings by date."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
 from ..functions.casting import as_column
 from ..operators.filters import active, in_window
-from ..sinks.tables import write_csv
+from ..sinks.tables import observed, write_csv
 
 CORRUPT = "_corrupt_record"
 
@@ -30,20 +32,23 @@ def read_recharges(spark: SparkSession, path) -> DataFrame:
 
 
 def typed_or_misfit(schema: StructType) -> tuple[list[Column], Column]:
-    """Casts to the schema, and the condition that some value does not fit its type."""
-    casts, misfit = [], F.lit(False)
-    for f in schema.fields:
-        cast = F.col(f.name).try_cast(f.dataType)
-        casts.append(cast.alias(f.name))
-        misfit = misfit | (F.col(f.name).isNotNull() & cast.isNull())
-    return casts, misfit
+    """Casts to the schema, and the first column whose value does not fit its type, or NULL."""
+    casts = [F.col(f.name).try_cast(f.dataType) for f in schema.fields]
+    misfits = [F.when(F.col(f.name).isNotNull() & cast.isNull(), f.name) for f, cast in zip(schema.fields, casts)]
+    return [cast.alias(f.name) for f, cast in zip(schema.fields, casts)], F.coalesce(*misfits)
 
 
-def read_with_rejects(spark: SparkSession, path, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected lines): wrong field counts, or values that do not fit.
+#: reason of a line with too few or too many fields
+FIELDS = "fields"
+
 
-    The fields are read as text and cast here.  The CSV reader converts only the
-    selected fields, and would miss a bad value in another one.
+def typed_rows(spark: SparkSession, paths, schema: StructType, *more: Column) -> DataFrame:
+    """Typed columns of CSV files, columns of ``more``, ``reject_reason`` and ``line``.
+
+    The reason is NULL for rows that fit.  It is the first column whose value does not fit
+    its type, or :data:`FIELDS`, and ``line`` is then the text as it came.  The fields are
+    read as text and cast here: the CSV reader converts only the selected fields, and would
+    miss a bad value in another one.
     """
     text = StructType([StructField(n, StringType()) for n in [*schema.names, CORRUPT]])
     rows = (
@@ -51,29 +56,50 @@ def read_with_rejects(spark: SparkSession, path, schema: StructType) -> tuple[Da
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(text)
-        .csv(path)
+        .csv(paths)
     )
     casts, misfit = typed_or_misfit(schema)
-    bad = misfit | F.col(CORRUPT).isNotNull()
-    line = F.coalesce(CORRUPT, F.to_csv(F.struct(*schema.names)))
-    return rows.where(~bad).select(*casts), rows.where(bad).select(line.alias("line"))
+    reason = F.when(F.col(CORRUPT).isNotNull(), FIELDS).otherwise(misfit)
+    line = F.when(reason.isNotNull(), F.coalesce(CORRUPT, F.to_csv(F.struct(*schema.names))))
+    return rows.select(*casts, *more, reason.alias("reject_reason"), line.alias("line"))
+
 
+def read_with_rejects(spark: SparkSession, path, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected lines with their reason)."""
+    rows = typed_rows(spark, path, schema)
+    good = rows.where(F.col("reject_reason").isNull()).select(*schema.names)
+    return good, rows.where(F.col("reject_reason").isNotNull()).select("line", "reject_reason")
+
+
+OUTCOMES = ("written", "rejected")
 
-def extract_active_customers(
-    source: DataFrame, path: str, rejects_path: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Write the active customers of a source table as CSV with a header.
 
-    Rows whose values do not fit the customer schema are left out and, with
-    ``rejects_path``, written there.  Returns (written, rejected).
+def extract_active_customers(source: DataFrame, path: str) -> dict[str, int]:
+    """Write the active customers of a source table as CSV, and return the rows of each outcome.
+
+    One pass over the source routes every row to a folder: rows that fit the customer
+    schema to ``outcome=written``, others as they are to ``outcome=rejected``.  The counts
+    are taken in the writing stage itself, where a task counts once however often it runs.
     """
-    rows = active(source)
+    names = schemas.CUSTOMER.names
     casts, misfit = typed_or_misfit(schemas.CUSTOMER)
-    fits, rejected = rows.where(~misfit).select(*casts), rows.where(misfit)
-    write_csv(fits, path)
-    if rejects_path:
-        write_csv(rejected, rejects_path)
-    return fits, rejected
+    rows = active(source).select(*names, misfit.alias("__misfit"))
+    fits = F.col("__misfit").isNull()
+    out = rows.select(
+        *[F.when(fits, cast.cast("string")).otherwise(F.col(n).cast("string")).alias(n) for n, cast in zip(names, casts)],
+        F.when(fits, OUTCOMES[0]).otherwise(OUTCOMES[1]).alias("outcome"),
+    )
+    seen = Observation()
+    counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
+    write_csv(out.observe(seen, *counts), path, "outcome")
+    return observed(seen, *OUTCOMES)
+
+
+def read_extract(spark: SparkSession, path: str, outcome: str = OUTCOMES[0]) -> DataFrame:
+    """Rows of one outcome of an extract; rejected ones as text."""
+    kinds = schemas.CUSTOMER.fields if outcome == OUTCOMES[0] else [StructField(n, StringType()) for n in schemas.CUSTOMER.names]
+    rows = read_csv(spark, path, StructType([*kinds, StructField("outcome", StringType())]))
+    return rows.where(F.col("outcome") == outcome).drop("outcome")
 
 
 def load_customers_staging(spark: SparkSession, path) -> DataFrame:
@@ -126,14 +152,31 @@ def file_date(path, prefix: str) -> Column:
     return F.try_to_timestamp(F.concat_ws("-", part[0], part[1], day), F.lit("yyyy-MM-dd")).cast("date")
 
 
-def new_files(files: DataFrame, prefix: str, watermark) -> DataFrame:
-    """Files dated after the watermark, with their ``file_date``."""
-    dated = files.withColumn("file_date", file_date("path", prefix))
-    return dated.where(F.col("file_date").cast("timestamp") > watermark)
+#: columns that tell a version of a file
+FILE = ["path", "modified", "bytes"]
+
 
+def new_files(files: DataFrame, prefix: str, watermark, loaded: DataFrame | None = None) -> DataFrame:
+    """The dated files that were not loaded yet, with their ``file_date``.
+
+    ``loaded`` has the loaded files' path, time and size; without it, files dated after the
+    watermark are new.
+    """
+    dated = files.withColumn("file_date", file_date("path", prefix)).where(F.col("file_date").isNotNull())
+    if loaded is None:
+        return dated.where(F.col("file_date").cast("timestamp") > watermark)
+    return dated.join(loaded, FILE, "left_anti")
 
-def read_dated(spark: SparkSession, path: str, prefix: str, schema: StructType, dates: DataFrame) -> DataFrame:
-    """Rows of all files of the given ``file_date`` rows, with their ``file_date``."""
-    rows = spark.read.option("header", True).option("recursiveFileLookup", True).schema(schema).csv(path)
-    dated = rows.select("*", file_date(F.col("_metadata.file_path"), prefix).alias("file_date"))
-    return dated.join(dates.select("file_date").distinct(), "file_date", "left_semi")
+
+def literal(path: str) -> str:
+    """A path whose characters stand for themselves, also those of patterns."""
+    return re.sub(r"([\\\[\]{}*?^,])", r"\\\1", path)
+
+
+def read_listed(spark: SparkSession, paths: list[str], prefix: str, schema: StructType) -> DataFrame:
+    """:func:`typed_rows` of exactly the listed files, with ``file_date`` and ``source_file``."""
+    path = F.col("_metadata.file_path")
+    name = F.concat(F.col("_metadata.file_name"), F.lit("-"), F.substring(F.md5(path), 1, 16))
+    return typed_rows(
+        spark, [literal(p) for p in paths], schema, file_date(path, prefix).alias("file_date"), name.alias("source_file")
+    )

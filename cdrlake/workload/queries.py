@@ -1,7 +1,9 @@
 """Registered queries: name to (Spark query, DuckDB SQL or None)."""
 
 from collections.abc import Callable
+from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,7 +16,7 @@ from ..plans.churn_job import train_and_score
 from ..plans.incremental import full_reload_customers, incremental_load
 from ..plans.serving import register_serving_views
 from ..session import scratch_dir
-from ..sinks.tables import copy_csv_to_parquet, write_csv, write_table
+from ..sinks.tables import copy_csv_to_parquet, read_merged, write_csv, write_table
 from ..sources import files
 from ..sources.tables import read_table
 from ..streaming import alerts
@@ -153,6 +155,22 @@ FROM silver_recharges s LEFT JOIN bronze_customers c ON c.customer_id = s.buyer_
         silver.silver_recharges(bronze.recharges(k.spark, k.sf_dir)), "recharge_dttm", "expiry_dttm"
     ),
 )
+_UNIQUE_RECHARGES = """(SELECT * FROM bronze_recharges QUALIFY row_number() OVER (PARTITION BY recharge_id
+  ORDER BY recharge_dttm, expiry_dttm, customer_id NULLS LAST, msisdn, recharge_amount NULLS LAST) = 1)"""
+add(
+    "silver_rejects",
+    f"""SELECT 'cdrs' AS entity, CASE WHEN customer_id IS NULL THEN 'no customer_id'
+  WHEN call_date IS NULL THEN 'no call_date' ELSE 'negative revenue_qar' END AS reject_reason, COUNT(*) AS rejected
+FROM cdr_unique WHERE customer_id IS NULL OR call_date IS NULL OR revenue_qar < 0 GROUP BY 2
+UNION ALL SELECT 'recharges', CASE WHEN customer_id IS NULL THEN 'no customer_id'
+  WHEN recharge_amount IS NULL THEN 'no recharge_amount' ELSE 'recharge_amount not positive' END, COUNT(*)
+FROM {_UNIQUE_RECHARGES} WHERE customer_id IS NULL OR recharge_amount IS NULL OR recharge_amount <= 0 GROUP BY 2""",
+    lambda k: silver.reject_counts(
+        cdrs=silver.checked_cdr(k.bronze_cdr),
+        recharges=silver.checked_recharges(k.bronze_recharges),
+        customers=silver.checked_customers(k.bronze_customers),
+    ),
+)
 _FLAGS = ["is_dropped", "is_successful", "is_data_session", "is_voice", "is_international", "is_peak_hour"]
 add(
     "silver_cdr_flags",
@@ -526,7 +544,7 @@ def _file_listing(k: Lake) -> DataFrame:
 
 
 def _loads(k: Lake) -> DataFrame:
-    """Per pipeline: the newest file date and the rows after the initial watermark."""
+    """Per pipeline: the newest file date, and the rows of the files after the initial watermark."""
     start = F.lit(control.EPOCH).cast("timestamp")
     out = []
     for prefix, pipeline in (("cdrs", "cdrs_incremental_load"), ("recharges", "recharges_incremental")):
@@ -535,12 +553,28 @@ def _loads(k: Lake) -> DataFrame:
             new.agg(
                 F.lit(pipeline).alias("pipeline_name"),
                 F.max("file_date").cast("timestamp").alias("watermark"),
+                F.lit("SUCCESS").alias("status"),
                 F.sum("file_rows").alias("rows"),
             )
         )
     return out[0].unionByName(out[1])
 
 
+def _marks(k: Lake, base: str) -> control.ControlTable:
+    marks = control.ControlTable(k.spark, f"{base}/control/watermarks")
+    marks.init(control.init_watermarks(k.spark))
+    return marks
+
+
+def _moved(k: Lake) -> DataFrame:
+    """The stored watermarks after both loads, which are recorded one after the other as by two jobs."""
+    marks = _marks(k, scratch_dir(k.spark, "marks"))
+    loads = _loads(k)
+    for pipeline in ("cdrs_incremental_load", "recharges_incremental"):
+        marks.record(loads.where(F.col("pipeline_name") == pipeline))
+    return marks.read()
+
+
 _LOADED = f"""SELECT 'cdrs_incremental_load' AS pipeline_name,
   strftime(MAX(CAST(try_strptime(call_date, '%Y-%m-%d') AS DATE)), '%Y-%m-%d 00:00:00') AS last_watermark,
   CAST(SUM(n) AS BIGINT) AS last_run_rows
@@ -558,20 +592,36 @@ add(
     "watermark_update",
     f"""SELECT pipeline_name, last_watermark, 'SUCCESS' AS last_run_status, last_run_rows FROM ({_LOADED}) t
 UNION ALL SELECT 'customers_full_load', '2000-01-01 00:00:00', 'PENDING', 0""",
-    lambda k: _text(control.apply_loads(control.init_watermarks(k.spark), _loads(k)), "last_watermark"),
+    lambda k: _text(
+        _moved(k).select("pipeline_name", "last_watermark", "last_run_status", "last_run_rows"), "last_watermark"
+    ),
 )
 add(
     "watermark_lookup",
     f"SELECT last_watermark FROM ({_LOADED}) t WHERE pipeline_name = 'cdrs_incremental_load'",
-    lambda k: _text(
-        control.get_watermark(
-            control.apply_loads(control.init_watermarks(k.spark), _loads(k)), "cdrs_incremental_load"
-        ),
-        "last_watermark",
-    ),
+    lambda k: _text(control.get_watermark(_moved(k), "cdrs_incremental_load"), "last_watermark"),
 )
 
 
+def _land_recharges(k: Lake, base: str, where: str = "true") -> None:
+    """Monthly CSV folders of the recharges, with underscores in the name, in addition to those there."""
+    tag = F.concat(F.lit("recharges_"), F.replace("recharge_month", F.lit("-"), F.lit("_")))
+    landing = bronze.recharges(k.spark, k.sf_dir).where(where).withColumn("file", tag).hint("rebalance", "file")
+    landing.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).partitionBy("file").csv(f"{base}/bronze/recharges")
+
+
+def _load_recharges(k: Lake, base: str, marks: control.ControlTable, schema: StructType = schemas.RECHARGE):
+    return incremental_load(
+        k.spark, f"{base}/bronze/recharges", "recharges", schema, f"{base}/landing/recharges", marks,
+        "recharges_incremental", audit_path=f"{base}/control/audit",
+    )
+
+
+_RECHARGE_SUM = "CAST(SUM(CAST(recharge_amount AS DECIMAL(12,2))) AS DECIMAL(24,2)) AS amount"
+
+
 @register(
     "incremental_recharge_load",
     f"""SELECT CAST(recharge_month || '-01' AS DATE) AS file_date, COUNT(*) AS recharges,
@@ -581,21 +631,71 @@ WHERE recharge_month > substr('{RECHARGES_SINCE}', 1, 7) GROUP BY recharge_month
 def _incremental_recharge_load(k: Lake) -> DataFrame:
     """Monthly CSV folders are written, then those after the watermark are loaded."""
     base = scratch_dir(k.spark, "incremental")
-    tag = F.concat(F.lit("recharges_"), F.replace("recharge_month", F.lit("-"), F.lit("_")))
-    landing = bronze.recharges(k.spark, k.sf_dir).withColumn("file", tag).hint("rebalance", "file")
-    write_csv(landing, f"{base}/bronze/recharges", "file")
-    marks = control.ControlTable(k.spark, f"{base}/control/watermarks")
-    pipeline = "recharges_incremental"
-    marks.write(
-        control.update_watermark(control.init_watermarks(k.spark), pipeline, RECHARGES_SINCE, "SUCCESS", 0)
-    )
-    incremental_load(
-        k.spark, f"{base}/bronze/recharges", "recharges", schemas.RECHARGE, f"{base}/landing/recharges",
-        marks, pipeline, audit_path=f"{base}/control/audit",
-    )
+    _land_recharges(k, base)
+    marks = _marks(k, base)
+    marks.move("recharges_incremental", datetime.fromisoformat(RECHARGES_SINCE), "SUCCESS", 0)
+    _load_recharges(k, base, marks)
     loaded = k.spark.read.parquet(f"{base}/landing/recharges")
-    amount = F.sum(F.col("recharge_amount").cast("decimal(12,2)")).cast("decimal(24,2)")
-    return loaded.groupBy("file_date").agg(F.count("*").alias("recharges"), amount.alias("amount"))
+    return loaded.groupBy("file_date").agg(F.count("*").alias("recharges"), F.expr(_RECHARGE_SUM))
+
+
+_LATE = "CAST(substr(recharge_month, 6, 2) AS INT) % 2 = 1"
+
+
+@register(
+    "incremental_late_files",
+    f"""SELECT CASE WHEN {_LATE} THEN 2 ELSE 1 END AS load_no, CAST(COUNT(DISTINCT recharge_month) AS BIGINT) AS months,
+  COUNT(*) AS rows_written, CAST(SUM(recharge_amount) AS DECIMAL(24,2)) AS amount
+FROM bronze_recharges GROUP BY 1""",
+)
+def _incremental_late_files(k: Lake) -> DataFrame:
+    """Months with even numbers are loaded first; the others arrive late, most of them before the watermark.
+
+    What each load wrote, by its own count and by what lies in its files' folders."""
+    base = scratch_dir(k.spark, "late")
+    marks, out, seen = _marks(k, base), [], None
+    marks.move("recharges_incremental", datetime(1900, 1, 1), "PENDING", 0)
+    for number, where in ((1, f"NOT ({_LATE})"), (2, _LATE)):
+        _land_recharges(k, base, where)
+        written = _load_recharges(k, base, marks).rows_written["recharges_incremental"]
+        landed = k.spark.read.parquet(f"{base}/landing/recharges")
+        own = landed if seen is None else landed.join(seen, "source_file", "left_anti")
+        seen = landed.select("source_file").distinct()
+        seen.write.parquet(f"{base}/seen/{number}")
+        seen = k.spark.read.parquet(f"{base}/seen/{number}")
+        out.append(
+            own.agg(
+                F.lit(number).alias("load_no"), F.count_distinct("file_date").alias("months"),
+                F.lit(written).cast("bigint").alias("rows_written"), F.expr(_RECHARGE_SUM),
+            )
+        )
+        if number == 1:  # the first load's rows as they lie now
+            out[0].write.parquet(f"{base}/first")
+            out[0] = k.spark.read.parquet(f"{base}/first")
+    return out[0].unionByName(out[1])
+
+
+@register(
+    "audit_runs",
+    """SELECT 'recharges_incremental' AS pipeline_name, 'SUCCESS' AS status, COUNT(*) AS rows_read, COUNT(*) AS rows_written,
+  false AS has_error FROM bronze_recharges
+UNION ALL SELECT 'recharges_incremental', 'FAILED', 0, 0, true
+UNION ALL SELECT 'customers_full_load', 'SUCCESS', COUNT(*), COUNT(*), false FROM bronze_customers WHERE is_active = 1""",
+)
+def _audit_runs(k: Lake) -> DataFrame:
+    """Audit rows of a load that fails, since its folder does not exist yet, of the same load after the files came, and of an extract."""
+    base = scratch_dir(k.spark, "audit")
+    marks = _marks(k, base)
+    marks.move("recharges_incremental", datetime(1900, 1, 1), "PENDING", 0)
+    try:
+        _load_recharges(k, base, marks)
+    except AnalysisException:
+        pass  # the failed run is what the query shows
+    _land_recharges(k, base)
+    _load_recharges(k, base, marks)
+    full_reload_customers(k.bronze_customers, f"{base}/customers", marks, f"{base}/control/audit")
+    runs = read_merged(k.spark, f"{base}/control/audit")
+    return runs.select("pipeline_name", "status", "rows_read", "rows_written", F.col("error_message").isNotNull().alias("has_error"))
 
 
 @register("raw_copy", f"SELECT {', '.join(schemas.CDR_COPY_COLUMNS)} FROM bronze_cdr")
@@ -677,13 +777,31 @@ def _staging_reload(k: Lake) -> DataFrame:
 
 def _active_extract(k: Lake) -> DataFrame:
     base = scratch_dir(k.spark, "extract")
-    marks = control.ControlTable(k.spark, f"{base}/control/watermarks")
-    marks.write(control.init_watermarks(k.spark))
-    full_reload_customers(k.bronze_customers, f"{base}/customers", marks, f"{base}/rejects")
-    rows = files.read_customers(k.spark, f"{base}/customers")
+    full_reload_customers(k.bronze_customers, f"{base}/customers", _marks(k, base))
+    rows = files.read_extract(k.spark, f"{base}/customers")
     return rows.select("customer_id", "plan_type", "monthly_fee_qar", "is_active")
 
 
+@register(
+    "extract_outcomes",
+    """SELECT CASE WHEN age IS NULL THEN 'rejected' ELSE 'written' END AS outcome, COUNT(*) AS customers,
+  COUNT(*) AS counted, CAST(SUM(monthly_fee_qar) AS DECIMAL(24,2)) AS fees
+FROM bronze_customers WHERE is_active = 1 GROUP BY 1""",
+)
+def _extract_outcomes(k: Lake) -> DataFrame:
+    """Good and rejected rows of an extract whose source has words for unknown ages, as counted and as written."""
+    base = scratch_dir(k.spark, "outcomes")
+    source = k.bronze_customers.withColumn("age", F.coalesce(F.col("age").cast("string"), F.lit("unknown")))
+    found = files.extract_active_customers(source, f"{base}/customers")
+    out = []
+    for outcome in files.OUTCOMES:
+        rows = files.read_extract(k.spark, f"{base}/customers", outcome)
+        fees = F.sum(F.col("monthly_fee_qar").cast("decimal(12,2)")).cast("decimal(24,2)")
+        counts = F.count("*").alias("customers"), F.lit(found[outcome]).cast("bigint").alias("counted"), fees.alias("fees")
+        out.append(rows.agg(F.lit(outcome).alias("outcome"), *counts))
+    return out[0].unionByName(out[1])
+
+
 # --- streams ------------------------------------------------------------------
 
 

@@ -100,3 +100,26 @@ def test_filters(spark, rows):
     assert filters.rls(df, grants, "doha").count() == 3
     assert filters.rls(df, grants, "other").count() == 0
     assert dedup.distinct_values(df, "region").count() == 1
+
+
+def test_amounts_that_do_not_fit_are_rejected_not_zero(spark, rows):
+    bronze = frames.cdr(
+        spark, {"cdr_id": "1", "revenue_qar": 12_345_678.9}, {"cdr_id": "1", "revenue_qar": 2.0}, {"cdr_id": "2", "data_consumed_mb": 1e12},
+        {"cdr_id": "3", "revenue_qar": None}, {"cdr_id": "4", "customer_id": None}, {"cdr_id": "5", "revenue_qar": -1.0}, {"cdr_id": "6", "call_date": "x"},
+    )
+    good = silver.silver_cdr(bronze)
+    assert [(r.cdr_id, float(r.revenue_qar)) for r in good.orderBy("cdr_id").collect()] == [("1", 2.0), ("3", 0.0)]
+    assert rows(silver.reject_counts(cdrs=silver.checked_cdr(bronze)), "reject_reason", "rejected") == [
+        ("misfit data_consumed_mb", 1), ("misfit revenue_qar", 1), ("negative revenue_qar", 1), ("no call_date", 1), ("no customer_id", 1),
+    ]
+    customers = frames.customers(spark, {}, {"customer_id": "B", "monthly_fee_qar": 1e12})
+    assert rows(silver.silver_customers(customers), "customer_id") == [("A",)]
+    assert rows(silver.reject_counts(customers=silver.checked_customers(customers)), "reject_reason") == [("misfit monthly_fee_qar",)]
+    recharges = frames.recharges(spark, {}, {"recharge_id": "x", "recharge_amount": 1e12})
+    assert rows(silver.reject_counts(recharges=silver.checked_recharges(recharges)), "reject_reason") == [("misfit recharge_amount",)]
+
+
+def test_unused_columns_are_not_shuffled(spark):
+    plan = silver.unique_cdr(frames.cdr(spark, {})).groupBy("call_type").count()._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line or "Exchange hashpartitioning" in line]
+    assert sorts and not any("tower" in line or "created_at" in line or "plan_name" in line for line in sorts)

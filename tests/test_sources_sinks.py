@@ -3,6 +3,7 @@ import os
 
 import frames
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cdrlake import schemas
@@ -47,15 +48,24 @@ def test_rejected_lines_keep_their_text(spark, lake, rows):
     assert bad.first().line.startswith("2,A")
 
 
-def test_extract_leaves_out_inactive_and_misfits(spark, lake, rows):
+def test_rejects_name_their_reason(spark, lake, rows):
+    write(f"{lake}/a.csv", cdr_line("1", "2024-10-01"), cdr_line("2", "2024-10-01", "abc"), "3,short")
+    _, bad = files.read_with_rejects(spark, f"{lake}/a.csv", schemas.CDR)
+    assert rows(bad, "reject_reason") == [("fields",), ("revenue_qar",)]
+
+
+def test_extract_routes_inactive_and_misfits_in_one_pass(spark, lake, rows):
     source = frames.customers(spark, {}, {"customer_id": "B", "is_active": 0}, {"customer_id": "C"})
     source = source.withColumn("age", F.when(F.col("customer_id") == "C", "old").otherwise("30"))
-    files.extract_active_customers(source, f"{lake}/out", f"{lake}/rejects")
-    assert rows(files.read_customers(spark, f"{lake}/out"), "customer_id", "plan_type") == [("A", " prepaid")]
-    assert spark.read.option("header", True).csv(f"{lake}/rejects").count() == 1
-    staging = files.load_customers_staging(spark, f"{lake}/out")
+    assert files.extract_active_customers(source, f"{lake}/out") == {"written": 1, "rejected": 1}
+    assert rows(files.read_extract(spark, f"{lake}/out"), "customer_id", "plan_type") == [("A", " prepaid")]
+    assert rows(files.read_extract(spark, f"{lake}/out", "rejected"), "customer_id", "age") == [("C", "old")]
+    staging = files.load_customers_staging(spark, f"{lake}/out/outcome=written")
     assert dict(staging.dtypes)["monthly_fee_qar"] == "decimal(10,2)"
     assert staging.first().activation_date == dt.date(2024, 1, 1)
+    nobody = source.where("false")
+    assert files.extract_active_customers(nobody, f"{lake}/none") == {"written": 0, "rejected": 0}
+    assert files.read_extract(spark, f"{lake}/none").count() == 0
 
 
 @pytest.mark.parametrize(
@@ -78,22 +88,30 @@ def test_listing_and_new_files(spark, lake):
     assert [os.path.basename(r.path) for r in new.collect()] == ["cdrs_2024-10-02.csv"]
 
 
-def load(spark, lake, marks):
+def load(spark, lake, marks, **settings):
     return incremental_load(
         spark, f"{lake}/bronze", "cdrs", schemas.CDR, f"{lake}/landing", marks, "cdrs_incremental_load",
-        schemas.CDR_COPY_COLUMNS, f"{lake}/audit",
+        schemas.CDR_COPY_COLUMNS, f"{lake}/audit", **settings,
     )
 
 
+def new_marks(spark, path):
+    marks = control.ControlTable(spark, path)
+    marks.init(control.init_watermarks(spark))
+    return marks
+
+
+def watermark(marks, pipeline="cdrs_incremental_load"):
+    return control.get_watermark(marks.read(), pipeline).first()[0]
+
+
 def test_incremental_load_is_incremental(spark, lake, rows):
-    marks = control.ControlTable(spark, f"{lake}/marks")
-    marks.write(control.init_watermarks(spark))
+    marks = new_marks(spark, f"{lake}/marks")
     write(f"{lake}/bronze/cdrs_2024_10_01.csv", cdr_line("1", "2024-10-01"), cdr_line("2", "2024-10-01"))
     write(f"{lake}/bronze/cdrs_2024-10-02.csv", cdr_line("3", "2024-10-02"))
     first = load(spark, lake, marks)
     assert first.rows_written == {"cdrs_incremental_load": 3}
-    mark = control.get_watermark(marks.read(), "cdrs_incremental_load").first()[0]
-    assert mark == dt.datetime(2024, 10, 2)
+    assert watermark(marks) == dt.datetime(2024, 10, 2)
 
     again = load(spark, lake, marks)
     assert again.rows_written == {"cdrs_incremental_load": 0}
@@ -102,24 +120,94 @@ def test_incremental_load_is_incremental(spark, lake, rows):
     write(f"{lake}/bronze/cdrs_2024_10_03.csv", cdr_line("4", "2024-10-03"))
     write(f"{lake}/bronze/cdrs_2024_09_30.csv", cdr_line("late", "2024-09-30"))
     write(f"{lake}/bronze/cdrs_2024_10_02_b.csv", cdr_line("second", "2024-10-02"))
-    # the day of the second file is written anew as a whole
-    assert load(spark, lake, marks).rows_written == {"cdrs_incremental_load": 4}
+    # in waves of two; the first file of the second of October is not read again
+    third = load(spark, lake, marks, wave=2)
+    assert third.rows_written == third.rows_read == {"cdrs_incremental_load": 3} and third.detail["files"] == 3
     landed = spark.read.parquet(f"{lake}/landing")
     assert rows(landed, "cdr_id") == [("1",), ("2",), ("3",), ("4",), ("late",), ("second",)]
-    mark = control.get_watermark(marks.read(), "cdrs_incremental_load").first()[0]
-    assert mark == dt.datetime(2024, 10, 3)
+    assert watermark(marks) == dt.datetime(2024, 10, 3)
     assert load(spark, lake, marks).rows_written == {"cdrs_incremental_load": 0}
-    assert set(landed.columns) == {*schemas.CDR_COPY_COLUMNS, "file_date"}
-    assert sinks.read_merged(spark, f"{lake}/audit").count() == 4
+    assert set(landed.columns) == {*schemas.CDR_COPY_COLUMNS, "file_date", "source_file"}
+    audit = sinks.read_merged(spark, f"{lake}/audit")
+    assert rows(audit.where("rows_written > 0"), "status", "rows_read", "rows_written") == [("SUCCESS", 3, 3)] * 2
+    assert audit.count() == 4
+    assert os.listdir(f"{lake}/landing_manifest") == ["loaded"]
     others = marks.read().where("pipeline_name <> 'cdrs_incremental_load'")
     assert {r.last_run_status for r in others.collect()} == {"PENDING"}
     with pytest.raises(ValueError):
         incremental_load(spark, lake, "cdrs", schemas.CDR, f"{lake}/x", marks, "unknown")
 
 
+def test_a_file_that_has_grown_replaces_its_rows(spark, lake, rows):
+    marks = new_marks(spark, f"{lake}/marks")
+    path = f"{lake}/bronze/cdrs_2024_10_01 [x]{{a}}.csv"  # characters of path patterns
+    write(path, cdr_line("1", "2024-10-01"))
+    assert load(spark, lake, marks).rows_written == {"cdrs_incremental_load": 1}
+    write(path, cdr_line("1", "2024-10-01"), cdr_line("2", "2024-10-01"))
+    assert load(spark, lake, marks).rows_written == {"cdrs_incremental_load": 2}
+    assert rows(spark.read.parquet(f"{lake}/landing"), "cdr_id") == [("1",), ("2",)]
+
+
+def test_only_the_new_file_is_read(spark, lake):
+    for day in range(1, 29):
+        write(f"{lake}/bronze/cdrs_2024_10_{day:02d}.csv", cdr_line(str(day), f"2024-10-{day:02d}"))
+    listed = files.list_files(spark, f"{lake}/bronze")
+    new = files.new_files(listed, "cdrs", F.lit("2024-10-27").cast("timestamp")).collect()
+    read = files.read_listed(spark, [f["path"] for f in new], "cdrs", schemas.CDR)
+    assert [os.path.basename(p) for p in read.inputFiles()] == ["cdrs_2024_10_28.csv"]
+    marks = new_marks(spark, f"{lake}/marks")
+    assert load(spark, lake, marks).rows_read == {"cdrs_incremental_load": 28}
+    write(f"{lake}/bronze/cdrs_2024_10_28_b.csv", cdr_line("b", "2024-10-28"))
+    assert load(spark, lake, marks).rows_read == {"cdrs_incremental_load": 1}
+
+
+def test_misfits_are_counted_and_kept(spark, lake, rows):
+    marks = new_marks(spark, f"{lake}/marks")
+    write(f"{lake}/bronze/cdrs_2024_10_01.csv", cdr_line("1", "2024-10-01"), cdr_line("2", "2024-10-01", "abc"), "3,short")
+    result = load(spark, lake, marks)
+    assert (result.rows_read, result.rows_written) == ({"cdrs_incremental_load": 3}, {"cdrs_incremental_load": 1})
+    assert result.quality == {"rejected_revenue_qar": 1, "rejected_fields": 1}
+    bad = spark.read.parquet(f"{lake}/landing_rejects")
+    assert rows(bad, "reject_reason") == [("fields",), ("revenue_qar",)]
+    assert rows(spark.read.parquet(f"{lake}/landing"), "cdr_id") == [("1",)]
+
+
+def test_a_failed_load_leaves_its_row_and_the_watermark(spark, lake, rows):
+    marks = new_marks(spark, f"{lake}/marks")
+    with pytest.raises(AnalysisException):
+        load(spark, lake, marks)  # there is no folder yet
+    row = sinks.read_merged(spark, f"{lake}/audit").first()
+    assert (row.status, row.rows_read, row.rows_written) == ("FAILED", 0, 0) and "bronze" in row.error_message
+    state = marks.read().where("pipeline_name = 'cdrs_incremental_load'").first()
+    assert state.last_run_status == "FAILED" and state.last_watermark == dt.datetime(2000, 1, 1)
+
+
+def test_two_loads_that_overlap_keep_both_moves(spark, lake):
+    a, b = new_marks(spark, f"{lake}/marks"), control.ControlTable(spark, f"{lake}/marks")
+    before = b.read().collect()
+    a.move("cdrs_incremental_load", dt.datetime(2024, 10, 2), "SUCCESS", 5)
+    # the other load read the table before that move
+    assert len(before) == 3
+    b.move("recharges_incremental", dt.datetime(2024, 9, 1), "SUCCESS", 7)
+    assert watermark(a) == dt.datetime(2024, 10, 2) and watermark(b, "recharges_incremental") == dt.datetime(2024, 9, 1)
+    # two of one pipeline with the same version: the one further on counts
+    own = a.read().where("pipeline_name = 'customers_full_load'").withColumn("version", F.lit(9).cast("bigint"))
+    for day in (3, 1):
+        a._append(own.withColumn("last_watermark", F.lit(f"2024-11-0{day}").cast("timestamp")))
+    assert watermark(a, "customers_full_load") == dt.datetime(2024, 11, 3)
+
+
+def test_loads_at_the_same_time(spark, lake):
+    marks = new_marks(spark, f"{lake}/marks")
+    sinks.together({
+        p: lambda p=p, n=n: control.ControlTable(spark, f"{lake}/marks").move(p, dt.datetime(2024, 1, n), "SUCCESS", n)
+        for n, p in enumerate(control.PIPELINES, 1)
+    })
+    assert {(r.pipeline_name, r.last_run_rows) for r in marks.read().collect()} == {(p, n) for n, p in enumerate(control.PIPELINES, 1)}
+
+
 def test_full_reload_records_the_rows(spark, lake):
-    marks = control.ControlTable(spark, f"{lake}/marks")
-    marks.write(control.init_watermarks(spark))
+    marks = new_marks(spark, f"{lake}/marks")
     source = frames.customers(spark, {}, {"customer_id": "B", "is_active": 0})
     assert full_reload_customers(source, f"{lake}/out", marks).rows_written == {"customers_full_load": 1}
     row = marks.read().where("pipeline_name = 'customers_full_load'").first()
@@ -129,7 +217,8 @@ def test_full_reload_records_the_rows(spark, lake):
 def test_update_of_an_unknown_pipeline_changes_nothing(spark, rows):
     marks = control.init_watermarks(spark)
     now = dt.datetime(2024, 1, 1)
-    assert rows(control.update_watermark(marks, "x", now, "SUCCESS", 1, now)) == rows(marks)
+    loads = spark.createDataFrame([("x", now, "SUCCESS", 1)], control.LOADS)
+    assert rows(control.moved(marks, loads, now)) == rows(marks)
     assert marks.count() == 3 and control.get_watermark(marks, "x").count() == 0
 
 
@@ -138,7 +227,7 @@ def test_partitioned_overwrite_static_and_dynamic(spark, lake, rows):
     b = spark.createDataFrame([(3, "2024-11")], "v int, call_month string")
     path = f"{lake}/silver/t"
     assert sinks.write_table(a, path, "call_month") == 2
-    assert sinks.write_table(b, path, "call_month", dynamic=True) == 2
+    assert sinks.write_table(b, path, "call_month", dynamic=True) == 1  # what was written, not what is there
     assert rows(tables.read_table(spark, lake, "silver", "t")) == [(1, "2024-10"), (3, "2024-11")]
     assert sinks.write_table(b, path, "call_month") == 1
 
@@ -205,6 +294,10 @@ def test_batch_run_and_serving_views(spark, lake):
         "regional_kpis": 1, "daily_trend": 2,
     }
     assert spark.table("cdr_gold_run.arpu_monthly").count() == 2
+    assert result.quality["rejected_cdrs"] == 1
+    assert tables.read_table(spark, lake, "silver", "cdrs_rejects").first().reject_reason == "no customer_id"
+    run = sinks.read_merged(spark, f"{lake}/control/audit").first()
+    assert (run.pipeline_name, run.status, run.rows_read) == ("batch", "SUCCESS", 6)
     register_serving_views(spark, lake, with_scores=False)
     assert spark.sql("SELECT total_customers FROM vw_executive_kpis").first()[0] == 1
     assert spark.sql("SELECT * FROM vw_arpu_monthly_trend WHERE call_month = '2024-12'").count() == 1
