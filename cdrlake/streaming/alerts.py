@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.filters import alert_predicate
+from .batches import batch_folder
 from .events import TRIGGER, _timed
 
 # Columns and tag of an alert.
@@ -21,17 +22,13 @@ def churn_alerts(events: DataFrame) -> DataFrame:
 
 
 def alert_writer(path: str):
-    """The micro-batch function.  A batch owns the folder ``query=<id>/batch_id=<n>`` and
-    overwrites it, so a replayed batch leaves the same rows; a batch without alerts
-    writes nothing.  The id is that of the checkpoint: another checkpoint, whose batches
-    count from 0 again, leaves earlier alerts alone."""
+    """The micro-batch function; a batch without alerts writes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         alerts = churn_alerts(batch).withColumn("alert_created", F.current_timestamp()).persist()
         try:
             if not alerts.isEmpty():
-                query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
-                alerts.write.mode("overwrite").parquet(f"{path}/query={query}/batch_id={batch_id}")
+                alerts.write.mode("overwrite").parquet(batch_folder(batch, path, batch_id))
         finally:
             alerts.unpersist()
 

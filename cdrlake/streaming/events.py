@@ -63,15 +63,16 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, max_events: int |
     )
 
 
-def parse_events(raw: DataFrame, schema: StructType = schemas.EVENT) -> DataFrame:
-    """JSON bytes to columns; a body that is not JSON gives NULL fields."""
+def parse_events(raw: DataFrame, schema: StructType = schemas.EVENT, keep_body: bool = False) -> DataFrame:
+    """JSON bytes to columns; a body that is not JSON gives NULL fields.  ``keep_body`` keeps it as text."""
     data = F.from_json(F.col("body").cast("string"), schema)
     return raw.select(
         data.alias("data"),
         F.col("enqueuedTime").alias("enqueued_time"),
         F.col("partition").cast("string").alias("eh_partition"),
         F.col("offset").alias("eh_offset"),
-    ).select("data.*", "enqueued_time", "eh_partition", "eh_offset")
+        *([F.col("body").cast("string").alias("body")] if keep_body else []),
+    ).select("data.*", "enqueued_time", "eh_partition", "eh_offset", *(["body"] if keep_body else []))
 
 
 def event_flags(df: DataFrame) -> DataFrame:
@@ -103,11 +104,20 @@ def bad_events(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("event_id").isNull() | F.col("customer_id").isNull())
 
 
+def dead_letters(parsed: DataFrame) -> DataFrame:
+    """The rows :func:`silver_events` leaves out, with the reason and the message as it came.
+
+    ``parsed`` comes from :func:`parse_events` with ``keep_body``."""
+    named = F.coalesce(*[F.col(f.name).cast("string") for f in schemas.EVENT.fields])
+    reason = F.when(named.isNull(), "unreadable").when(F.col("event_id").isNull(), "no event_id").otherwise("no customer_id")
+    return bad_events(parsed).select("event_id", "eh_partition", "eh_offset", "enqueued_time", reason.alias("reason"), "body")
+
+
 def enrich_events(events: DataFrame, customers: DataFrame) -> DataFrame:
-    """Stream-static lookup of customer attributes by customer.
+    """Lookup of customer attributes by customer.
 
-    The static side is read again for every micro-batch.  It has one row per
-    customer, and Spark broadcasts it when its size allows.
+    The customers have one row each, and Spark broadcasts them when their size allows.
+    :func:`cdrlake.streaming.batches.start_event_stream` reads them again for every batch.
     """
     names = ["segment", "plan_name", "churn_risk", "region"]
     known = customers.select("customer_id", *[F.col(n).alias(f"known_{n}") for n in names])
@@ -116,7 +126,7 @@ def enrich_events(events: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def with_event_time(df: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """Watermark on the event time.  No stateful step follows, so no row is dropped."""
+    """Watermark on the event time.  It drops nothing by itself; the steps of :mod:`.windows` use it."""
     return df.withWatermark("event_time", delay)
 
 

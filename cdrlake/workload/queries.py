@@ -21,7 +21,10 @@ from ..sources import files
 from ..sources.tables import read_table
 from ..streaming import alerts
 from ..streaming import events as ev
+from ..streaming.batches import start_event_stream
+from ..streaming.progress import ProgressLog, progress_totals
 from ..streaming.run import progress_rows, run_streams
+from ..streaming.windows import start_window_stream
 from . import bronze
 from . import oracle as O
 from .lake import Lake
@@ -836,6 +839,93 @@ def _stream_progress(k: Lake) -> DataFrame:
     return progress_rows(k.spark, *queries)
 
 
+def _capture(k: Lake, base: str, parts: int = 4) -> DataFrame:
+    """The messages as captured files, and the stream over them."""
+    k.raw_events.repartition(parts, "offset").write.parquet(f"{base}/capture")
+    return ev.read_capture(k.spark, f"{base}/capture", max_files=2)
+
+
+def _lookup_stream(k: Lake) -> str:
+    """Run the stream with lookup and dead letters over the messages."""
+    base = scratch_dir(k.spark, "lookup")
+    write_table(k.customers, f"{base}/silver/customers")
+    query = start_event_stream(
+        _capture(k, base), f"{base}/silver/events", f"{base}/silver/bad_events", f"{base}/checkpoints/events",
+        lambda: read_table(k.spark, base, "silver", "customers"), trigger=None,
+    )
+    query.awaitTermination()
+    return base
+
+
+@register(
+    "events_enriched_stream",
+    """SELECT e.event_id, e.event_type, e.customer_id, e.event_time, c.segment, c.plan_name, c.churn_risk, c.region
+FROM silver_events e LEFT JOIN silver_customers c ON c.customer_id = e.customer_id""",
+)
+def _events_enriched_stream(k: Lake) -> DataFrame:
+    out = k.spark.read.parquet(f"{_lookup_stream(k)}/silver/events")
+    return _text(out, "event_time").select(
+        "event_id", "event_type", "customer_id", "event_time", "segment", "plan_name", "churn_risk", "region"
+    )
+
+
+@register(
+    "bad_events_stream",
+    "SELECT eh_partition, eh_offset, CASE WHEN garbage THEN NULL ELSE event_id END AS event_id,"
+    " CASE WHEN garbage THEN 'unreadable' ELSE 'no customer_id' END AS reason,"
+    " CASE WHEN garbage THEN 'garbage ' || k END AS garbage_body FROM raw_events WHERE garbage OR customer_id IS NULL",
+)
+def _bad_events_stream(k: Lake) -> DataFrame:
+    out = k.spark.read.parquet(f"{_lookup_stream(k)}/silver/bad_events")
+    body = F.when(F.col("reason") == "unreadable", F.col("body"))
+    return out.select("eh_partition", "eh_offset", "event_id", "reason", body.alias("garbage_body"))
+
+
+_HOUR = "date_trunc('hour', CAST(event_time AS TIMESTAMP))"
+
+
+@register(
+    "event_windows_stream",
+    f"""SELECT strftime({_HOUR}, '%Y-%m-%d %H:%M:%S') AS window_start,
+  strftime({_HOUR} + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, event_type, COUNT(*) AS events,
+  CAST(SUM(is_dropped) AS BIGINT) AS dropped,
+  CAST(SUM(CAST(recharge_amount AS DECIMAL(12,2))) AS DECIMAL(24,2)) AS recharged
+FROM silver_events GROUP BY {_HOUR}, event_type
+HAVING {_HOUR} + INTERVAL 1 HOUR
+  <= (SELECT MAX(CAST(event_time AS TIMESTAMP)) FROM silver_events) - INTERVAL 10 MINUTE""",
+)
+def _event_windows_stream(k: Lake) -> DataFrame:
+    """Hourly counts of all complete hours; the messages come in order of time in three runs of the stream, a tenth of them twice."""
+    base = scratch_dir(k.spark, "windows")
+    raw = k.raw_events
+    edges = raw.agg(F.percentile_approx("enqueuedTime", [0.4, 0.7]).alias("q")).first()["q"]
+    later, third = (F.col("enqueuedTime") > F.lit(e) for e in edges)
+    for part in (~later, later & ~third, third):
+        own = raw.where(part)
+        own.union(own.where(F.xxhash64("offset") % 10 == 0)).write.mode("append").parquet(f"{base}/capture")
+        # all files of a part in one batch, so that none of its messages is late
+        capture = ev.read_capture(k.spark, f"{base}/capture", max_files=1_000_000)
+        start_window_stream(capture, f"{base}/gold/windows", f"{base}/checkpoints/windows", None).awaitTermination()
+    return _text(k.spark.read.parquet(f"{base}/gold/windows"), "window_start", "window_end")
+
+
+@register(
+    "stream_progress_totals",
+    "SELECT 'silver_events' AS query, COUNT(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows FROM raw_events"
+    " UNION ALL SELECT 'churn_alerts', COUNT(*), 0 FROM raw_events",
+)
+def _stream_progress_totals(k: Lake) -> DataFrame:
+    """What the listener's log has of both streams; its rows add up to the messages."""
+    base = scratch_dir(k.spark, "progress")
+    log = ProgressLog(k.spark, f"{base}/control/progress")
+    queries = run_streams(_capture(k, base), base, trigger=None)
+    for q in queries:
+        q.awaitTermination()
+    log.close(*queries)
+    rows = read_merged(k.spark, f"{base}/control/progress").where(F.col("run_id").isin([str(q.runId) for q in queries]))
+    return progress_totals(rows)
+
+
 # --- churn model --------------------------------------------------------------
 
 
