@@ -1,5 +1,6 @@
 """Churn model: features to a random forest, evaluation and scoring."""
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -41,18 +42,33 @@ def churn_pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) ->
 
 
 def split(features: DataFrame, share: float = TRAIN_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Train and test by a hash of the customer: stable under any partitioning."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "customer_id"), F.lit(1000))
+    """Train and test by the first 32 bits of an md5 of seed and customer: the same under any
+    partitioning, and in any engine."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), "customer_id").cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 1000
     cut = round(share * 1000)
     return features.where(bucket < cut), features.where(bucket >= cut)
 
 
+#: rows of a partition that the forest samples from, and partitions at most
+FIT_ROWS, FIT_PARTITIONS = 2_000, 4_096
+
+
 def fit(train: DataFrame, partitions: int | None = None, **settings) -> PipelineModel:
-    """Fit on a fixed layout: the forest samples per partition, so the same rows in
-    the same partitions and order give the same trees."""
-    n = partitions or train.sparkSession.sparkContext.defaultParallelism
+    """Fit on a fixed layout: the forest samples per partition, so the same rows in the
+    same partitions and order give the same trees.
+
+    The number of partitions follows from the number of rows alone, not from the cluster.
+    The laid-out rows are kept while imputer, scaler and forest pass over them; what a lost
+    executor held of them is made again in the same layout.
+    """
+    n = partitions or min(FIT_PARTITIONS, max(1, -(-train.count() // FIT_ROWS)))
     laid_out = train.repartition(n, "customer_id").sortWithinPartitions("customer_id")
-    return churn_pipeline(**settings).fit(laid_out)
+    laid_out = laid_out.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return churn_pipeline(**settings).fit(laid_out)
+    finally:
+        laid_out.unpersist()
 
 
 def evaluate(predictions: DataFrame) -> dict[str, float]:
@@ -66,6 +82,27 @@ def evaluate(predictions: DataFrame) -> dict[str, float]:
     }
 
 
+# Score bands with their lowest and highest probability.
+BAND_LIMITS = {"High Risk": (0.70, 1.0), "Medium Risk": (0.40, 0.70), "Low Risk": (0.0, 0.40)}
+
+
+def check_scores(scores: DataFrame, features: DataFrame) -> DataFrame:
+    """Per band: whether all probabilities lie in it and the flag fits; and whether each customer has one score."""
+    p, band = F.col("churn_probability"), F.col("churn_score_band")
+    inside = [
+        (band == name) & (p >= low) & ((p < high) if high < 1 else (p <= high)) & (F.col("is_high_churn_risk") == int(name == "High Risk"))
+        for name, (low, high) in BAND_LIMITS.items()
+    ]
+    bands = [F.struct(F.lit(name).alias("check"), (F.count_if((band == name) & ~ok) == 0).alias("ok")) for name, ok in zip(BAND_LIMITS, inside)]
+    listed = F.struct(F.lit("listed bands").alias("check"), (F.count_if(~F.coalesce(band.isin(list(BAND_LIMITS)), F.lit(False))) == 0).alias("ok"))
+    found = scores.agg(F.array(*bands, listed).alias("c"), F.count("*").alias("scored"), F.count_distinct("customer_id").alias("customers"))
+    wanted = features.agg(F.count("*").alias("wanted"))
+    one = F.struct(F.lit("one score each").alias("check"), ((F.col("scored") == F.col("wanted")) & (F.col("customers") == F.col("wanted"))).alias("ok"))
+    # both sides are one row
+    rows = found.join(wanted, F.lit(True)).select("scored", F.inline(F.concat("c", F.array(one))))
+    return rows.select("check", "ok", "scored")
+
+
 def with_bands(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {

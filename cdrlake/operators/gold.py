@@ -223,14 +223,14 @@ def customer_summary(
     )
 
 
-def regional_kpis(customers: DataFrame, usage: DataFrame) -> DataFrame:
-    """KPIs per region and segment, best revenue first."""
+def regional_kpis(customers: DataFrame, usage: DataFrame, ordered: bool = True) -> DataFrame:
+    """KPIs per region and segment, best revenue first unless they are only to be stored."""
     facts = customers.select("customer_id", "region", "segment").join(
         roll_up(usage, "customer_id"), "customer_id", "left"
     )
     calls = F.sum(F.coalesce("cdr_ids", F.lit(0)))
     customers_seen = F.count("customer_id")
-    return (
+    kpis = (
         facts.groupBy("region", "segment")
         .agg(
             customers_seen.alias("customer_count"),
@@ -241,16 +241,16 @@ def regional_kpis(customers: DataFrame, usage: DataFrame) -> DataFrame:
             X.pct_round(F.sum("dropped"), calls).alias("call_drop_rate_pct"),
             X.div_round(F.sum("revenue"), customers_seen, 20, 2).alias("revenue_per_customer"),
         )
-        .orderBy(F.desc("total_cdr_revenue"), "region", "segment")
     )
+    return kpis.orderBy(F.desc("total_cdr_revenue"), "region", "segment") if ordered else kpis
 
 
-def daily_trend(usage: DataFrame, zero_fill: bool = False) -> DataFrame:
+def daily_trend(usage: DataFrame, zero_fill: bool = False, ordered: bool = True) -> DataFrame:
     def some(c):
         return F.coalesce(c, F.lit(0)) if zero_fill else X.null_if_zero(c)
 
     by_customer = roll_up(usage, "call_date", "call_month", "customer_id")
-    return (
+    days = (
         by_customer.groupBy("call_date", "call_month")
         .agg(
             F.sum("calls").alias("total_calls"),
@@ -263,8 +263,8 @@ def daily_trend(usage: DataFrame, zero_fill: bool = False) -> DataFrame:
             some(F.sum("calls_5g")).alias("calls_5g"),
             some(F.sum("calls_4g")).alias("calls_4g"),
         )
-        .orderBy("call_date")
     )
+    return days.orderBy("call_date") if ordered else days
 
 
 def gold_kpis(arpu: DataFrame) -> DataFrame:

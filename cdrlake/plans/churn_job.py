@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig, RunResult
 from ..operators import churn, gold
-from ..sinks.tables import append_merge, write_table
+from ..sinks.tables import append_merge, register_catalog, write_table
 from ..sources.tables import read_table
+from .runs import audited
 
 RUNS = (
     "run_id string, model_type string, num_trees int, max_depth int, train_rows bigint, test_rows bigint,"
@@ -73,8 +74,14 @@ def load_model(path: str) -> PipelineModel:
 
 
 def run_churn(spark: SparkSession, cfg: RunConfig) -> RunResult:
-    """The job over stored Silver tables and the stored usage rollup."""
-    customers = read_table(spark, cfg.base, "silver", "customers")
-    recharges = read_table(spark, cfg.base, "silver", "recharges")
-    usage = read_table(spark, cfg.base, "work", "usage_daily")
-    return train_and_score(spark, gold.churn_features(customers, usage, recharges), cfg.base)
+    """The job over stored Silver tables and the stored usage rollup, with its audit row and catalog entry."""
+    with audited(spark, cfg.path("control", "audit"), "churn") as run:
+        customers = read_table(spark, cfg.base, "silver", "customers")
+        recharges = read_table(spark, cfg.base, "silver", "recharges")
+        usage = read_table(spark, cfg.base, "work", "usage_daily")
+        done = train_and_score(spark, gold.churn_features(customers, usage, recharges), cfg.base)
+        run.rows_written |= done.rows_written
+        run.detail |= done.detail
+        if cfg.database:
+            register_catalog(spark, cfg.database, cfg.base, ["churn_scores"])
+    return run

@@ -31,10 +31,12 @@ def local_session(cpus: int | str = 8, **settings) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared folder of the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, as
-    in tests, a local temporary folder is used.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and the
+    master is local, as in tests, a local temporary folder is used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/cdrlake/{purpose}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return os.path.join(tempfile.mkdtemp(prefix="cdrlake-"), purpose)

@@ -76,17 +76,40 @@ def publish_gold(base: str, tables: dict[str, tuple[DataFrame, str | None]]) ->
     )
 
 
-def register_catalog(spark: SparkSession, database: str, base: str, names: list[str], location=None) -> None:
-    """A database and one external Parquet table per Gold folder."""
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
+    """Remove the folders of the given partitions."""
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _stored_shape(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def register_catalog(spark: SparkSession, database: str, base: str, names: list[str], location=None) -> list[str]:
+    """A database and one external Parquet table per Gold folder; returns the tables whose entry was renewed.
+
+    The entry of a table keeps the columns and partitions it was made with.  Where the
+    folder has others now, the entry is dropped and made again; the files stay.
+    """
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+    renewed = []
     for name in names:
         table, path = f"{database}.{name}", f"{base}/gold/{name}"
+        if spark.catalog.tableExists(table):
+            # the newest columns: files of an appended table may differ
+            stored = spark.read.option("mergeSchema", True).parquet(path)
+            if sorted(_stored_shape(stored)) != sorted(_stored_shape(spark.table(table))):
+                spark.sql(f"DROP TABLE {table}")
+                renewed.append(name)
         if not spark.catalog.tableExists(table):
-            spark.catalog.createTable(table, path=path, source="parquet")
+            spark.catalog.createTable(table, path=path, source="parquet", schema=spark.read.option("mergeSchema", True).parquet(path).schema)
         if any(c.isPartition for c in spark.catalog.listColumns(table)):
             spark.catalog.recoverPartitions(table)
         spark.catalog.refreshTable(table)
+    return renewed
 
 
 def files_for(df: DataFrame, target: int = 128 << 20, least: int = 4 << 20) -> int:

@@ -27,6 +27,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Name, time and size of what lies directly in a folder; no file is opened."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in found))
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of the plan; file sizes for a plain scan."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

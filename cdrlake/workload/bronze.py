@@ -88,12 +88,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed(joined, columns, schemas.CUSTOMER)
 
 
-def cdr(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFrame:
-    """One CDR per line item, called by the customer of its order.
-
-    ``profile=False`` leaves the copied customer attributes NULL and saves the
-    join; nothing in Gold reads them from the CDR.
-    """
+def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CDR per line item, called by the customer of its order, with copies of the customer's attributes."""
     line = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     start = "timestampadd(SECOND, (l_partkey % 24) * 3600 + l_suppkey % 3600, l_shipdate)"
@@ -123,10 +119,10 @@ def cdr(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFrame:
         "created_at": _text("l_shipdate"),
     }
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey)
-    return _with_profile(spark, sf_dir, joined, "o_custkey", columns, schemas.CDR, profile)
+    return _with_profile(spark, sf_dir, joined, "o_custkey", columns, schemas.CDR)
 
 
-def recharges(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFrame:
+def recharges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One recharge per order; buyers with odd keys buy for the prepaid neighbour."""
     orders = spread_small(table(spark, sf_dir, "orders"), "o_orderkey")
     at, valid = "o_orderkey % 86400", "7 + o_orderkey % 53"
@@ -147,7 +143,7 @@ def recharges(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFra
         "created_at": _text("o_orderdate"),
     }
     base = orders.selectExpr("*", "o_custkey - o_custkey % 2 as prepaid_key")
-    return _with_profile(spark, sf_dir, base, "prepaid_key", columns, schemas.RECHARGE, profile)
+    return _with_profile(spark, sf_dir, base, "prepaid_key", columns, schemas.RECHARGE)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,8 +191,6 @@ def _join_profile(spark, sf_dir, df, key: str, names: list[str]) -> DataFrame:
     return keyed.join(known, "known_id", "left")
 
 
-def _with_profile(spark, sf_dir, df, key, columns, schema, profile) -> DataFrame:
+def _with_profile(spark, sf_dir, df, key, columns, schema) -> DataFrame:
     names = [n for n in PROFILE if n in schema.names]
-    if profile:
-        df = _join_profile(spark, sf_dir, df, key, names)
-    return _typed(df, columns | {n: n if profile else "null" for n in names}, schema)
+    return _typed(_join_profile(spark, sf_dir, df, key, names), columns | {n: n for n in names}, schema)

@@ -19,7 +19,7 @@ class Lake:
 
     @cached_property
     def bronze_cdr(self) -> DataFrame:
-        return bronze.cdr(self.spark, self.sf_dir, profile=False)
+        return bronze.cdr(self.spark, self.sf_dir)
 
     @cached_property
     def bronze_customers(self) -> DataFrame:
@@ -27,16 +27,12 @@ class Lake:
 
     @cached_property
     def bronze_recharges(self) -> DataFrame:
-        return bronze.recharges(self.spark, self.sf_dir, profile=False)
+        return bronze.recharges(self.spark, self.sf_dir)
 
     @cached_property
     def cdr(self) -> DataFrame:
         return silver.silver_cdr(self.bronze_cdr)
 
-    @cached_property
-    def cdr_full(self) -> DataFrame:
-        return silver.silver_cdr(bronze.cdr(self.spark, self.sf_dir))
-
     @cached_property
     def customers(self) -> DataFrame:
         return silver.silver_customers(self.bronze_customers)
@@ -99,9 +95,10 @@ class Lake:
 
     @cached_property
     def rule_scores(self) -> DataFrame:
-        """Scores by a fixed rule, to check the readers of scores against SQL."""
+        """Scores by a fixed rule over the features, to check the readers of scores against SQL."""
         key = F.expr("cast(substring(customer_id, 5) as bigint)")
-        p = (((key * 37) % 101).cast("decimal(3,0)") * F.lit("0.0099").cast("decimal(5,4)")).cast("decimal(12,9)")
+        activity = F.col("total_calls") * 7 + F.col("active_days") * 3 + F.col("total_recharges") * 11
+        p = (((key * 37 + activity) % 101).cast("decimal(3,0)") * F.lit("0.0099").cast("decimal(5,4)")).cast("decimal(12,9)")
         scored = churn.with_bands(self.features.withColumn("churn_probability", p))
         return scored.select(*churn.SCORE_COLUMNS)
 

@@ -300,7 +300,8 @@ GROUP BY ALL"""
 CTE["rule_scores"] = """
 SELECT *, CASE WHEN churn_probability >= 0.70 THEN 'High Risk' WHEN churn_probability >= 0.40 THEN 'Medium Risk'
     ELSE 'Low Risk' END AS churn_score_band, CASE WHEN churn_probability >= 0.70 THEN 1 ELSE 0 END AS is_high_churn_risk
-FROM (SELECT customer_id, CAST(((CAST(substr(customer_id, 5) AS BIGINT) * 37) % 101) * 0.0099 AS DECIMAL(12,9))
+FROM (SELECT customer_id, CAST(((CAST(substr(customer_id, 5) AS BIGINT) * 37 + total_calls * 7 + active_days * 3
+    + total_recharges * 11) % 101) * 0.0099 AS DECIMAL(12,9))
     AS churn_probability, label, tenure_months, monthly_fee_qar, total_calls, drop_rate_pct, total_recharges, active_days
   FROM churn_features) t"""
 

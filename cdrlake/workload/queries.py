@@ -1,5 +1,6 @@
 """Registered queries: name to (Spark query, DuckDB SQL or None)."""
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -14,18 +15,18 @@ from ..operators import churn, control, dedup, filters, gold, measures, quality,
 from ..plans.batch import run_batch
 from ..plans.churn_job import train_and_score
 from ..plans.incremental import full_reload_customers, incremental_load
+from ..plans.refresh import refresh
 from ..plans.serving import register_serving_views
 from ..session import scratch_dir
-from ..sinks.tables import copy_csv_to_parquet, read_merged, write_csv, write_table
+from ..sinks.tables import copy_csv_to_parquet, read_merged, register_catalog, write_csv, write_table
 from ..sources import files
-from ..sources.tables import read_table
+from ..sources.tables import fingerprint, read_table
 from ..streaming import alerts
 from ..streaming import events as ev
 from ..streaming.batches import start_event_stream
 from ..streaming.progress import ProgressLog, progress_totals
 from ..streaming.run import progress_rows, run_streams
 from ..streaming.windows import start_window_stream
-from . import bronze
 from . import oracle as O
 from .lake import Lake
 
@@ -141,7 +142,7 @@ _CDR_OUT = """cdr_id, s.customer_id, s.msisdn, call_type, call_start_dttm, call_
 add(
     "silver_cdr",
     f"SELECT {_CDR_OUT} FROM silver_cdr s LEFT JOIN bronze_customers c ON c.customer_id = s.caller_id",
-    lambda k: _text(k.cdr_full, "call_start_dttm", "call_end_dttm"),
+    lambda k: _text(k.cdr, "call_start_dttm", "call_end_dttm"),
 )
 add(
     "silver_customers",
@@ -154,9 +155,7 @@ add(
   expiry_dttm, plan_name, trim(segment) AS segment, region, churn_risk, recharge_month, recharge_date, s.created_at,
   is_digital_channel, amount_band
 FROM silver_recharges s LEFT JOIN bronze_customers c ON c.customer_id = s.buyer_id""",
-    lambda k: _text(
-        silver.silver_recharges(bronze.recharges(k.spark, k.sf_dir)), "recharge_dttm", "expiry_dttm"
-    ),
+    lambda k: _text(k.recharges, "recharge_dttm", "expiry_dttm"),
 )
 _UNIQUE_RECHARGES = """(SELECT * FROM bronze_recharges QUALIFY row_number() OVER (PARTITION BY recharge_id
   ORDER BY recharge_dttm, expiry_dttm, customer_id NULLS LAST, msisdn, recharge_amount NULLS LAST) = 1)"""
@@ -359,7 +358,11 @@ add(
     + " FROM vw_arpu_monthly_trend GROUP BY call_month",
     lambda k: measures.revenue_trend_wide(k.trend),
 )
-_counts("viz_customers_by_segment", "customer_360_core", "segment", "customers", lambda k: k.core_360)
+add(
+    "viz_customers_by_segment",
+    "SELECT segment, COUNT(*) AS customers FROM customer_360_core GROUP BY segment",
+    lambda k: measures.customers_by(k.core_360, "segment"),
+)
 _counts("viz_churn_distribution_rule", "rule_scores", "churn_score_band", "customers", lambda k: k.rule_scores)
 for _name, _key, _value, _alias in (
     ("viz_arpu_by_segment", "segment", "avg_monthly_arpu", "avg_arpu"),
@@ -420,7 +423,11 @@ add(
     "SELECT call_date, total_calls, daily_revenue FROM daily_trend",
     lambda k: measures.daily_combo(k.daily),
 )
-_counts("viz_calls_by_hour", "silver_cdr", "call_hour", "calls", lambda k: k.cdr)
+add(
+    "viz_calls_by_hour",
+    "SELECT call_hour, COUNT(*) AS calls FROM silver_cdr GROUP BY call_hour",
+    lambda k: measures.calls_by(k.cdr, "call_hour"),
+)
 add(
     "viz_drop_rate_by_region",
     "SELECT region, avg_drop_rate FROM vw_regional_performance",
@@ -609,7 +616,7 @@ add(
 def _land_recharges(k: Lake, base: str, where: str = "true") -> None:
     """Monthly CSV folders of the recharges, with underscores in the name, in addition to those there."""
     tag = F.concat(F.lit("recharges_"), F.replace("recharge_month", F.lit("-"), F.lit("_")))
-    landing = bronze.recharges(k.spark, k.sf_dir).where(where).withColumn("file", tag).hint("rebalance", "file")
+    landing = k.bronze_recharges.where(where).withColumn("file", tag).hint("rebalance", "file")
     landing.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).partitionBy("file").csv(f"{base}/bronze/recharges")
@@ -720,20 +727,20 @@ def _land_bronze(k: Lake) -> RunConfig:
     """Bronze CSV files of the three batch entities under a scratch folder."""
     cfg = RunConfig(scratch_dir(k.spark, "lake"), "1900-01-01", "2099-12-31")
     for name, df in (
-        ("cdrs", bronze.cdr(k.spark, k.sf_dir)),
+        ("cdrs", k.bronze_cdr),
         ("customers", k.bronze_customers),
-        ("recharges", bronze.recharges(k.spark, k.sf_dir)),
+        ("recharges", k.bronze_recharges),
     ):
         write_csv(df, cfg.bronze(name))
     return cfg
 
 
-_RUNS: dict[tuple[str, str, str], str] = {}
+_RUNS: dict[tuple, str] = {}
 
 
 def _once(k: Lake, what: str, build: Callable[[Lake], str]) -> str:
-    """The folder of a job's output, run once per session and data."""
-    key = (k.spark.sparkContext.applicationId, k.sf_dir, what)
+    """The folder of a job's output, run once per session and data: other files in the folder are other data."""
+    key = (k.spark.sparkContext.applicationId, k.sf_dir, fingerprint(k.spark, k.sf_dir), what)
     if key not in _RUNS:
         _RUNS[key] = build(k)
     return _RUNS[key]
@@ -758,6 +765,54 @@ def _lake_kpis(k: Lake) -> DataFrame:
     return k.spark.sql("SELECT * FROM vw_executive_kpis")
 
 
+def _monthly_cdrs(k: Lake, base: str, where: str) -> None:
+    """Monthly CSV folders of the CDRs; rows without a date come with the first month."""
+    month = F.when(F.col("call_date") == "2024-13-45", "1992-01").otherwise(F.substring("call_date", 1, 7))
+    tag = F.concat(F.lit("cdrs_"), F.replace(month, F.lit("-"), F.lit("_")))
+    rows = k.bronze_cdr.withColumn("file", tag).where(where).hint("rebalance", "file")
+    rows.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).partitionBy("file").csv(f"{base}/bronze/cdrs")
+
+
+@register("lake_incremental_arpu", "SELECT * FROM arpu_monthly")
+def _lake_incremental_arpu(k: Lake) -> DataFrame:
+    """ARPU after two rounds of loads and refreshes; in the second one every other month comes late."""
+    cfg = RunConfig(scratch_dir(k.spark, "refresh"))
+    base, marks = cfg.base, _marks(k, cfg.base)
+    for pipeline in ("cdrs_incremental_load", "recharges_incremental"):
+        marks.move(pipeline, datetime(1900, 1, 1), "PENDING", 0)
+    full_reload_customers(k.bronze_customers, f"{base}/landing/customers", marks)
+    late = "CAST(right(file, 2) AS INT) % 2 = 1"
+    for cdrs, recharges in ((f"NOT ({late})", f"NOT ({_LATE})"), (late, _LATE)):
+        _monthly_cdrs(k, base, cdrs)
+        _land_recharges(k, base, recharges)
+        incremental_load(
+            k.spark, f"{base}/bronze/cdrs", "cdrs", schemas.CDR, f"{base}/landing/cdrs", marks, "cdrs_incremental_load"
+        )
+        _load_recharges(k, base, marks)
+        refresh(k.spark, cfg)
+    return read_table(k.spark, base, "gold", "arpu_monthly").drop("gold_load_dttm")
+
+
+@register(
+    "catalog_after_change",
+    "SELECT region, COUNT(*) AS customers, CAST(SUM(tenure_months) AS BIGINT) AS months,"
+    " COUNT(*) FILTER (WHERE segment = 'VIP') AS vips FROM silver_customers GROUP BY region",
+)
+def _catalog_after_change(k: Lake) -> DataFrame:
+    """A registered table by name, after its folder got a column and another partitioning."""
+    base = scratch_dir(k.spark, "catalog")
+    database = f"cdr_change_{uuid.uuid4().hex}"
+    wanted = k.customers.select("customer_id", "region", "segment", "tenure_months")
+    for df, by in ((wanted.drop("tenure_months"), None), (wanted, "segment")):
+        write_table(df, f"{base}/gold/customers_by_place", by)
+        register_catalog(k.spark, database, base, ["customers_by_place"], location=f"{base}/db")
+    return k.spark.table(f"{database}.customers_by_place").groupBy("region").agg(
+        F.count("*").alias("customers"), F.sum("tenure_months").alias("months"), F.count_if(F.col("segment") == "VIP").alias("vips")
+    )
+
+
 add(
     "staging_reload",
     f"SELECT plan_type, COUNT(*) AS cnt, {_FEE} FROM bronze_customers GROUP BY plan_type"
@@ -978,9 +1033,23 @@ add(
 )
 add(
     "churn_split",
-    None,
+    "SELECT CASE WHEN ('0x' || substr(md5('42:' || customer_id), 1, 8))::BIGINT % 1000 < 800 THEN 'train' ELSE 'test' END AS part,"
+    " label, COUNT(*) AS customers FROM churn_features GROUP BY 1, 2",
     lambda k: _split_sizes(k),
 )
+add(
+    "churn_score_checks",
+    "SELECT c.\"check\", true AS ok, n AS scored FROM (VALUES ('High Risk'), ('Medium Risk'), ('Low Risk'), ('listed bands'),"
+    " ('one score each')) c(\"check\"), (SELECT COUNT(*) AS n FROM churn_features) t",
+    lambda k: churn.check_scores(_scores(k), k.features),
+)
+add(
+    "churn_band_totals",
+    "SELECT COUNT(*) AS customers, true AS bands_add_up FROM churn_features",
+    lambda k: gold.band_counts(_scores(k)).agg(
+        F.sum("count").alias("customers"), (F.count("*") == F.count_distinct("churn_score_band")).alias("bands_add_up")
+    ),
+)
 add("vw_customer_360", None, _scored_360)
 add("vw_churn_analysis", None, lambda k: views.vw_churn_analysis(_scores(k), k.summary))
 add("m_high_churn_count", None, lambda k: measures.high_churn_count(_scored_360(k)))

@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 QUERIES, ORACLE = spark_queries(), duckdb_sql()
 ROWS_ONLY = {
     "stream_progress", "churn_scores", "top_churn_scores", "score_bands", "churn_band_counts", "churn_metrics",
-    "churn_feature_importance", "churn_top_features", "churn_split", "vw_customer_360", "vw_churn_analysis",
+    "churn_feature_importance", "churn_top_features", "vw_customer_360", "vw_churn_analysis",
     "m_high_churn_count", "m_avg_churn_prob", "sample_scores",
 }
 # These share one run per session, so they do not go into the pool.
