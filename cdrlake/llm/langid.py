@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, fold, row_of, ship, text_slices, with_fields
+from .common import batch, fold, ragged, row_of, ship, text_slices, with_fields
 
 BUCKETS = 1 << 14
 MAX_LANGUAGES = 500
@@ -93,8 +93,10 @@ def train(
     ship(docs.sparkSession)
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
     share = min(1.0, max_rows / max(1, labelled.select(doc_id).count()))
-    picked = F.pmod(F.xxhash64(doc_id), F.lit(1_000_000)) < round(share * 1_000_000)
-    learned = labelled.filter(picked & F.col(text).isNotNull()).select(text, lang)
+    learned = labelled.filter(F.col(text).isNotNull())
+    if share < 1:  # of 2^63 hashes, so that a small share of very many rows is not none
+        learned = learned.filter(F.shiftrightunsigned(F.xxhash64(doc_id), 1) < F.lit(int(share * 2**63)))
+    learned = learned.select(text, lang)
     rows = (
         learned.mapInArrow(count, "lang string, bucket int, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -114,6 +116,23 @@ def train(
     return languages, model
 
 
+def weighed(hashed: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sparse counts of each text's buckets times the matrix.
+
+    A text's memory is bounded by its different buckets, however long it is.
+    """
+    buckets = len(table)
+    if len(bounds) == 1:
+        counts = np.bincount(hashed[bounds[0, 0] : bounds[0, 1]], minlength=buckets)
+        at = np.flatnonzero(counts)
+        return counts[at].astype(float)[None, :] @ table[at]
+    sizes = bounds[:, 1] - bounds[:, 0]
+    own = np.repeat(np.arange(len(bounds)), sizes) * buckets + hashed[ragged(bounds[:, 0], sizes)]
+    own, counts = np.unique(own, return_counts=True)
+    firsts = np.searchsorted(own, np.arange(len(bounds)) * buckets)
+    return np.add.reduceat(counts[:, None] * table[own % buckets], firsts, axis=0)
+
+
 def predict(docs: DataFrame, text: str, model: tuple[list[str], np.ndarray], keep: list[Column]) -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score``, the posterior probability of that language."""
     spark = ship(docs.sparkSession)
@@ -136,7 +155,7 @@ def predict(docs: DataFrame, text: str, model: tuple[list[str], np.ndarray], kee
                 cuts = bounds[full].ravel()
                 sums = np.tile(table[buckets], (len(full), 1))
                 for n in range(ORDERS):
-                    sums += np.add.reduceat(table[hashed[n]], cuts, axis=0)[::2]
+                    sums += weighed(hashed[n], bounds[full], table[:buckets])
                 known = np.add.reduceat(letters, cuts, dtype=np.int64)[::2] > 0
                 best = sums.argmax(axis=1)
                 p = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)

@@ -44,14 +44,20 @@ def _mixed(around: np.ndarray) -> np.ndarray:
 def _windows(docs: DataFrame, doc_id: str, text: str, min_lines: int, long_line: int) -> DataFrame:
     """(doc, key, fp, window, first, last): every window with its fingerprint; key is a hash of the text."""
     ship(docs.sparkSession)
+
+    def numbered(x, i):
+        """A line's number, hash and length, and another hash of a long one, which is a window by itself."""
+        n = F.length(F.trim(x))
+        return F.struct(i.alias("i"), F.xxhash64(x).alias("h"), n.alias("n"), F.when(n >= long_line, F.xxhash64(F.lit(1), x)).alias("again"))
+
     lines = F.filter(
-        F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), F.length(F.trim(x)).alias("n"))),
+        F.transform(F.split(F.col(text), "\n", -1), numbered),
         lambda x: x["n"] > 0,
     )
     rows = docs.filter(F.col(text).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("key"),
         F.transform(lines, lambda x: x["i"]).alias("i"), F.transform(lines, lambda x: x["h"]).alias("h"),
-        F.transform(lines, lambda x: x["n"] >= long_line).alias("long"),
+        F.transform(lines, lambda x: x["n"] >= long_line).alias("long"), F.transform(lines, lambda x: x["again"]).alias("again"),
     )
 
     def winnow(batches):
@@ -65,7 +71,8 @@ def _windows(docs: DataFrame, doc_id: str, text: str, min_lines: int, long_line:
             left = np.repeat(np.cumsum(size), size) - np.arange(n)
             at = np.flatnonzero(left >= min_lines)
             around = hashes[at[:, None] + np.arange(min_lines)]
-            window = np.r_[_mixed(around), _mixed(hashes[long, None])]
+            again = b.column(5).flatten().drop_null().to_numpy().view(np.uint64)
+            window = np.r_[_mixed(around), again]
             # fingerprints of single lines are kept apart from those of windows
             least = np.r_[around.min(axis=1), ~hashes[long]]
             doc = pa.array(np.repeat(np.arange(len(size)), size)[np.r_[at, long]])

@@ -167,8 +167,11 @@ class Lattice:
             own = np.exp(own - np.repeat(top, number[who]))
             total = np.add.reduceat(own, heads)
             forward[who] = top + np.log(total)
-            sums = np.cumsum(own / np.repeat(total, number[who]))
-            chance[edges] = sums - np.repeat(np.arange(len(who)), number[who])
+            # summed for each state by itself, so that a stretch's chances do not depend on what stands beside it
+            row, column = np.repeat(np.arange(len(who)), number[who]), np.arange(len(own)) - np.repeat(heads, number[who])
+            parts = np.zeros((len(who), int(number[who].max())))
+            parts[row, column] = own / np.repeat(total, number[who])
+            chance[edges] = np.cumsum(parts, axis=1)[row, column]
         chance[first + number - 1] = 2.0  # always over a draw
         return first, states, sizes, length, name, chance
 

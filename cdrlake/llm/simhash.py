@@ -53,7 +53,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
+def fingerprints(docs: DataFrame, text: str, keep: list[Column], shingle: int = SHINGLE) -> DataFrame:
     """The columns ``keep`` with ``fp``, the fingerprint as a signed long."""
     ship(docs.sparkSession)
     rows = docs.select(*keep, F.col(text).alias("__text"))
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            own = np.array([fingerprint(t) for t in b.column(len(names) - 1).to_pylist()], dtype=np.uint64)
+            own = np.array([fingerprint(t, shingle) for t in b.column(len(names) - 1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own.view(np.int64))], names=names)
 
     return rows.mapInArrow(run, with_fields(out.schema, "fp long"))
@@ -230,17 +230,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the smallest id, with all columns of ``docs``.
+    """One document of each group of near-duplicates, that of the smallest id, with all columns of ``docs``.
 
-    Of rows with the same id the one whose text has the smallest hash stays, and of
-    equal rows one.
+    Documents are linked where their SimHashes over five-word shingles differ in ``RADIUS``
+    bits at most, or by :mod:`.similar`, which finds texts of a similarity of 0.8.  Of rows
+    with the same id the one whose text has the smallest hash stays, and of equal rows one.
     """
+    from .similar import SHINGLE as FIVE
+    from .similar import similar_links
+
     rows = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h"), F.col("text").alias("t"))
-    prints = saved(fingerprints(rows, "t", [F.col("id"), F.col("h")]), "simhash")
-    named = near_components(prints, "id")
+    prints = saved(fingerprints(rows, "t", [F.col("id"), F.col("h")], FIVE), "simhash")
+    # a text is a node, named by its hash; those of one fingerprint are linked by the fingerprint's smallest
+    nodes = prints.groupBy("h").agg(F.min("fp").alias("fp"))
+    least = nodes.groupBy("fp").agg(F.min("h").alias("h"))
+    known = saved(nodes, "texts")
+    same = hot_join(known, least.withColumnRenamed("h", "b"), ["fp"], ["h"]).select(F.col("h").alias("a"), "b").filter("a <> b")
+    close = links(known.select("fp").distinct())
+    named = least.select(F.col("fp").alias("a"), F.col("h").alias("x"))
+    close = close.join(named, "a").join(named.withColumnsRenamed({"a": "b", "x": "y"}), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    texts = rows.select(F.col("h").alias("node"), F.col("t").alias("text")).dropDuplicates(["node"])
+    edges = saved(same.unionByName(close).unionByName(similar_links(texts)), "links")
+    groups = components(edges).select(F.col("node").alias("h"), "root")
+    grouped = saved(hot_join(prints.select("id", "h"), known.join(groups, "h", "left").select("h", F.coalesce("root", "h").alias("root")), ["h"], ["id"]), "groups")
     # null ids come last
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("best")
-    chosen = named.groupBy("component_id").agg(best).select("best.id", "best.h").distinct()
+    chosen = grouped.groupBy("root").agg(best).select("best.id", "best.h").distinct()
     there = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("i")
     own = docs.select(row_of(docs).alias("row"), there, F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h"))
     picked = own.join(chosen.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("i"), "h"), ["i", "h"], "left_semi")

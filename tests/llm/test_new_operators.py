@@ -14,9 +14,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cdrlake.llm import packing, repair, resampling
+from cdrlake.llm import langid, linededup, packing, pieces, repair, resampling, similar, simhash
 from cdrlake.llm.encoding import ColumnEncoder
-from cdrlake.llm.queries import QUERIES, WORD_BPE
+from cdrlake.llm.queries import PIECES, QUERIES, WORD_BPE
 
 SF = "/root/testdata/sf0.001"
 BIG = "/root/testdata/sf0.01"
@@ -350,3 +350,104 @@ def test_first_fit_decreasing_equals_plain_search():
                 at += n
             assert at == sizes[i]
         assert sum(n for *_, n in covered) == sizes.sum()
+
+
+# --- the pipeline's near-dedup stage, and promises of earlier operators -----------------
+
+
+def word_runs(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_pairs(texts, least=0.8):
+    """Pairs of different texts that are similar, from shingles in few of them."""
+    sets = {d: word_runs(t) for d, t in texts.items() if t}
+    holders = defaultdict(list)
+    for d, own in sets.items():
+        for x in own:
+            holders[x].append(d)
+    near = {pair for own in holders.values() if len(own) <= 300 for pair in itertools.combinations(sorted(own), 2)}
+    return {(a, b) for a, b in near if texts[a] != texts[b] and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])}
+
+
+def test_near_duplicates_of_the_stage(spark):
+    docs = spark.read.parquet(f"{BIG}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    pairs = similar_pairs(texts)
+    kept = {r["doc_id"] for r in simhash.one_of_each(docs).collect()}
+    assert len(pairs) >= 10 and sum(not (a in kept and b in kept) for a, b in pairs) >= 0.9 * len(pairs)
+    # what goes is a copy of, or similar to, something: nothing else is taken
+    loosely = {d for pair in similar_pairs(texts, 0.7) for d in pair}
+    copies = Counter((t or "") if (t or "").strip() else "" for t in texts.values())
+    assert all(d in loosely or copies[(texts[d] or "") if (texts[d] or "").strip() else ""] > 1 for d in texts.keys() - kept)
+
+
+def test_edited_copies_of_one_original_stay_together(spark):
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(5000)]
+    original = rng.choices(vocabulary, k=400)
+    rows = [(0, " ".join(original))]
+    for i in range(1, 120):
+        words = list(original)
+        for at in rng.sample(range(400), 8):  # some 40 of 396 shingles change: similarity 0.82 to the original, less to others
+            words[at] = "edited"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(rng.choices(vocabulary, k=300))) for i in range(50)] + [(2000, None), (2001, ""), (None, "one two"), (2002, "one two")]
+    rows += [(3000, "word " * 30_000), (3001, "word " * 30_000)]
+    table = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, node string")
+    kept = {r["doc_id"] for r in simhash.one_of_each(table).collect()}
+    assert kept == {0, *range(1000, 1050), 2000, 2002, 3000}
+    assert simhash.one_of_each(table.limit(0)).collect() == []
+
+
+def test_sketches_give_the_similarity():
+    rng = np.random.default_rng(0)
+    for n in (3, 100, 5000):
+        a = rng.integers(0, 2**32, n, dtype=np.uint32)
+        b = np.r_[a[: n * 8 // 10], rng.integers(0, 2**32, n // 5 + 1, dtype=np.uint32)]
+        exact = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        got = similar.similarity(np.unique(a)[: similar.SKETCH], np.unique(b)[: similar.SKETCH])
+        assert abs(got - exact) < (1e-9 if n < 400 else 0.08)
+
+
+def test_piece_chances_do_not_depend_on_the_batch(docs):
+    model = pieces.Lattice(PIECES)
+    stretches = sorted({s for r in docs.collect() for s in pieces._STRETCH.findall(r["text"] or "")})[:4000]
+
+    def chances(run):
+        first, states, sizes, length, _, chance = model._edges(run)
+        ends = np.r_[first, len(length)]
+        return [chance[ends[a] : ends[a + n]].tolist() for a, n in zip(states.tolist(), sizes.tolist())]
+
+    whole = chances(stretches)
+    for size in (1, 7, 333):
+        assert [x for at in range(0, len(stretches), size) for x in chances(stretches[at : at + size])] == whole
+
+
+def test_language_scores_equal_plain_sums(spark, docs):
+    languages, model = langid.train(docs, "doc_id", "text", "lang", max_rows=150)
+    texts = [r["text"] for r in docs.collect()][:60] + ["a", "\u00e9t\u00e9 " * 20_000]
+    for run, bounds, hashed, letters in langid._grams(texts, len(model) - 1):
+        full = np.flatnonzero(bounds[:, 1] > bounds[:, 0])
+        for n in range(langid.ORDERS):
+            got = langid.weighed(hashed[n], bounds[full], model[:-1])
+            want = [sum(model[hashed[n][k]] for k in range(*bounds[i])) for i in full]
+            assert np.allclose(got, want, rtol=1e-9)
+            one = langid.weighed(hashed[n], bounds[full[-1:]], model[:-1])
+            assert np.allclose(one[0], want[-1], rtol=1e-9)
+
+
+def test_a_small_share_of_the_labelled_rows_still_learns(spark, docs):
+    languages, model = langid.train(docs, "doc_id", "text", "lang", max_rows=1)
+    assert model.shape[1] == len(languages) <= 4
+    many = spark.range(200_000).selectExpr("id AS doc_id", "'some english words' AS text", "'en' AS lang")
+    learned, table = langid.train(many, "doc_id", "text", "lang", max_rows=50)
+    assert learned == ["en"]
+
+
+def test_long_lines_have_a_second_hash(spark):
+    rows = [(i, "x" * 200 + str(i)) for i in range(50)] + [(100, "x" * 200 + "7")]
+    windows = linededup._windows(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 2, 100)
+    found = windows.collect()
+    assert len({(r["fp"], r["window"]) for r in found}) == 50 and all(r["fp"] != ~r["window"] for r in found)
