@@ -27,7 +27,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import hot_join, ragged, saved, ship
@@ -186,33 +186,38 @@ def repeats(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, most:
     origin = saved(origin.select("h", "o.d", "o.t", "o.first", "n", "twice"), "origins")
     several = origin.groupBy("h").agg(F.count("*").alias("k"), F.max("twice").alias("twice")).filter("k > 1 OR twice").select("h", "k")
 
-    def sought(names):
-        need = origin.join(names.select("h"), "h").groupBy("d", "t").agg(F.collect_list(F.struct("h", "first", "n")).alias("need"))
-        same = F.col("d").eqNullSafe(F.col("nd")) & (F.col("t") == F.col("nt"))
-        return rows.join(need.withColumnsRenamed({"d": "nd", "t": "nt"}), same).select("d", "t", "raw", "need")
+    # whole texts move once, and only those of documents that have such a first place
+    need = origin.join(several.select("h", (F.col("k") > most).alias("hot")), "h")
+    need = saved(need.groupBy("d", "t").agg(F.collect_list(F.struct("h", "first", "n", "hot")).alias("need")), "needed")
+    same = F.col("d").eqNullSafe(F.col("nd")) & (F.col("t") == F.col("nt"))
+    sought = marked(rows, marks(need)).join(need.withColumnsRenamed({"d": "nd", "t": "nt"}), same).select("d", "t", "raw", "need")
 
     def fetch(batches):
+        """The bytes of runs, and of hot names each window's hash."""
+        names = ["d", "t", "h", "first", "n", "bytes", "w"]
         for b in batches:
             for i in range(b.num_rows):
                 raw, need = b.column(2)[i].as_py(), b.column(3)[i].as_py()
-                take = pa.array(np.full(len(need), i))
-                h, first, n = (pa.array([x[c] for x in need], pa.int64()) for c in ("h", "first", "n"))
-                own = pa.array([raw[x["first"] : x["first"] + x["n"] + length - 1] for x in need], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), h, first, n, own], names=["d", "t", "h", "first", "n", "bytes"])
-
-    def fetch_windows(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                raw, need = b.column(2)[i].as_py(), b.column(3)[i].as_py()
-                number = np.array([x["n"] for x in need])
-                first = ragged(np.array([x["first"] for x in need]), number)
-                take = pa.array(np.full(len(first), i))
-                h = pa.array(np.repeat(np.array([x["h"] for x in need]), number))
-                own = pa.array([xxhash.xxh3_128_digest(raw[s : s + length]) for s in first.tolist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), h, pa.array(first), own], names=["d", "t", "h", "first", "w"])
-
-    pieces = sought(several.filter(F.col("k") <= most)).mapInArrow(fetch, "d long, t long, h long, first long, n long, bytes binary")
-    windows = saved(sought(several.filter(F.col("k") > most)).mapInArrow(fetch_windows, "d long, t long, h long, first long, w binary"), "hot-windows")
+                h, first, n, own, w = [], [], [], [], []
+                for x in need:
+                    if x["hot"]:
+                        places = range(x["first"], x["first"] + x["n"])
+                        w += [xxhash.xxh3_128_digest(raw[s : s + length]) for s in places]
+                        own += [None] * len(places)
+                    else:
+                        places = [x["first"]]
+                        w.append(None)
+                        own.append(raw[x["first"] : x["first"] + x["n"] + length - 1])
+                    h += [x["h"]] * len(places)
+                    first += places
+                    n += [x["n"]] * len(places)
+                take = pa.array(np.full(len(h), i))
+                more = [pa.array(x, pa.int64()) for x in (h, first, n)] + [pa.array(x, pa.binary()) for x in (own, w)]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *more], names=names)
+
+    fetched = saved(sought.mapInArrow(fetch, "d long, t long, h long, first long, n long, bytes binary, w binary"), "fetched")
+    pieces = fetched.filter("bytes IS NOT NULL").drop("w")
+    windows = fetched.filter("w IS NOT NULL").drop("n", "bytes")
 
     def sort_portions(batches):
         """Whole groups, in portions; a group's rows stand together, those of a repeated document next to each other."""
@@ -259,6 +264,31 @@ def repeats(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, most:
     return whole.unionByName(parts).unionByName(later_windows(windows, length))
 
 
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("d", "t"), F.lit(SLOTS)).cast("int")
+
+
+def marks(keys: DataFrame):
+    """A broadcast bitmap of the documents (d, t): it has bits of others too, and only saves work."""
+    bits = np.zeros(SLOTS, dtype=bool)
+    bits[keys.select(_slot().alias("s")).distinct().toArrow()["s"].to_numpy()] = True  # SLOTS numbers at most
+    return keys.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+
+
+def marked(rows: DataFrame, table, wanted: bool = True) -> DataFrame:
+    """The rows whose document (d, t) has its bit in the bitmap, or those that have not."""
+
+    def run(batches):
+        packed = table.value
+        for b in batches:
+            slot = b.column(b.num_columns - 1).to_numpy()
+            hit = (packed[slot >> 3] >> (slot & 7) & 1).astype(bool) == wanted
+            if hit.any():
+                yield b.select(list(range(b.num_columns - 1))).filter(pa.array(hit))
+
+    return rows.withColumn("__slot", _slot()).mapInArrow(run, rows.schema)
+
+
 def later_windows(windows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(d, t, a, z) of the windows (d, t, h, first, w) that stand at an earlier place too; no task holds all places of one."""
     place = F.struct("d", "t", "first")
@@ -273,10 +303,13 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     spans = found.groupBy("d", "t").agg(F.sort_array(F.collect_set(F.struct("a", "z"))).alias("spans"))
     spans = spans.select(F.coalesce(F.col("d").cast("string"), F.lit("")).alias("i"), "t", "spans")
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("")).alias("i"),
-        F.xxhash64(text).alias("t"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"),
-    )
-    joined = rows.join(spans, ["i", "t"], "left").select("doc_id", "raw", "spans")
+        F.col(doc_id).cast("long").alias("d"), F.xxhash64(text).alias("t"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw")
+    )
+    # texts that lose nothing need not move
+    table = marks(found.select("d", "t"))
+    some = marked(rows, table).withColumn("i", F.coalesce(F.col("d").cast("string"), F.lit("")))
+    joined = some.join(spans, ["i", "t"], "left").select("d", "raw", "spans")
+    whole = marked(rows, table, False).select("d", "raw", F.lit(None).cast("array<struct<a:long,z:long>>").alias("spans"))
 
     def cut(batches):
         for b in batches:
@@ -302,4 +335,4 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
                 )
 
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
+    return joined.unionByName(whole).mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
