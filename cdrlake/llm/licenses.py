@@ -4,7 +4,9 @@ A text is cut into sentences at stops and line ends; a sentence is normalised to
 lower-case words of a-z and 0-9.  Known sentences have identifiers.  The identifiers of
 a text, in order, are matched against rules: a rule applies where its sentences
 follow one another, with nothing between them but sentences that are not known.
-Of the rules of one licence that apply, the one of most sentences is reported.
+Of the rules of one licence that apply, the one of most sentences is reported.  A rule whose
+sentences are the beginning or another part of a longer one that applies is not: the text of
+one licence may contain that of another.  "All rights reserved" counts where no licence is named.
 
 Licence texts are wrapped, often behind comment marks.  So the rules are matched twice:
 against the sentences as cut at every line end, and against those that may go on over a
@@ -58,11 +60,45 @@ RULES = {
             "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
         ],
     ),
+    "bsd-3-clauses": (
+        "BSD-3-Clause",
+        [
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+        ],
+    ),
+    "gpl-2.0-header": (
+        "GPL-2.0-or-later",
+        [
+            "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+            "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+            "See the GNU General Public License for more details",
+        ],
+    ),
+    "lgpl-2.1-header": (
+        "LGPL-2.1-or-later",
+        [
+            "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+            "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+            "See the GNU Lesser General Public License for more details",
+        ],
+    ),
+    "mpl-2.0-notice": ("MPL-2.0", ["This Source Code Form is subject to the terms of the Mozilla Public License, v"]),
     "cc-by-4.0-short": ("CC-BY-4.0", ["Licensed under CC BY 4.0"]),
     "cc-by-sa-4.0-short": ("CC-BY-SA-4.0", ["Licensed under CC BY-SA 4.0"]),
     "cc-by-nc-4.0-short": ("CC-BY-NC-4.0", ["Licensed under CC BY-NC 4.0"]),
     "all-rights-reserved": ("proprietary", ["All rights reserved"]),
 }
+# Identifiers of licence lines.
+SPDX = [
+    "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "GPL-2.0-only", "GPL-2.0-or-later",
+    "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "MIT", "MPL-2.0",
+]
+RULES |= {f"spdx-{name.lower()}": (name, [f"SPDX-License-Identifier: {name}"]) for name in SPDX}
+#: a notice that stands beside most licences; it counts where nothing else is named
+WEAK = "proprietary"
 
 _CUT = r"[.!?;]+(?:\s|$)|\n"
 _URL = r"[a-z]+://\S+"
@@ -136,7 +172,13 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     rows = docs.select(F.col(doc_id).alias("doc_id"), sentence_ids(own, rules).alias("ids"), wrapped.alias("wrapped")).filter("ids <> ',' OR wrapped <> ','")
     table = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(rule).alias("rule"), F.lit(licence).alias("license"), F.lit(ids).alias("ids")) for rule, licence, ids, n in rule_sequences(rules)])
     hits = rows.withColumn("hits", F.filter(table, lambda r: F.contains(F.col("ids"), r["ids"]) | F.contains(F.col("wrapped"), r["ids"])))
-    better = lambda r, o: (o["license"] == r["license"]) & ((o["n"] > r["n"]) | ((o["n"] == r["n"]) & (o["rule"] < r["rule"])))
+
+
+    def better(r, o):
+        same = (o["license"] == r["license"]) & ((o["n"] > r["n"]) | ((o["n"] == r["n"]) & (o["rule"] < r["rule"])))
+        inside = (o["n"] > r["n"]) & F.contains(o["ids"], r["ids"])
+        return same | inside | ((r["license"] == WEAK) & (o["license"] != WEAK))
+
     best = hits.select("doc_id", F.explode(F.filter("hits", lambda r: ~F.exists(F.col("hits"), lambda o: better(r, o)))).alias("r"))
     return best.select("doc_id", F.col("r.license").alias("license"), F.col("r.rule").alias("rule"), F.col("r.n").alias("n_sentences"))
 
@@ -153,10 +195,11 @@ WITH known(sentence, id) AS (VALUES {known}), rules(rule, license, ids, n) AS (V
 parts AS (SELECT doc_id, unnest(string_split_regex(text, '[.!?;]+(?:\\s|$)|\\n')) AS part,
                  generate_subscripts(string_split_regex(text, '[.!?;]+(?:\\s|$)|\\n'), 1) AS pos FROM documents),
 plain AS (SELECT doc_id, pos, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS sentence FROM parts),
-seqs AS (SELECT doc_id, ',' || string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) || ',' AS ids FROM plain JOIN known USING (sentence) GROUP BY doc_id)
-SELECT doc_id, license, rule, CAST(n AS INTEGER) AS n_sentences
-FROM seqs JOIN rules ON contains(seqs.ids, rules.ids)
-QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY n DESC, rule) = 1"""
+seqs AS (SELECT doc_id, ',' || string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) || ',' AS ids FROM plain JOIN known USING (sentence) GROUP BY doc_id),
+hits AS (SELECT doc_id, license, rule, n, rules.ids FROM seqs JOIN rules ON contains(seqs.ids, rules.ids))
+SELECT doc_id, license, rule, CAST(n AS INTEGER) AS n_sentences FROM hits r WHERE NOT EXISTS (
+  SELECT 1 FROM hits o WHERE o.doc_id = r.doc_id AND ((o.license = r.license AND (o.n > r.n OR (o.n = r.n AND o.rule < r.rule)))
+    OR (o.n > r.n AND contains(o.ids, r.ids)) OR (r.license = '{WEAK}' AND o.license <> '{WEAK}')))"""
 
 
 ORACLE_SQL = _oracle()

@@ -118,6 +118,20 @@ def test_licenses_match_ordered_sentences(spark):
     assert got == [(1, "Apache-2.0", "apache-2.0-header", len(header)), (3, "MIT", "mit-short", 1), (3, "MIT", "mit-short", 1)]
 
 
+def test_licences_that_contain_each_other(spark):
+    bsd3 = ".\n".join(licenses.RULES["bsd-3-clauses"][1]).replace(":.", ":") + "."
+    bsd2 = ".\n".join(licenses.RULES["bsd-clauses"][1]).replace(":.", ":") + "."
+    mit = "Copyright (c) 2020 X. All rights reserved.\n\n" + ".\n".join(licenses.RULES["mit-text"][1]).replace(":.", ":") + "."
+    headers = [". ".join(licenses.RULES[r][1]) + "." for r in ("gpl-2.0-header", "lgpl-2.1-header", "gpl-3.0-header", "mpl-2.0-notice")]
+    texts = [bsd3, bsd2, mit, *headers, "// SPDX-License-Identifier: MIT\nint x;", "# SPDX-License-Identifier: GPL-2.0-only", "All rights reserved.", None, ""]
+    rows = licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["license"]) for r in rows) == [
+        (0, "BSD-3-Clause"), (1, "BSD-2-Clause"), (2, "MIT"), (3, "GPL-2.0-or-later"), (4, "LGPL-2.1-or-later"), (5, "GPL-3.0-or-later"),
+        (6, "MPL-2.0"), (7, "MIT"), (8, "GPL-2.0-only"), (9, "proprietary"),
+    ]
+    assert licenses.license_scan(spark.createDataFrame([], "doc_id long, text string, rule string")).collect() == []
+
+
 def test_wrapped_licenses_in_long_texts(spark):
     import textwrap
 
