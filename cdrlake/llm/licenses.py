@@ -131,8 +131,9 @@ def sentence_ids(text: Column, rules=RULES) -> Column:
     table = F.create_map(*[F.lit(x) for s, i in known.items() for x in (s, str(i))])
     sentences = F.split(F.coalesce(text, F.lit("")), _CUT)
     plain = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
-    found = F.filter(F.transform(sentences, lambda s: F.try_element_at(table, plain(s))), lambda i: i.isNotNull())
-    return _joined(found)
+    # a set decides which sentences are known; only those are looked up in the map, which is a list
+    found = F.filter(F.transform(sentences, plain), lambda s: s.isin(list(known)))
+    return _joined(F.transform(found, lambda s: F.try_element_at(table, s)))
 
 
 def _joined(found: Column) -> Column:
@@ -160,8 +161,14 @@ def wrapped_ids(text: Column, rules=RULES) -> Column:
 
 
 def _first_words(rules=RULES) -> str:
-    """A pattern of the longest word of every known sentence."""
-    return "|".join(sorted({max(s.split(), key=len) for s in known_sentences(rules)}))
+    """A pattern of few words, of which every known sentence has one."""
+    left, out = set(known_sentences(rules)), []
+    while left:
+        words = {w for s in left for w in s.split()}
+        best = max(sorted(words), key=lambda w: (sum(w in s.split() for s in left) if len(w) > 5 else 0, len(w)))
+        out.append(best)
+        left = {s for s in left if best not in s.split()}
+    return "|".join(out)
 
 
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RULES) -> DataFrame:
