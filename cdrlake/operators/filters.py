@@ -10,9 +10,14 @@ from ..functions.casting import as_column
 from ..functions.codes import ALERT_EVENTS
 
 
+def window(column: str, start, end) -> Column:
+    """``start <= column <= end``; ISO date text compares like dates."""
+    return F.col(column).between(F.lit(start), F.lit(end))
+
+
 def in_window(df: DataFrame, column: str, start, end) -> DataFrame:
-    """Rows with ``start <= column <= end``; ISO date text compares like dates."""
-    return df.where(F.col(column).between(F.lit(start), F.lit(end)))
+    """Rows whose column lies in the window, both ends included."""
+    return df.where(window(column, start, end))
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:

@@ -75,9 +75,9 @@ def load_model(path: str) -> PipelineModel:
 
 def run_churn(spark: SparkSession, cfg: RunConfig) -> RunResult:
     """The job over stored Silver tables and the stored usage rollup, with its audit row and catalog entry."""
-    with audited(spark, cfg.path("control", "audit"), "churn") as run:
-        customers = read_table(spark, cfg.base, "silver", "customers")
-        recharges = read_table(spark, cfg.base, "silver", "recharges")
+    with audited(spark, cfg.path("control", "audit"), "churn", debug=cfg.debug) as run:
+        customers = read_table(spark, cfg.base, cfg.sink_folder, "customers")
+        recharges = read_table(spark, cfg.base, cfg.sink_folder, "recharges")
         usage = read_table(spark, cfg.base, "work", "usage_daily")
         done = train_and_score(spark, gold.churn_features(customers, usage, recharges), cfg.base)
         run.rows_written |= done.rows_written

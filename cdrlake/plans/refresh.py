@@ -95,13 +95,13 @@ def refresh_silver(spark: SparkSession, cfg: RunConfig, entity: Entity, run: Run
 
 def refresh(spark: SparkSession, cfg: RunConfig) -> RunResult:
     """Take newly landed CDRs and recharges into Silver and Gold, and the customers as they were last extracted."""
-    with audited(spark, cfg.path("control", "audit"), "refresh") as run:
+    with audited(spark, cfg.path("control", "audit"), "refresh", debug=cfg.debug) as run:
         touched = {e.name: refresh_silver(spark, cfg, e, run) for e in ENTITIES}
         customers = silver.silver_customers(files.read_extract(spark, cfg.path("landing", "customers")))
         run.rows_written["customers"] = write_table(silver.with_audit(customers, "CUSTOMER_DB"), cfg.path("silver", "customers"))
         run.detail["months"] = touched
         if months := touched["cdrs"]:
-            cdr = read_table(spark, cfg.base, "silver", "cdrs").where(F.col("call_month").isin(months))
+            cdr = read_table(spark, cfg.base, cfg.sink_folder, "cdrs").where(F.col("call_month").isin(months))
             usage = cfg.path("work", "usage_daily")
             run.rows_written["usage_daily"] = write_table(gold.usage_daily(cdr), usage, "call_month", dynamic=True)
             present = {r[0] for r in cdr.select("call_month").distinct().collect()}

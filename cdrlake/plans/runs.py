@@ -1,5 +1,6 @@
 """Audit rows around plans, also around those that fail."""
 
+import logging
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -15,13 +16,29 @@ from ..sinks.tables import append_merge
 ERROR_CHARS = 4_000
 
 
+log = logging.getLogger(__name__)
+
+
+def report(pipeline: str, result: RunResult, debug: bool) -> None:
+    """One line for a run; with ``debug`` also each of its figures."""
+    log.info("%s %s: %d rows read, %d written", pipeline, result.status, sum(result.rows_read.values()), sum(result.rows_written.values()))
+    if debug:
+        for kind in ("rows_read", "rows_written", "quality", "detail"):
+            for name, figure in getattr(result, kind).items():
+                log.info("%s %s %s: %s", pipeline, kind, name, figure)
+
+
 def now() -> datetime:
     return datetime.now(timezone.utc)
 
 
 @contextmanager
 def audited(
-    spark: SparkSession, audit_path: str | None, pipeline: str, watermarks: "control.ControlTable | None" = None
+    spark: SparkSession,
+    audit_path: str | None,
+    pipeline: str,
+    watermarks: "control.ControlTable | None" = None,
+    debug: bool = False,
 ) -> Iterator[RunResult]:
     """A run whose result the plan fills in; its audit row is appended when it ends.
 
@@ -31,6 +48,7 @@ def audited(
     result, started, run_id = RunResult(), now(), uuid.uuid4().hex
 
     def record(error: str | None) -> None:
+        report(pipeline, result, debug)
         if audit_path:
             read, written = sum(result.rows_read.values()), sum(result.rows_written.values())
             row = control.audit_row(spark, pipeline, run_id, result.status, read, written, started, now(), error)

@@ -1,7 +1,9 @@
 """Parquet writers, layout, catalog registration and copies."""
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
@@ -21,6 +23,51 @@ def observed(seen: Observation, *names: str) -> dict[str, int]:
         return dict.fromkeys(names, 0)
 
 
+def _beside(spark: SparkSession, path: str, prefix: str):
+    """(file system, path, a hidden sibling of it); readers pass over names that begin with an underscore."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, target, spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), prefix + target.getName())
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Bring a folder back whose replacement was cut off half way; remove what a complete one left."""
+    fs, target, old = _beside(spark, path, "_old-")
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        else:
+            _rename(fs, old, target)
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A new folder to write to, which takes the place of ``path`` once everything in it is written.
+
+    A write that fails leaves the folder as it was, and the rows written may come from the
+    folder itself.  Two renames change the folders; on file systems with directories they
+    move no data.  :func:`settle`, also run here first, mends a driver lost between the two.
+    """
+    settle(spark, path)
+    fs, target, new = _beside(spark, path, f"_new-{uuid.uuid4().hex}-")
+    try:
+        yield str(new)
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    old = _beside(spark, path, "_old-")[2]
+    if fs.exists(target):
+        _rename(fs, target, old)
+    _rename(fs, new, target)
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -30,8 +77,8 @@ def write_table(
 ) -> int:
     """Overwrite a table and return the number of rows written.
 
-    By default all partitions are replaced; ``dynamic`` replaces only those in
-    ``df``.  Before a partitioned write the rows are rebalanced by the partition
+    By default the whole table is replaced, by :func:`replacing`; ``dynamic`` replaces only
+    the partitions in ``df``, which Spark swaps when all tasks are done.  Before a partitioned write the rows are rebalanced by the partition
     column: Spark merges small pieces and splits a month that holds most rows, so
     files are few and of even size.  The count is taken in the writing stage itself,
     where a task counts once however often it runs.
@@ -41,21 +88,24 @@ def write_table(
     writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    if partition_by and dynamic:
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        with replacing(df.sparkSession, path) as new:
+            writer.parquet(new)
     return observed(seen, "rows")["rows"]
 
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """CSV with a header; spaces around values are kept."""
+    """CSV with a header, in place of what was there; spaces around values are kept."""
     writer = (
         df.write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )
-    (writer.partitionBy(partition_by) if partition_by else writer).csv(path)
+    with replacing(df.sparkSession, path) as new:
+        (writer.partitionBy(partition_by) if partition_by else writer).csv(new)
 
 
 def together(jobs: dict[str, Callable[[], Any]]) -> dict[str, Any]:
@@ -147,6 +197,4 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 def copy_csv_to_parquet(df: DataFrame, columns: list[str], path: str, partition_by: str = "call_date") -> int:
     """Copy the named columns of raw rows to Parquet, one folder per date."""
-    rows = df.select(*columns).hint("rebalance", partition_by)
-    rows.write.mode("overwrite").option("compression", "snappy").partitionBy(partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    return write_table(df.select(*columns), path, partition_by)

@@ -15,7 +15,8 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path, schema: StructType) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """Typed rows; a file whose header names other columns, or in another order, is an error."""
+    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
 
 
 def read_cdr(spark: SparkSession, path, window_start: str, window_end: str) -> DataFrame:
@@ -53,6 +54,7 @@ def typed_rows(spark: SparkSession, paths, schema: StructType, *more: Column) ->
     text = StructType([StructField(n, StringType()) for n in [*schema.names, CORRUPT]])
     rows = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(text)

@@ -232,6 +232,61 @@ def test_partitioned_overwrite_static_and_dynamic(spark, lake, rows):
     assert sinks.write_table(b, path, "call_month") == 1
 
 
+def test_a_failed_replacement_leaves_the_table(spark, lake):
+    path = f"{lake}/gold/t"
+    sinks.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string"), path, "k")
+    bad = spark.range(10).select(F.when(F.col("id") == 9, F.raise_error(F.lit("lost"))).otherwise(F.lit("z")).alias("k"), "id")
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_table(bad, path, "k")
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b")]
+    assert os.listdir(f"{lake}/gold") == ["t"]
+
+
+def test_a_table_is_replaced_by_rows_of_its_own(spark, lake):
+    path = f"{lake}/t"
+    sinks.write_table(spark.range(5), path)
+    table = spark.read.parquet(path)
+    assert sinks.write_table(table.where("id > 2"), path) == 2
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4]
+    assert os.listdir(lake) == ["t"]
+
+
+@pytest.mark.parametrize("complete", [False, True])
+def test_a_replacement_cut_off_half_way_is_settled(spark, lake, complete):
+    path, old = f"{lake}/t", f"{lake}/_old-t"
+    sinks.write_table(spark.range(5), path)
+    os.rename(path, old)
+    if complete:
+        spark.range(7).write.parquet(path)
+    sinks.settle(spark, path)
+    assert spark.read.parquet(path).count() == (7 if complete else 5) and os.listdir(lake) == ["t"]
+
+
+def test_columns_in_another_order_are_an_error(spark, lake):
+    names = [*schemas.CDR.names[1:], schemas.CDR.names[0]]
+    with open(f"{lake}/swapped.csv", "w") as f:
+        f.write(",".join(names) + "\n" + cdr_line("1", "2024-10-01") + "\n")
+    for read in (lambda: files.read_cdr(spark, f"{lake}/swapped.csv", "2024-01-01", "2024-12-31"), lambda: files.read_with_rejects(spark, f"{lake}/swapped.csv", schemas.CDR)[0]):
+        with pytest.raises(Exception, match="(?i)header"):
+            read().collect()
+
+
+def test_run_parameters(spark, lake, caplog):
+    cfg = RunConfig(lake + "/{env}", "2024-10-01", "2024-12-31", env="test", source_folder="raw", sink_folder="typed", debug=True)
+    cdrs = frames.cdr(spark, {}, {"cdr_id": "2", "call_date": None}, {"cdr_id": "3", "call_date": "2023-01-01"})
+    sinks.write_csv(cdrs, f"{lake}/test/raw/cdrs")
+    sinks.write_csv(frames.customers(spark, {}), f"{lake}/test/raw/customers")
+    sinks.write_csv(frames.recharges(spark, {}), f"{lake}/test/raw/recharges")
+    with caplog.at_level("INFO", logger="cdrlake"):
+        result = run_batch(spark, cfg)
+    assert result.quality["null_call_date"] == 1 and result.rows_written["cdrs"] == 1
+    assert sorted(n for n in os.listdir(f"{lake}/test") if n != "silver") == ["control", "gold", "raw", "typed", "work"]
+    assert not os.path.exists(f"{lake}/test/silver")
+    assert "batch rows_written cdrs: 1" in caplog.messages
+    with pytest.raises(ValueError, match="env"):
+        RunConfig(lake, env="staging")
+
+
 def test_appends_merge_new_columns(spark, lake, rows):
     sinks.append_merge(spark.createDataFrame([(1,)], "a int"), f"{lake}/t")
     sinks.append_merge(spark.createDataFrame([(2, "x")], "a int, b string"), f"{lake}/t")
