@@ -176,20 +176,22 @@ def repeats(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, most:
                     hit = np.flatnonzero(known[(name.view(np.int64) % SLOTS)])
                     for x, y in zip(out, (name[hit].view(np.int64), first[hit], number[hit], twice[hit])):
                         x.append(y)
-                    out[4] += [xxhash.xxh3_128_digest(raw[f : f + k + length - 1]) for f, k in zip(first[hit].tolist(), number[hit].tolist())]
+                    out[4].append(np.array([xxhash.xxh3_64_intdigest(raw[f : f + k + length - 1]) for f, k in zip(first[hit].tolist(), number[hit].tolist())], np.uint64).view(np.int64))
                     where.append(np.full(len(hit), at + i))
                 place = pa.array(np.concatenate(where))
-                columns = [pa.array(np.concatenate(x)) for x in out[:4]] + [pa.array(out[4], pa.binary())]
+                columns = [pa.array(np.concatenate(x)) for x in out]
                 yield pa.RecordBatch.from_arrays([b.column(0).take(place), b.column(1).take(place), *columns], names=["d", "t", "h", "first", "n", "twice", "c"])
 
-    runs = saved(rows.mapInArrow(repeated_runs, "d long, t long, h long, first long, n long, twice boolean, c binary"), "runs")
+    runs = saved(rows.mapInArrow(repeated_runs, "d long, t long, h long, first long, n long, twice boolean, c long"), "runs")
     place = F.struct("d", "t", "first")
-    origin = runs.groupBy("h", "c").agg(F.min(place).alias("o"), F.min("n").alias("n"), F.max("twice").alias("twice"))
-    whole = runs.join(origin.select("h", "c", "o"), ["h", "c"]).filter(~place.eqNullSafe(F.col("o")))
+    # runs of one name are equal if 64 bits more, of all their bytes, are
+    origin = runs.groupBy("h", "c").agg(F.min(place).alias("o"), F.min("n").alias("n"), F.max("twice").alias("twice"), F.count("*").alias("times"))
+    origin = saved(origin.select("h", "c", "o.d", "o.t", "o.first", "n", "twice", "times"), "origins")
+    whole = runs.join(origin.filter("times > 1").select("h", "c", place.alias("o")), ["h", "c"]).filter(~place.eqNullSafe(F.col("o")))
     whole = whole.select("d", "t", F.col("first").alias("a"), (F.col("first") + F.col("n") + length - 1).alias("z"))
 
     # names of several different runs: the bytes of each run's first place
-    origin = saved(origin.select("h", "o.d", "o.t", "o.first", "n", "twice"), "origins")
+    origin = origin.drop("c", "times")
     several = origin.groupBy("h").agg(F.count("*").alias("k"), F.max("twice").alias("twice")).filter("k > 1 OR twice").select("h", "k")
 
     # whole texts move once, and only those of documents that have such a first place
