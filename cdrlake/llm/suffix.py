@@ -56,7 +56,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     sample = np.r_[first, second]
     width = np.uint64(21)
     key = (t[sample] << (width * np.uint64(2))) | (t[sample + 1] << width) | t[sample + 2]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     names = np.empty(len(sample), dtype=np.int64)
     names[order] = 1 + np.r_[0, np.cumsum(key[order][1:] != key[order][:-1])]
     if names.max() < len(sample):
@@ -66,7 +66,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     sample = sample[order]
     sample = sample[sample < n]
     zero = np.arange(0, n, 3)
-    zero = zero[np.argsort((t[zero] << np.uint64(22)) | rank[zero + 1], kind="stable")]
+    zero = zero[np.argsort((t[zero] << np.uint64(22)) | rank[zero + 1])]
     # where each other suffix stands among the sampled ones of either kind
     ones, twos = sample[sample % 3 == 1], sample[sample % 3 == 2]
     by_one = lambda i: (t[i] << np.uint64(22)) | rank[i + 1]
@@ -118,10 +118,17 @@ def _runs(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         first = np.repeat(first, pieces) + length * (np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces))
         end = np.repeat(np.flatnonzero(np.r_[names[1:] != names[:-1], True]) + 1, pieces)
         number = np.minimum(length, end - first)
-    spans = number + length - GRAM
-    there = hashed[ragged(first, spans)] == np.repeat(names[first], spans)
-    twice = np.add.reduceat(there.astype(np.int32), np.cumsum(spans) - spans) > 1
-    return names[first], first, number, twice
+    names, twice = names[first], np.zeros(len(first), dtype=bool)
+    ordered = np.sort(hashed)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    if len(again):  # grams that stand in the text more than once
+        at = np.searchsorted(again, names)
+        some = np.flatnonzero((at < len(again)) & (again[np.minimum(at, len(again) - 1)] == names))
+        if len(some):
+            spans = number[some] + length - GRAM
+            there = hashed[ragged(first[some], spans)] == np.repeat(names[some], spans)
+            twice[some] = np.add.reduceat(there.astype(np.int32), np.cumsum(spans) - spans) > 1
+    return names, first, number, twice
 
 
 def equal_windows(pieces: list[bytes], numbers: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,10 +144,11 @@ def equal_windows(pieces: list[bytes], numbers: np.ndarray, length: int) -> tupl
     order = order[wanted[order]]
     differ = np.zeros(len(order), dtype=bool)
     differ[:1] = True
-    for at in range(0, len(order), 50_000):
-        own = np.arange(max(1, at), min(len(order), at + 50_000))
-        span = np.arange(length)
-        differ[own] = (data[order[own][:, None] + span] != data[order[own - 1][:, None] + span]).any(axis=1)
+    # neighbours are compared eight bytes at a time, the last eight as they overlap
+    eight = np.ascontiguousarray(np.lib.stride_tricks.as_strided(data, (max(0, len(data) - 7), 8), (1, 1))).view("<u8").ravel()
+    for at in [*range(0, length - 8, 8), length - 8] if len(order) > 1 else []:
+        words = eight[order + at]
+        differ[1:] |= words[1:] != words[:-1]
     piece = np.searchsorted(starts, order, "right") - 1
     return piece, order - starts[piece], np.cumsum(differ)
 
@@ -204,24 +212,18 @@ def repeats(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, most:
         """The bytes of runs, and of hot names each window's hash."""
         names = ["d", "t", "h", "first", "n", "bytes", "w"]
         for b in batches:
-            for i in range(b.num_rows):
-                raw, need = b.column(2)[i].as_py(), b.column(3)[i].as_py()
-                h, first, n, own, w = [], [], [], [], []
-                for x in need:
-                    if x["hot"]:
-                        places = range(x["first"], x["first"] + x["n"])
-                        w += [xxhash.xxh3_128_digest(raw[s : s + length]) for s in places]
-                        own += [None] * len(places)
-                    else:
-                        places = [x["first"]]
-                        w.append(None)
-                        own.append(raw[x["first"] : x["first"] + x["n"] + length - 1])
-                    h += [x["h"]] * len(places)
-                    first += places
-                    n += [x["n"]] * len(places)
-                take = pa.array(np.full(len(h), i))
-                more = [pa.array(x, pa.int64()) for x in (h, first, n)] + [pa.array(x, pa.binary()) for x in (own, w)]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *more], names=names)
+            need = b.column(3)
+            of = need.value_parent_indices().to_numpy()
+            h, first, n, hot = (need.flatten().field(x).to_numpy(zero_copy_only=False) for x in ("h", "first", "n", "hot"))
+            raws = b.column(2).to_pylist()
+            own = [None if x else raws[i][f : f + k + length - 1] for i, f, k, x in zip(of.tolist(), first.tolist(), n.tolist(), hot)]
+            # a run of a hot name gives a row per window
+            row = np.repeat(np.arange(len(of)), np.where(hot, n, 1))
+            place = first[row] + np.where(hot[row], np.arange(len(row)) - np.searchsorted(row, row), 0)
+            w = [xxhash.xxh3_128_digest(raws[i][f : f + length]) if x else None for i, f, x in zip(of[row].tolist(), place.tolist(), hot[row])]
+            take = pa.array(of[row])
+            columns = [pa.array(h[row]), pa.array(place), pa.array(n[row]), pa.array(own, pa.binary()).take(pa.array(row)), pa.array(w, pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *columns], names=names)
 
     fetched = saved(sought.mapInArrow(fetch, "d long, t long, h long, first long, n long, bytes binary, w binary"), "fetched")
     pieces = fetched.filter("bytes IS NOT NULL").drop("w")
