@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import frames
 import pytest
+from pyspark.sql import functions as F
 
 from cdrlake.operators import gold, measures, quality, silver, views
 
@@ -151,3 +152,14 @@ def test_quality_reports(spark, rows):
     assert tuple(quality.duplicate_count(bronze, "cdr_id").first()) == (5, 3, 2)
     assert tuple(quality.load_report(bronze, silver.silver_cdr(bronze)).first()) == (5, 2, 3)
     assert rows(quality.layer_counts(a=bronze, b=bronze.limit(0))) == [("a", 5), ("b", 0)]
+
+
+def test_arpu_matches_recharges_by_customer_and_month(spark):
+    months = [("A", "2024-10"), ("A", "2024-11"), ("A", None), ("B", "2024-10"), (None, "2024-10")]
+    people = silver.silver_customers(frames.customers(spark, {"customer_id": "A"}))
+    cdr = silver.silver_cdr(frames.cdr(spark, {"cdr_id": "C1"}, {"cdr_id": "C2", "call_date": "2024-12-01"}, {"cdr_id": "C3", "customer_id": "B"}))
+    recharged = spark.createDataFrame([(*m, float(i)) for i, m in enumerate(months)], "customer_id string, recharge_month string, n double")
+    recharged = recharged.select("customer_id", "recharge_month", F.col("n").cast("decimal(10,2)").alias("recharge_amount"), F.lit(1).alias("is_digital_channel"))
+    arpu = gold.gold_arpu(gold.cdr_monthly(gold.usage_rows(cdr)), gold.recharge_monthly(recharged), people)
+    got = {(r.customer_id, r.call_month): (r.recharge_count, float(r.recharge_revenue_qar), r.avg_recharge_amount, r.segment) for r in arpu.collect()}
+    assert got == {("A", "2024-10"): (1, 0.0, 0.0, "VIP"), ("A", "2024-12"): (0, 0.0, None, "VIP"), ("B", "2024-10"): (1, 3.0, 3.0, None)}

@@ -60,3 +60,32 @@ def test_plans_have_no_cross_join_and_prune_columns(spark, name):
     plan = getattr(Lake(spark, SF_DIR), name)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|NestedLoop|PythonUDF|ArrowEval", plan)
     assert "l_linestatus" not in plan and "o_totalprice" not in plan
+
+
+@pytest.fixture
+def shuffled(spark):
+    """The exchanges by key of a plan whose tables are too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield lambda df: re.findall(r"Exchange hashpartitioning\(([^\n]*), \d+\), (\w+)", df._jdf.queryExecution().executedPlan().toString())
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines_move_once_before_duplicates_are_removed(spark, shuffled):
+    """They were spread, moved to their orders, and moved once more with all columns to the customers."""
+    keys = [k.split("#")[0] for k, _ in shuffled(Lake(spark, SF_DIR).bronze_cdr)]
+    assert keys.count("l_orderkey") == 1 and len(keys) - sum(k.startswith(("c_", "n_", "r_")) for k in keys) == 4
+
+
+def test_usage_stays_in_place_when_joined(spark, shuffled):
+    """Usage by customer and month was moved once more for the join with the customers."""
+    lake = Lake(spark, SF_DIR)
+    usage, arpu = ([k for k, _ in shuffled(df) if k.startswith("customer_id")] for df in (lake.cdr_monthly, lake.arpu))
+    assert len(usage) == 2
+    # besides: the customers, and the recharges by month and by customer
+    assert len(arpu) == 2 + 3
+
+
+@pytest.mark.parametrize("name", ["rule_360", "stored_summary", "stored_rule_scores"])
+def test_summary_and_scores_come_from_stored_facts(spark, name):
+    """The CDRs were worked off once for the summary and once for the features."""
+    assert "lineitem" not in getattr(Lake(spark, SF_DIR), name)._jdf.queryExecution().executedPlan().toString()
