@@ -105,3 +105,9 @@ def test_job_over_a_lake_and_its_views(spark, tmp_path):
     register_serving_views(spark, cfg.base)
     assert spark.sql("SELECT * FROM vw_customer_360 WHERE churn_score_band IS NOT NULL").count() == 60
     assert spark.sql("SELECT sum(customer_count), sum(total_calls) FROM vw_churn_analysis").first() == (60, 50)
+
+
+def test_large_tables_have_large_partitions():
+    """Every partition sends statistics of every node; at 2,000 rows each these grew to gigabytes a level."""
+    assert [churn.fit_partitions(n) for n in (0, 1, 2_000, 2_001, 11_400, 48_000)] == [1, 1, 1, 2, 6, 24]
+    assert [churn.fit_partitions(n) for n in (684_000, 1_200_001, 4_100_000)] == [24, 25, 82]
