@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cdrlake.sinks.tables import read_merged
 from cdrlake.streaming import alerts, batches, events, progress, run, windows
+from cdrlake.workload.queries import BATCH_FILES, FILE_MESSAGES, capture_layout
 
 
 def event(i, **changes):
@@ -187,3 +188,10 @@ def test_the_listener_writes_every_batch(spark, capture, tmp_path):
     assert {(r["query"], r.input_rows) for r in progress.progress_totals(rows).collect()} == {("silver_events", len(LINES)), ("churn_alerts", len(LINES))}
     # three files each, and a closing batch of the stateless silver query may follow
     assert rows.where("input_rows > 0").count() == 6 and rows.where("watermark is not null").count() >= 3
+
+
+def test_captured_files_grow_in_number_not_in_size():
+    """There were four files however many messages came, each written by one task."""
+    assert [capture_layout(n) for n in (0, 1_000, 200_000)] == [(4, 2)] * 3
+    parts, batch = capture_layout(36_000_000)
+    assert 36_000_000 / parts <= FILE_MESSAGES and batch == BATCH_FILES
