@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cdrlake.llm import langid, linededup, packing, pieces, repair, resampling, similar, simhash
+from cdrlake.llm.components import components
 from cdrlake.llm.encoding import ColumnEncoder
 from cdrlake.llm.queries import PIECES, QUERIES, WORD_BPE
 
@@ -451,3 +452,25 @@ def test_long_lines_have_a_second_hash(spark):
     windows = linededup._windows(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 2, 100)
     found = windows.collect()
     assert len({(r["fp"], r["window"]) for r in found}) == 50 and all(r["fp"] != ~r["window"] for r in found)
+
+
+@pytest.mark.parametrize("tile", [2, 1_024])
+def test_no_similar_pair_of_a_band_is_left_out(spark, monkeypatch, tile):
+    """Groups were compared with the member that meets most others and with the smallest one only."""
+    rng = np.random.default_rng(8)
+    texts = {n: np.unique(rng.integers(0, 2**32, 300, dtype=np.uint32)) for n in (1, 2, 4, 9)}
+    for n, of in ((3, 2), (5, 4), (6, 5)):  # some 20 hashes of 300 are others
+        texts[n] = np.unique(np.r_[rng.permutation(texts[of])[20:], rng.integers(0, 2**32, 20, dtype=np.uint32)])
+    rows = [(n, [7, 70 + n % 2], s.view(np.int32).tolist()) for n, s in texts.items()]
+    monkeypatch.setattr(similar, "_sketches", lambda _: spark.createDataFrame(rows, "node long, keys array<long>, sketch array<int>"))
+    edges = similar.similar_links(spark.createDataFrame([(1, "a")], "node long, text string"), tile=tile)
+    root = {r.node: r.root for r in components(edges).collect()}
+    assert root == {3: 2, 5: 4, 6: 4}
+
+
+def test_one_set_against_several():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 2_000, n, dtype=np.uint32))[: similar.SKETCH] for n in (1, 40, 300, 700, 1_200, 3_000)]
+    bounds = np.r_[0, np.cumsum([len(s) for s in sets])]
+    for one in sets:
+        assert similar.similarities(one, np.concatenate(sets), bounds).tolist() == [similar.similarity(one, s) for s in sets]
