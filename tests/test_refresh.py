@@ -7,11 +7,12 @@ import pytest
 
 from cdrlake import schemas
 from cdrlake.config import RunConfig
-from cdrlake.operators import control
-from cdrlake.plans.batch import run_batch
+from cdrlake.operators import control, silver
+from cdrlake.plans.batch import clustered_cdr, run_batch
 from cdrlake.plans.incremental import full_reload_customers, incremental_load
 from cdrlake.plans.refresh import refresh
 from cdrlake.sinks import tables as sinks
+from cdrlake.sources import files
 from cdrlake.sources.tables import read_table
 
 
@@ -110,3 +111,24 @@ def test_a_catalog_entry_follows_its_folder(spark, tmp_path):
         assert spark.sql("SELECT v, k, w FROM cdr_change_test.t WHERE k = 'a'").collect() == [(1, "a", 2.0)]
     finally:
         spark.sql("DROP DATABASE IF EXISTS cdr_change_test CASCADE")
+
+
+def test_derived_columns_are_made_after_the_layout(spark, tmp_path):
+    """They were sorted and shuffled with the rows."""
+    sinks.write_table(frames.cdr(spark, {"cdr_id": "C1"}, {"cdr_id": "C2"}).transform(silver.checked_cdr).drop("reject_reason"), str(tmp_path / "good"))
+    rows = clustered_cdr(spark.read.parquet(str(tmp_path / "good")))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    above, below = plan.split("RepartitionByExpression", 1)
+    assert "time_of_day" in above and "time_of_day" not in below
+    plain = silver.cdr_features(spark.read.parquet(str(tmp_path / "good")))
+    assert sorted(rows.drop("source_system", "silver_load_dttm").columns) == sorted(plain.drop("source_system").columns)
+    assert {r.call_month for r in rows.collect()} == {"2024-10"}
+
+
+def test_landed_csv_can_be_compressed(spark, tmp_path):
+    df = frames.cdr(spark, {"cdr_id": " C1 "}, {"cdr_id": "C2", "region": None})
+    sinks.write_csv(df, str(tmp_path / "cdrs"), compression="gzip")
+    assert list((tmp_path / "cdrs").glob("*.csv.gz"))
+    assert sorted(map(str, files.read_csv(spark, str(tmp_path / "cdrs"), schemas.CDR).collect())) == sorted(map(str, df.collect()))
