@@ -171,7 +171,8 @@ def _rest(met: DataFrame, centre: DataFrame, edges: DataFrame, sketches: DataFra
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by group; the open group at the end of a batch waits for the next."""
         rest = None
-        for b in _with_end(batches):
+        # few rows at a time: a sketch is two kilobytes
+        for b in _with_end(b.slice(at, tile) for b in batches for at in range(0, b.num_rows, tile)):
             table = pa.Table.from_batches([x for x in (rest, b) if x is not None]) if rest is not None or b is not None else None
             if table is None or not table.num_rows:
                 continue
