@@ -18,7 +18,6 @@ document, is marked first.
 
 import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, ragged, row_of, saved, ship, text_key
+from .common import batch, freeing, ragged, row_of, saved, ship, text_key
 
 MIN_MATCH = 5
 MIN_COVERAGE = 0.5
@@ -64,11 +63,6 @@ class WordHashes:
         return self.pool[ragged(self.starts[at], lengths)], np.diff(np.r_[0, np.cumsum(lengths)][cuts])
 
 
-@lru_cache(maxsize=1)
-def _hashes() -> WordHashes:
-    return WordHashes()
-
-
 def _seeds(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the k words from each position, and whether they lie in one text."""
     n = len(words)
@@ -144,10 +138,12 @@ def leaks(
     one = one.withColumn("item_key", F.concat_ws(":", own_id, text_key("t")))
     item_schema = pa.schema([("words", pa.list_(pa.int64())), ("seeds", pa.list_(pa.int64()))])
 
+    # known words end with the task: kept in the worker, they would stand beside the tasks of all later stages
     def item_words(batches):
-        for b in batches:
+        hashes = WordHashes()
+        for b in freeing(batches):
             texts = b.column(1).to_pylist()
-            words, counts = _hashes().of(texts)
+            words, counts = hashes.of(texts)
             seeds, whole = _seeds(words, counts, min_match)
             cuts = np.r_[0, np.cumsum(counts)]
             signed, seeds = words.view(np.int64), seeds.view(np.int64)
@@ -167,12 +163,12 @@ def leaks(
     doc_schema = pa.schema([("text_key", pa.string()), ("at", pa.list_(pa.int32())), ("words", pa.list_(pa.int64())), ("seeds", pa.list_(pa.int64()))])
 
     def doc_words(batches):
-        table = shared.value
-        for b in batches:
+        table, hashes = shared.value, WordHashes()
+        for b in freeing(batches):
             texts = b.column(1).to_pylist()
             for start in range(0, len(texts), 1_000):
                 own = texts[start : start + 1_000]
-                words, counts = _hashes().of(own)
+                words, counts = hashes.of(own)
                 seeds, whole = _seeds(words, counts, min_match)
                 hit = np.flatnonzero(table[(seeds % np.uint64(SLOTS)).astype(np.int64)] & whole)
                 if not len(hit):

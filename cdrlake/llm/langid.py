@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, fold, ragged, row_of, ship, text_slices, with_fields
+from .common import batch, fold, freeing, ragged, row_of, ship, text_slices, with_fields
 
 BUCKETS = 1 << 14
 MAX_LANGUAGES = 500
@@ -71,7 +71,7 @@ def train(
 
     def count(batches):
         counts: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in freeing(batches):
             texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
             by_lang: dict[str, list[str]] = {}
             for t, k in zip(texts, langs):
@@ -145,7 +145,7 @@ def predict(docs: DataFrame, text: str, model: tuple[list[str], np.ndarray], kee
     def score(batches):
         table = shared.value
         buckets = table.shape[0] - 1
-        for b in batches:
+        for b in freeing(batches):
             texts = b.column(len(fields)).to_pylist()
             pred, prob = ["und"] * len(texts), np.zeros(len(texts))
             for run, bounds, hashed, letters in _grams(texts, buckets) if languages else ():

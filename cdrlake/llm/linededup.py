@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hot_join, row_of, saved, ship, with_fields
+from .common import freeing, hot_join, row_of, saved, ship, with_fields
 
 MIN_LINES = 2
 LONG_LINE = 100
@@ -62,7 +62,7 @@ def _windows(docs: DataFrame, doc_id: str, text: str, min_lines: int, long_line:
 
     def winnow(batches):
         names = ["doc", "key", "fp", "window", "first", "last"]
-        for b in batches:
+        for b in freeing(batches):
             size = b.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             index = b.column(2).flatten().to_numpy().astype(np.int64)
             hashes = b.column(3).flatten().to_numpy().view(np.uint64)
@@ -98,7 +98,7 @@ def repeated_runs(
 
     def of_shared(batches):
         packed = table.value
-        for b in batches:
+        for b in freeing(batches):
             slot = b.column(2).to_numpy() % SLOTS
             yield b.filter(pa.array((packed[slot >> 3] >> (slot & 7) & 1).astype(bool)))
 
@@ -125,7 +125,7 @@ def cut(docs: DataFrame, doc_id: str, text: str, min_lines: int = MIN_LINES, lon
     rows = left.join(runs.select(there("doc").alias("d"), F.col("key").alias("k"), "runs"), ["d", "k"], "left").select("row", "runs")
 
     def delete(batches):
-        for b in batches:
+        for b in freeing(batches):
             kept, removed = [], []
             for value, own in zip(b.column(0).field(text).to_pylist(), b.column(1).to_pylist()):
                 n = 0

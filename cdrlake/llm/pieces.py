@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ragged, ship, text_slices, with_fields
+from .common import freeing, ragged, ship, text_slices, with_fields
 
 ALPHA = 1.0
 _MARK = "▁"
@@ -95,9 +95,9 @@ class Lattice:
         self.raw_lengths = np.array([len(r) for r in raw])
         self.raw_starts = np.cumsum(self.raw_lengths) - self.raw_lengths
         self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.first, self.states, self.sizes = (np.empty(0, dtype=np.int64) for _ in range(3))
         self.length, self.name, self.chance = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.float32)
@@ -183,7 +183,7 @@ class Lattice:
         if not stretches:
             return np.empty(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
         if len(self.first) > _KEPT:
-            self._forget()
+            self.forget()
         new = set(stretches).difference(self.known)
         if new:
             self._learn(sorted(new))
@@ -260,7 +260,7 @@ def encode_decode(docs: DataFrame, text: str, key: Column, model: str, keep: lis
 
     def run(batches):
         lat = lattice(model, alpha)
-        for b in batches:
+        for b in freeing(batches):
             keys = b.column(len(fields)).to_numpy()
             texts = b.column(len(fields) + 1).to_pylist()
             for own in text_slices(texts, 1_000_000):
@@ -275,6 +275,8 @@ def encode_decode(docs: DataFrame, text: str, key: Column, model: str, keep: lis
                 ]
                 columns = [part.column(i) for i in range(len(fields))]
                 yield pa.RecordBatch.from_arrays(columns + more, names=[*fields, "pieces", "n_pieces", "pieces_crc32", "decoded"])
+        # the model stays with the worker; lattices would stand beside the tasks of other stages
+        lat.forget()
 
     return rows.mapInArrow(run, with_fields(out.schema, "pieces array<int>, n_pieces long, pieces_crc32 long, decoded string"))
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hot_join, row_of, saved, ship, with_fields
+from .common import freeing, hot_join, row_of, saved, ship, with_fields
 from .components import components
 
 RADIUS = 4
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, text: str, keep: list[Column], shingle: int =
     names = [*out.columns, "fp"]
 
     def run(batches):
-        for b in batches:
+        for b in freeing(batches):
             own = np.array([fingerprint(t, shingle) for t in b.column(len(names) - 1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own.view(np.int64))], names=names)
 

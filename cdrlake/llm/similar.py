@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, hot_join, saved, ship, text_slices
+from .common import batch, freeing, hot_join, saved, ship, text_slices
 from .components import components
 from .simhash import _LOWER, _with_end
 
@@ -79,7 +79,7 @@ def _sketches(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
-        for b in batches:
+        for b in freeing(batches):
             nodes, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for part in text_slices(texts):
                 hashed, counts = shingles([texts[i] for i in part], known)
@@ -172,7 +172,7 @@ def _rest(met: DataFrame, centre: DataFrame, edges: DataFrame, sketches: DataFra
         """Rows come sorted by group; the open group at the end of a batch waits for the next."""
         rest = None
         # few rows at a time: a sketch is two kilobytes
-        for b in _with_end(b.slice(at, tile) for b in batches for at in range(0, b.num_rows, tile)):
+        for b in _with_end(b.slice(at, tile) for b in freeing(batches) for at in range(0, b.num_rows, tile)):
             table = pa.Table.from_batches([x for x in (rest, b) if x is not None]) if rest is not None or b is not None else None
             if table is None or not table.num_rows:
                 continue
@@ -217,7 +217,7 @@ def similar_links(texts: DataFrame, least: float = SIMILAR, tile: int = TILE) ->
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in freeing(batches):
             one, two = ([x.values.to_numpy().view(np.uint32) for x in b.column(k)] for k in (2, 3))
             near = np.array([similarity(x, y) >= least for x, y in zip(one, two)], dtype=bool)
             yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(near)) for k in (0, 1)], schema=schema)
