@@ -1,16 +1,18 @@
 """Landed rows to Silver and Gold, compared with a run over everything at once."""
 
 import os
+import time
 
 import frames
 import pytest
 
 from cdrlake import schemas
 from cdrlake.config import RunConfig
-from cdrlake.operators import control, silver
+from cdrlake.operators import control, gold, silver
 from cdrlake.plans.batch import clustered_cdr, run_batch
 from cdrlake.plans.incremental import full_reload_customers, incremental_load
 from cdrlake.plans.refresh import refresh
+from cdrlake.session import TIDY, tidy_shuffles
 from cdrlake.sinks import tables as sinks
 from cdrlake.sources import files
 from cdrlake.sources.tables import read_table
@@ -80,6 +82,7 @@ def test_refreshes_equal_one_run(spark, lake, tmp_path, rows):
         a, b = (read_table(spark, c.base, layer, name) for c in (cfg, whole))
         columns = sorted(c for c in a.columns if not c.endswith(("load_dttm", "load_dt")) and c != "source_system")
         assert rows(a, *columns) == rows(b, *columns), name
+    assert not [n for c in (whole,) for n in os.listdir(c.path("work", "")) if n.endswith("_checked")]
     again = refresh(spark, cfg)
     assert again.detail["months"] == {"cdrs": [], "recharges": []} and again.rows_written["cdrs"] == 0
     audit = sinks.read_merged(spark, cfg.path("control", "audit")).where("pipeline_name = 'refresh'")
@@ -127,6 +130,36 @@ def test_derived_columns_are_made_after_the_layout(spark, tmp_path):
     assert {r.call_month for r in rows.collect()} == {"2024-10"}
 
 
+def test_shuffles_go_with_their_query(spark, tmp_path):
+    """They stayed until the driver collected its garbage, those of a whole run at a time."""
+
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before, set_before = left(), spark.conf.get(TIDY, None)
+    with tidy_shuffles(spark), tidy_shuffles(spark):
+        sinks.write_table(spark.range(1000).selectExpr("id", "cast(id % 3 as string) as k"), str(tmp_path / "t"), "k")
+        until = time.time() + 20
+        while left() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not left() - before
+    assert spark.conf.get(TIDY, None) == set_before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+
+
+def test_arpu_is_made_after_its_months_are_brought_together(spark):
+    """Measures moved with the rows."""
+    cdr, recharged, people = silver.silver_cdr(frames.cdr(spark, {})), silver.silver_recharges(frames.recharges(spark, {})), silver.silver_customers(frames.customers(spark, {}))
+    sides = gold.cdr_monthly(gold.usage_rows(cdr)), gold.recharge_monthly(recharged), people
+    laid_out = gold.arpu_measures(gold.arpu_parts(*sides).hint("rebalance", "call_month"))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    above, below = laid_out._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions", 1)
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "total_revenue_qar" in above and "total_revenue_qar" not in below
+    assert laid_out.collect() == gold.gold_arpu(*sides).collect()
+
+
 def test_landed_csv_can_be_compressed(spark, tmp_path):
     df = frames.cdr(spark, {"cdr_id": " C1 "}, {"cdr_id": "C2", "region": None})
     sinks.write_csv(df, str(tmp_path / "cdrs"), compression="gzip")
