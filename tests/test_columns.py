@@ -56,6 +56,20 @@ def test_calendar_keys(spark):
     assert values(spark, "date", days[:1], K.month_key) == ["2024-12"]
 
 
+def test_plain_dates_need_no_formatter(spark):
+    """Each text was parsed by a formatter, and each month written by one; both give what the formatter gives."""
+    days = ["2024-02-29", "2023-02-29", "2024-13-45", "0000-01-01", "0001-01-01", "9999-12-31", "12024-01-05", "2024-1-5",
+            " 2024-01-05", "2024-01-05 ", "2024-01-05\n", "2024-01-05x", "2024-01", "+2024-01-05", "", None]
+    formatted = lambda kind, fmt: lambda c: F.try_to_timestamp(c, F.lit(fmt)).cast(kind).cast("string")
+    assert values(spark, "string", days, lambda c: C.to_d(c).cast("string")) == values(spark, "string", days, formatted("date", C.DATE_FORMAT))
+    times = [f"{d} {t}" for d in days[:6] for t in ("00:00:00", "23:59:59", "24:00:00", "12:60:00", "1:02:03", "10:00:00.5", "10:00", "10:00:00Z")]
+    assert values(spark, "string", times, lambda c: C.to_ts(c).cast("string")) == values(spark, "string", times, formatted("timestamp", C.TIMESTAMP_FORMAT))
+    stored = spark.createDataFrame([("2024-03-05",), ("0999-12-01",), ("12024-01-05",), ("-0001-05-06",), (None,)], "v string").select(F.col("v").cast("date").alias("v"))
+    assert stored.where(~K.month_key("v").eqNullSafe(F.date_format("v", "yyyy-MM"))).count() == 0
+    plan = stored.select(K.month_key("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "year(" in plan
+
+
 def test_bands(spark):
     ages = [17, 24, 25, 34, 35, 44, 45, 54, 55, None]
     assert values(spark, "int", ages, K.age_band) == [

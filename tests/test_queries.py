@@ -7,6 +7,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from cdrlake.workload import queries as landing
 from cdrlake.workload.lake import Lake
 from cdrlake.workload.queries import duckdb_sql, spark_queries
 
@@ -85,6 +86,19 @@ def test_usage_stays_in_place_when_joined(spark, shuffled):
     assert len(arpu) == 2 + 3
 
 
+def test_texts_of_landed_cdrs_are_made_after_the_rows_have_moved(spark):
+    """CDRs moved to the files of their months as text."""
+    lake = Lake(spark, SF_DIR)
+    landed = landing._cdrs_by_month(lake, "CAST(right(file, 2) AS INT) % 2 = 1")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    plan = landed._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    above, below = plan.split("RebalancePartitions", 1)
+    assert "CDR" in above and "CDR" not in below
+    plain = lake.bronze_cdr.where("substr(call_date, 6, 2) IN ('01', '03', '05', '07', '09', '11', '13')")
+    assert plain.count() > 0 and plain.exceptAll(landed.drop("file")).isEmpty() and landed.drop("file").exceptAll(plain).isEmpty()
+
+
 @pytest.mark.parametrize("name", ["rule_360", "stored_summary", "stored_rule_scores"])
 def test_summary_and_scores_come_from_stored_facts(spark, name):
     """The CDRs were worked off once for the summary and once for the features."""

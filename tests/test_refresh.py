@@ -82,7 +82,7 @@ def test_refreshes_equal_one_run(spark, lake, tmp_path, rows):
         a, b = (read_table(spark, c.base, layer, name) for c in (cfg, whole))
         columns = sorted(c for c in a.columns if not c.endswith(("load_dttm", "load_dt")) and c != "source_system")
         assert rows(a, *columns) == rows(b, *columns), name
-    assert not [n for c in (whole,) for n in os.listdir(c.path("work", "")) if n.endswith("_checked")]
+    assert not [n for c in (cfg, whole) for n in os.listdir(c.path("work", "")) if n.endswith(("_refreshed", "_checked"))]
     again = refresh(spark, cfg)
     assert again.detail["months"] == {"cdrs": [], "recharges": []} and again.rows_written["cdrs"] == 0
     audit = sinks.read_merged(spark, cfg.path("control", "audit")).where("pipeline_name = 'refresh'")
